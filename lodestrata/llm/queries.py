@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, language, packing, quality
 from .common import table
 
 #: Public vocabulary used by the encoding and packing queries.
@@ -18,8 +19,28 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    model = language.fit(docs.where(~F.col("held_out")))
+    found = language.predict(docs, model)
+    return found.withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, quality.grades_of_labels(table(spark, sf_dir, "labels")))
+    return quality.score(docs, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op6_language": op6_language,
+    "op7_packing": op7_packing,
+    "op8_quality": op8_quality,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
