@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, packing, quality
+from . import bpe, language, packing, quality, vectors
 from .common import table
 
 #: Public vocabulary used by the encoding and packing queries.
@@ -19,6 +19,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_products(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
     model = language.fit(docs.where(~F.col("held_out")))
@@ -36,11 +40,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model)
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest_cosine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op5_topk": op5_topk,
     "op6_language": op6_language,
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
+    "op9_ann": op9_ann,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
