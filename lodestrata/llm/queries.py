@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, packing, quality, vectors
+from . import bpe, language, packing, quality, secret_scan, vectors
 from .common import table
 
 #: Public vocabulary used by the encoding and packing queries.
 VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -45,6 +49,7 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
     "op5_topk": op5_topk,
     "op6_language": op6_language,
@@ -54,4 +59,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_secrets": secret_scan.duckdb_sql()}
