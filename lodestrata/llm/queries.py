@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, packing, quality, secret_scan, vectors
+from . import bpe, language, minhash, packing, quality, secret_scan, vectors
 from .common import table
 
 #: Public vocabulary used by the encoding and packing queries.
@@ -48,6 +48,10 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest_cosine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
     "op9_ann": op9_ann,
+    "op10_minhash": op10_minhash,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
