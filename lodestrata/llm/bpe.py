@@ -264,6 +264,11 @@ class Encoder:
 
     def _chunk(self, chunk: str) -> bytes:
         words = self.words
+        if chunk.isascii():  # the two shapes of most chunks need no pattern
+            if chunk.isalpha():
+                return words[chunk.lower()]
+            if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+                return words[chunk[:-1].lower()] + words[chunk[-1]]
         return b"".join([words[w] for w in self.pretokens(chunk)])
 
     def _word(self, word: str) -> bytes:

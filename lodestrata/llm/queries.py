@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, minhash, packing, quality, secret_scan, vectors
+from . import bpe, language, minhash, packing, quality, secret_scan, substring_dedup, vectors
 from .common import table
 
 #: Public vocabulary used by the encoding and packing queries.
@@ -23,6 +23,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_products(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
 
@@ -55,6 +59,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
+    "op3_substring": op3_substring,
     "op5_topk": op5_topk,
     "op6_language": op6_language,
     "op7_packing": op7_packing,
