@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, minhash, packing, quality, secret_scan, substring_dedup, vectors
+from . import bpe, language, minhash, packing, quality, secret_scan, substring_dedup, suffix_dedup, vectors
 from .common import table
 
 #: Public vocabulary used by the encoding and packing queries.
@@ -27,6 +27,10 @@ def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_products(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
     "op3_substring": op3_substring,
+    "op4_suffix": op4_suffix,
     "op5_topk": op5_topk,
     "op6_language": op6_language,
     "op7_packing": op7_packing,
