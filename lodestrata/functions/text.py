@@ -123,8 +123,8 @@ def first_filled(*columns: Column) -> Column:
 def unique_nonempty(values: Column) -> Column:
     """Distinct without regard to case; keeps first spellings and their order."""
     cleaned = F.filter(F.transform(values, clean), lambda x: x != "")
-    empty = F.expr("cast(array() as array<string>)")
-    return F.aggregate(cleaned, empty, lambda acc, x: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.array_append(acc, x)))
+    lowered = F.transform(cleaned, F.lower)
+    return F.filter(cleaned, lambda x, i: F.array_position(lowered, F.lower(x)) == i + 1)
 
 
 def without_parens(c: Column) -> Column:

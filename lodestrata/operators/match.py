@@ -68,20 +68,29 @@ def best_catalogue_match(queries: DataFrame, candidates: DataFrame, as_of: str,
     return best.where(F.col("score") >= CATALOGUE_BEST).drop("_tt", "_ta", "_ct", "_ca", "_ts", "_as")
 
 
-def identity_artists() -> Column:
-    """Names of who uploaded: publisher's artist and composer, user's name and link."""
-    return unique_nonempty(normalize_all(filled(F.array("publisher_artist", "writer_composer", "username", "permalink"))))
+NO_NAMES = "cast(array() as array<string>)"
 
 
-def candidate_artists() -> Column:
-    """The uploader's names and the artist before a dash in the title."""
+def with_artists(uploads: DataFrame) -> DataFrame:
+    """Uploads with _ia, the uploader's names (publisher's artist and composer, user's name and link), and
+    _ca, those and the artist before a dash in the title.
+
+    The Unicode fold is a column of its own first: it cannot stand inside a lambda.
+    """
     prefix = split_artist_title(clean(F.col("title")), both=False)["artist"]
-    return unique_nonempty(F.concat(identity_artists(), F.when(F.coalesce(prefix, F.lit("")) != "", normalize_all(F.array(prefix))).otherwise(F.expr("cast(array() as array<string>)"))))
+    folded = uploads.withColumns(
+        {
+            "_names": normalize_all(filled(F.array("publisher_artist", "writer_composer", "username", "permalink"))),
+            "_prefix": normalize_all(filled(F.array(prefix))),
+        }
+    )
+    own = folded.withColumn("_ia", unique_nonempty(F.col("_names")))
+    return own.withColumn("_ca", unique_nonempty(F.concat("_names", "_prefix"))).drop("_names", "_prefix")
 
 
 def upload_checks(candidates: DataFrame, asked: DataFrame, as_of: str, days: int) -> DataFrame:
     """Candidates with _ts, _as, _is (title, artist, identity) that pass all thresholds and the date."""
-    named = candidates.withColumns({"_ct": normalize_title(F.col("title")), "_ca": candidate_artists(), "_ia": identity_artists()}).join(asked, "query_id")
+    named = with_artists(candidates.withColumn("_ct", normalize_title(F.col("title")))).join(asked, "query_id")
     everything = normalize_text(F.concat(F.array_join("_ca", " "), F.lit(" "), F.col("_ct")))
     scored = named.withColumn("_all", everything).withColumns(
         {"_ts": upload_title_score(F.col("_tt"), F.col("_ct"), F.col("_all")), "_as": artist_score(F.col("_ta"), F.col("_ca")), "_is": artist_score(F.col("_ta"), F.col("_ia"))}
@@ -125,7 +134,7 @@ def profile_candidates(queries: DataFrame, users: DataFrame, tracks: DataFrame)
     users: query_id, user_id, username, permalink, full_name; tracks: user_id, pos, ...
     """
     asked = queries.select("query_id", filled(normalize_all(artist_aliases(F.col("artist")))).alias("_ta"))
-    names = unique_nonempty(normalize_all(filled(F.array("username", "permalink", "full_name"))))
+    names = normalize_all(filled(F.array("username", "permalink", "full_name")))
     likely = users.withColumn("_n", names).join(asked, "query_id").where(artist_score(F.col("_ta"), F.col("_n")) >= USER_LEAST)
     return likely.select("query_id", "user_id").distinct().join(tracks, "user_id")
 
