@@ -170,7 +170,7 @@ def associated_artist_keys(artist: Column, all_artists: Column, source_artist: C
 
 
 def split_genre_terms(c: Column) -> Column:
-    t = F.trim(F.lit('"'), clean(c))
+    t = F.trim(clean(c), F.lit('"'))
     parts = F.transform(F.split(t, r"[,#/;|]+"), lambda x: squeeze(F.regexp_replace(x, '^["\\s]+|["\\s]+$', "")))
     return F.filter(parts, lambda x: x != "")
 

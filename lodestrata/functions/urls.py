@@ -102,7 +102,7 @@ def upload_playlist_url(value: Column) -> Column:
         F.when(absolute & F.contains(host(t), F.lit("soundcloud.com")), t)
         .when(absolute | (t == ""), F.lit(None).cast("string"))
         .when(F.startswith(t, F.lit("soundcloud.com/")), F.concat(F.lit("https://"), t))
-        .when(F.contains(t, F.lit("/")), F.concat(F.lit(UPLOAD_ROOT + "/"), F.trim(F.lit("/"), t)))
+        .when(F.contains(t, F.lit("/")), F.concat(F.lit(UPLOAD_ROOT + "/"), F.trim(t, F.lit("/"))))
     )
 
 
@@ -140,7 +140,7 @@ def upload_track_id(bag_id: Column) -> Column:
 
 def song_url(slug: Column, track_id: Column) -> Column:
     """Page of a charted song by its slug, else by its identifier."""
-    quoted = F.replace(F.replace(F.url_encode(F.trim(F.lit("/"), slug)), F.lit("+"), F.lit("%20")), F.lit("%2F"), F.lit("/"))
+    quoted = F.replace(F.replace(F.url_encode(F.trim(slug, F.lit("/"))), F.lit("+"), F.lit("%20")), F.lit("%2F"), F.lit("/"))
     return F.when(F.coalesce(slug, F.lit("")) != "", F.concat(F.lit(f"{CHART_ROOT}/song/"), quoted)).otherwise(F.concat(F.lit(f"{CHART_ROOT}/popular/"), track_id))
 
 
@@ -149,16 +149,16 @@ def looks_like_article(u: Column, site: str) -> Column:
     h, p = host(u), path(u)
     dated = p.rlike(r"/20\d{2}/\d{2}/[^/]+/?$")
     if site == "A":
-        return h.isin("edm.com", "www.edm.com") & F.startswith(p, F.lit("/music-releases/")) & (F.rtrim(F.lit("/"), p) != "/music-releases")
+        return h.isin("edm.com", "www.edm.com") & F.startswith(p, F.lit("/music-releases/")) & (F.rtrim(p, F.lit("/")) != "/music-releases")
     if site == "B":
-        return F.contains(h, F.lit("edmtunes.com")) & ~F.rtrim(F.lit("/"), p).isin("", "/music") & ~p.rlike("/page/|/tag/|/category/") & dated
+        return F.contains(h, F.lit("edmtunes.com")) & ~F.rtrim(p, F.lit("/")).isin("", "/music") & ~p.rlike("/page/|/tag/|/category/") & dated
     return F.contains(h, F.lit("weraveyou.com")) & ~p.rlike("/tag/|/category/") & dated
 
 
 def is_music_link(u: Column, profile: str = "A") -> Column:
     """Links to releases on music platforms; users, channels and artist pages do not count."""
     low = F.lower(u)
-    h, p = host(low), F.trim(F.lit("/"), path(low))
+    h, p = host(low), F.trim(path(low), F.lit("/"))
     known = F.lit(False)
     for d in MUSIC_DOMAINS:
         known = known | F.contains(low, F.lit(d))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, first_filled
+from ..functions.udf import arrow_udf
 from .classify import classify
 
 # Title patterns in their order of precedence; group 1 is the artist, group 2 the title.
@@ -84,22 +88,40 @@ def clean_extracted_title(raw: Column, profile: str = "A") -> Column:
     return _ends(F.regexp_replace(F.regexp_replace(raw, NOISE[profile], ""), f"^[{QUOTE_MARKS}]+|[{QUOTE_MARKS}]+$", ""))
 
 
-def from_clean_title(clean: Column, profile: str = "A") -> Column:
-    """struct(artist, title) by the first pattern that gives both; else null."""
-    tries = []
-    for p in TITLE_PATTERNS[profile]:
-        rx = "(?iU)" + p
-        raw = F.regexp_extract(clean, rx, 2)
-        artist, title = _ends(F.regexp_extract(clean, rx, 1)), clean_extracted_title(raw, profile)
-        ok = (artist != "") & (title != "")
-        if profile != "C":
-            ok = ok & ~raw.rlike(ANNOUNCED)  # such a match is passed over, not fatal
-        tries.append(F.when(ok, F.struct(artist.alias("artist"), title.alias("title"))))
-    return F.coalesce(*tries)
+def _parser(profile: str):
+    patterns = [re.compile(p, re.IGNORECASE) for p in TITLE_PATTERNS[profile]]
+    noise, announced = re.compile(NOISE[profile].removeprefix("(?iU)"), re.IGNORECASE), re.compile(ANNOUNCED.removeprefix("(?iU)"), re.IGNORECASE)
+    ends = lambda s: re.sub(r"\s+", " ", s).strip(" \t\r\n,;:-")
+
+    def one(title: str | None) -> tuple[str, str] | tuple[None, None]:
+        for p in patterns if title else ():
+            m = p.search(title)
+            if m and (profile == "C" or not announced.match(m[2])):  # an announcement is passed over, not fatal
+                artist, found = ends(m[1]), ends(noise.sub("", m[2]).strip(QUOTE_MARKS))
+                if artist and found:
+                    return artist, found
+        return None, None
+
+    return one
+
+
+def _title_udf(profile: str):
+    @arrow_udf("artist string, title string")
+    def parse(titles: pd.Series) -> pd.DataFrame:
+        one = _parser(profile)
+        return pd.DataFrame([one(t) for t in titles], columns=["artist", "title"])
+
+    return parse
+
+
+#: The cascade of lazy patterns runs over Arrow batches: as nested columns it
+#: would be copied into every predicate on its result.
+_PARSERS = {p: _title_udf(p) for p in TITLE_PATTERNS}
 
 
 def from_title(title: Column, profile: str = "A") -> Column:
-    return from_clean_title(clean_article_title(title, profile), profile)
+    """struct(artist, title) by the first pattern that gives both; both null without one."""
+    return _PARSERS[profile](clean_article_title(F.coalesce(title, F.lit("")), profile))
 
 
 def title_from_body(body: Column, profile: str = "A") -> Column:
@@ -184,12 +206,12 @@ def parse_articles(articles: DataFrame, profile: str = "A") -> DataFrame:
     if profile == "C":
         artist = F.coalesce(F.col("_t.artist"), site_artist, clean_text(F.element_at(F.split("title", " ", 2), 1)))
         title = F.coalesce(F.col("_t.title"), F.col("_body"))
-        method = F.when(F.col("_t").isNotNull(), "regex").when(site_artist.isNotNull(), "article_metadata").otherwise("llm_fallback")
+        method = F.when(F.col("_t.title").isNotNull(), "regex").when(site_artist.isNotNull(), "article_metadata").otherwise("llm_fallback")
     else:
-        meta = F.coalesce(F.col("_og"), F.col("_tw"))
+        meta = F.when(F.col("_og.title").isNotNull(), F.col("_og")).otherwise(F.col("_tw"))
         artist = F.coalesce(F.col("_t.artist"), meta["artist"], site_artist)
         title = F.coalesce(F.col("_t.title"), meta["title"], F.when(site_artist.isNotNull(), F.col("_body")))
-        method = F.when(F.col("_t").isNotNull(), "regex").when(meta.isNotNull(), "article_metadata").otherwise("article_body")
+        method = F.when(F.col("_t.title").isNotNull(), "regex").when(meta["title"].isNotNull(), "article_metadata").otherwise("article_body")
     rows = rows.withColumns({"_artist": artist, "_title": title, "_method": method}).where("_artist <> '' and _title <> ''")
     if profile != "C":
         rows = rows.where(~F.col("_title").rlike(ANNOUNCED))

@@ -136,7 +136,7 @@ def is_challenge(html: Column) -> Column:
 
 
 def _absolute(href: Column) -> Column:
-    return F.when(href.rlike("^https?://"), href).when(F.startswith(href, F.lit("//")), F.concat(F.lit("https:"), href)).otherwise(F.concat(F.lit(CHART_ROOT + "/"), F.ltrim(F.lit("/"), href)))
+    return F.when(href.rlike("^https?://"), href).when(F.startswith(href, F.lit("//")), F.concat(F.lit("https:"), href)).otherwise(F.concat(F.lit(CHART_ROOT + "/"), F.ltrim(href, F.lit("/"))))
 
 
 def charted(pages: DataFrame, fallback: bool = True, max_pages: int = 3) -> DataFrame:

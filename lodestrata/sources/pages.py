@@ -245,7 +245,7 @@ def cards_from_feed(feeds: DataFrame, site: str, category: str, cutoff: str | No
     url = clean_text(F.coalesce("i.link", F.lit("")))
     url = canonical(url, "edm.com") if site == "A" else canonical(url)
     day = human_date(F.col("i.pubDate"))
-    kinds = F.array_join(F.filter(F.transform(F.coalesce("i.category", F.expr("cast(array() as array<string>)")), F.trim), lambda x: x != ""), ", ")
+    kinds = F.array_join(F.filter(F.transform(F.coalesce("i.category", F.expr("cast(array() as array<string>)")), lambda x: F.trim(x)), lambda x: x != ""), ", ")
     rows = rows.select(
         "pos", clean_text(F.coalesce("i.title", F.lit(""))).alias("title"), url.alias("url"), F.lit(SOURCE_NAMES[site]).alias("source_name"),
         F.when(kinds != "", kinds).otherwise(category).alias("category"), day.cast("string").alias("publish_date"), F.nullif(F.substring(_fragment_text("i.description"), 1, 500), F.lit("")).alias("snippet"),

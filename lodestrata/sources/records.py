@@ -86,7 +86,7 @@ def artist_profiles(spark: SparkSession, path: str, limit: int = 0) -> DataFrame
 
 def barred(c: Column) -> Column:
     """Trimmed, filled entries of a list joined by bars."""
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\|"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\|"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def followed_artists(spark: SparkSession, path: str) -> DataFrame:
@@ -105,7 +105,7 @@ def config_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def genre_targets(spark: SparkSession, path: str) -> DataFrame:
     """url, limit, genre of ``url,limit[,genre]`` lines; fewer fields raise."""
-    p = F.transform(F.split("value", ","), F.trim)
+    p = F.transform(F.split("value", ","), lambda x: F.trim(x))
     checked = F.when(F.size(p) < 2, F.raise_error(F.concat(F.lit("expected url,limit: "), F.col("value")))).otherwise(p)
     rows = config_lines(spark, path).select(checked.alias("p"), "ordinal")
     return rows.select(F.element_at("p", 1).alias("url"), F.element_at("p", 2).cast("int").alias("limit"), F.nullif(F.try_element_at("p", F.lit(3)), F.lit("")).alias("genre"), "ordinal")

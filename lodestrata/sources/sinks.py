@@ -25,11 +25,11 @@ def json_array(df: DataFrame, order: str, drop: tuple[str, ...] = ()) -> DataFra
     columns = [c for c in df.columns if c not in drop]
     body = F.to_json(F.struct(*columns), {"pretty": "true", "ignoreNullFields": "false"})
     items = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), body.alias("j")))), lambda x: x["j"])
-    return df.agg(F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit("\n]\n")).alias("value"))
+    return df.agg(F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit("\n]")).alias("value"))
 
 
 def write_json_array(df: DataFrame, path: str, order: str, drop: tuple[str, ...] = ()) -> None:
-    json_array(df, order, drop).write.mode("overwrite").option("lineSep", "").text(path)
+    json_array(df, order, drop).write.mode("overwrite").text(path)  # the writer ends the line
 
 
 def csv_rows(df: DataFrame) -> DataFrame:
