@@ -57,6 +57,25 @@ class Source:
     optional: bool = False
 
 
+# Names of the sources in the order in which they are read, and whether each needs an interface.
+SOURCE_ORDER = (
+    ("edmcom", False),
+    ("edmtunes", False),
+    ("soundcloud_playlists", True),
+    ("spotify_playlists", True),
+    ("submithub", False),
+    ("weraveyou", False),
+    ("1001tracklists", False),
+    ("followed_soundcloud", True),
+    ("top_artisits_recent", True),
+)
+
+
+def default_sources(builders: dict[str, Callable[[SparkSession, PipelineConfig], DataFrame]]) -> list[Source]:
+    """The known sources for which there is a builder, in order."""
+    return [Source(n, builders[n], api) for n, api in SOURCE_ORDER if n in builders]
+
+
 def source_table(spark: SparkSession, sources: list[Source]) -> DataFrame:
     return spark.createDataFrame([(n, s.name, s.api_source, s.optional) for n, s in enumerate(sources)], "ordinal int, name string, api_source boolean, optional boolean")
 

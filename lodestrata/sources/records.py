@@ -115,3 +115,12 @@ def first_per_target(rows: DataFrame, target: str, limit: str, order: str) -> Da
     """At most ``limit`` rows of each target, in order (Spark limits each group before the shuffle where the bound is fixed)."""
     w = Window.partitionBy(target).orderBy(order)
     return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= F.col(limit)).drop("_n")
+
+
+def paged_items(pages: DataFrame, max_items: int | None = None) -> DataFrame:
+    """Items of recorded collection pages (cursor, page, items variant) in order, at most ``max_items`` of each cursor."""
+    items = pages.select("cursor", "page", F.posexplode(F.try_variant_get("items", "$", "array<variant>")).alias("pos", "item"))
+    if max_items is None:
+        return items
+    w = Window.partitionBy("cursor").orderBy("page", "pos")
+    return items.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max_items).drop("_n")

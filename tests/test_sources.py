@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from lodestrata import cli
 from lodestrata.plans import pipeline
 from lodestrata.sources import charts, pages, profiles, records, sinks
 from lodestrata.streaming import sightings
@@ -156,6 +157,21 @@ def test_sinks(spark, tmp_path):
     assert len(got) == 150 and max(r["batch"] for r in got) == 1
 
 
+def test_paged_items(spark):
+    df = variant(spark.createDataFrame([("c", 1, "[3]"), ("c", 0, "[1, 2]"), ("d", 0, '{"not": "a list"}')], "cursor string, page int, items string"), "items")
+    got = records.paged_items(df, 2).select("cursor", F.col("item").cast("int").alias("i")).orderBy("page", "pos").collect()
+    assert [tuple(r) for r in got] == [("c", 1), ("c", 2)] and records.paged_items(df).count() == 3
+
+
+def test_command_line_ranks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rows = [{"artist": "A", "track_or_project_title": "T", "article_date": "2026-01-30", "confidence_score": c} for c in (0.1, 0.9)]
+    (tmp_path / "in" / "a.json").write_text(json.dumps(rows))
+    cli.main(["rank", "--input-dir", str(tmp_path / "in"), "--output", str(tmp_path / "all"), "--unique-output", str(tmp_path / "best"), "--as-of", "2026-02-01", "--lookback-days", "7"], spark)
+    assert spark.read.json(str(tmp_path / "all")).count() == 2
+    assert [r["confidence_score"] for r in spark.read.json(str(tmp_path / "best")).collect()] == [0.9]
+
+
 def test_source_run(spark):
     ok = pipeline.Source("ok", lambda s, c: s.range(2).withColumnRenamed("id", "n"))
     bad = pipeline.Source("bad", lambda s, c: s.range(1).select("nothing"))
