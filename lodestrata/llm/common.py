@@ -7,6 +7,7 @@ partition or a key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -73,3 +74,21 @@ def cut(df: DataFrame) -> DataFrame:
 
 def sha_hex(col) -> F.Column:
     return F.sha2(col, 256)
+
+
+class Stored:
+    """A DataFrame written as Parquet under the shared checkpoint folder, until :meth:`drop`.
+
+    For rows that are read several times: hashes take half the room they take
+    in a checkpoint, and the files go as soon as the caller is done.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.spark = df.sparkSession
+        self.path = f"{ensure_checkpoint_dir(self.spark)}/rows-{uuid.uuid4().hex}"
+        df.write.parquet(self.path)
+        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

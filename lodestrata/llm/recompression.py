@@ -75,37 +75,46 @@ def parse(tokens: np.ndarray, rounds: int = ROUNDS) -> list[tuple[np.ndarray, np
     return levels
 
 
-def anchors(tokens: np.ndarray, window: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """For each window start, the (name, context start) of the highest symbol inside the window.
-
-    The choice (level, then largest name, then leftmost) depends on the
-    window's tokens alone, so equal windows choose equal symbols at equal places.
+def anchors(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], prefix: np.ndarray, window: int) -> np.ndarray:
+    """For each window start of a parse, the name of what stands for the window.
+
+    That is the top symbol of largest rank whose context the window holds, if
+    the context has more than two thirds of the window's tokens; a window without
+    such a symbol takes the run of so many tokens with the largest rank. Either
+    way the choice depends on the window's tokens alone, so equal windows agree,
+    and neighbours mostly do.
     """
-    m = len(tokens) - window + 1
+    n = len(prefix) - 1
+    m, least = n - window + 1, 2 * window // 3 + 1
+    name, start, end = levels[-1]
+    ok = (start >= 0) & (end - start <= window) & (end - start >= least) & (end <= n)
+    at = start[ok]
+    rank = np.zeros(n + 1, U)  # contexts of one level start at different places
+    rank[at] = mixed(name[ok] + U(len(levels))) | U(1)
+    slack = np.full(n + 1, -1, np.int8)
+    slack[at] = window - (end[ok] - at)
     best = np.zeros(m, U)
-    where = np.zeros(m, np.int64)
-    open_ = np.ones(m, bool)
-    for level, (name, start, end) in reversed(list(enumerate(parse(tokens, rounds)))):
-        if not open_.any():
-            break
-        ok = (start >= 0) & (end - start <= window) & (end <= len(tokens))
-        prio = np.zeros(m + window, U)
-        slack = np.full(m + window, -1, np.int64)
-        rank = mixed(name[ok] + U(level)) | U(1)
-        prio[start[ok]] = rank
-        slack[start[ok]] = window - (end[ok] - start[ok])
-        got = np.zeros(m, U)
-        place = np.zeros(m, np.int64)
-        for d in range(window):
-            p = np.where(slack[d : d + m] >= d, prio[d : d + m], U(0))
-            up = p > got
-            np.copyto(got, p, where=up)
-            place[up] = d
-        found = open_ & (got > 0)
-        best[found] = got[found]
-        where[found] = np.flatnonzero(found) + place[found]
-        open_ &= ~found
-    return best, where
+    for d in range(window - least + 1):
+        np.maximum(best, np.where(slack[d : d + m] >= d, rank[d : d + m], U(0)), out=best)
+    rest = np.flatnonzero(best == 0)
+    if len(rest):
+        p = np.arange(n - least + 1)
+        runs = interval_hashes(prefix, p, p + least) | U(1)
+        got = runs[rest]
+        for d in range(1, window - least + 1):
+            np.maximum(got, runs[rest + d], out=got)
+        best[rest] = got
+    return best
+
+
+def cuts(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int, one_in: int) -> np.ndarray:
+    """Places where the coarsest round cuts: starts of those top symbols whose name says so.
+
+    A cut depends on its symbol's context alone, so equal stretches are cut alike.
+    """
+    name, start, end = levels[-1]
+    ok = (start >= 0) & (end <= n) & (mixed(name + U(0xC0FFEE)) % U(one_in) == 0)
+    return np.unique(start[ok])
 
 
 def prefix_hashes(tokens: np.ndarray) -> np.ndarray:

@@ -4,16 +4,25 @@ A window is ``window`` consecutive words of one document; each word covered by
 a window whose word sequence also starts in a document with a smaller id is
 removed. Windows are judged on the input, not on what is left.
 
-1. Every document is parsed by rounds of recompression (see
-   :mod:`.recompression`): names are global, so equal substrings share their
-   interior symbols. Each window picks the highest symbol that it wholly
-   determines; equal windows pick equal symbols, about one for every four words.
-2. A symbol's smallest and largest document id are aggregated (with map-side
-   combining, so that a symbol that a third of all documents hold costs one row
-   a task). Symbols of one document alone are dropped: no window there repeats.
-3. Windows under the shared symbols are verified: their whole word sequences
-   are hashed, the smallest id of each is aggregated, and the windows of later
-   documents are sent back to their documents and cut out.
+Every document is parsed by rounds of recompression (:mod:`.recompression`).
+Names are global, so equal substrings share their interior symbols.
+
+1. *Chunks.* The coarsest round cuts documents at some of the highest symbols,
+   about every thirty words. A chunk, with the words that its last windows
+   need, is one row (hash, id); the smallest id of each hash is aggregated with
+   map-side combining. A chunk that a smaller id has is repeated as a whole, so
+   long repeats end here, at a thirtieth of the windows.
+2. *Symbols.* Each remaining window picks a top symbol that it wholly determines
+   (or, without one, a run of two thirds of its words); equal windows pick
+   equal symbols, about three for every ten words. Symbols that one document alone holds are dropped: no window there
+   repeats. (The first document that has a window never has it in a repeated
+   chunk, so leaving out repeated chunks loses nothing.)
+3. *Windows.* Remaining windows under shared symbols are verified by the hash of
+   their whole word sequence; the smallest id of each is aggregated, and what
+   later documents have goes back to them.
+
+Rows between the steps are hashes and ids. Hashes have 64 bits; two different
+windows with equal hashes would be taken for one.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``; null or empty texts have none.
 Documents shorter than a window lose nothing. Rows that repeat an id are judged
@@ -25,99 +34,176 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, map_texts
-from .minhash import WordHash
-from .recompression import anchors, interval_hashes, prefix_hashes
+from .common import Stored, cut, map_texts
+from .recompression import anchors, cuts, interval_hashes, mixed, parse, prefix_hashes
 
 WINDOW = 13
+#: One in so many top symbols cuts.
+ONE_IN = 4
 #: Stands between documents of one batch; no symbol that depends on it is used.
 SEPARATOR = np.uint64(0x5851F42D4C957F2D)
+#: Bytes of texts parsed together (or one text).
+BATCH_BYTES = 1 << 20
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+
+
+class Words:
+    """The words of some texts as one token array, with a separator after each text."""
+
+    def __init__(self, texts: list[bytes]):
+        raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+        edge = np.diff(np.concatenate([[True], _BLANK[raw]]).astype(np.int8))
+        self.start, self.end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        hashes = interval_hashes(prefix_hashes(raw.astype(np.uint64) + np.uint64(1)), self.start, self.end)
+        last = np.searchsorted(self.start, np.cumsum([len(t) + 1 for t in texts]))  # words before each text's end
+        self.sizes = np.diff(np.concatenate([[0], last]))
+        self.first_word = last - self.sizes
+        self.tokens = np.insert(hashes, last, SEPARATOR)
+        self.begin = np.concatenate([[0], np.cumsum(self.sizes + 1)[:-1]])
+        self.owner = np.repeat(np.arange(len(texts)), self.sizes + 1)
+        self.prefix = prefix_hashes(self.tokens)
+
+    def windows(self, window: int) -> np.ndarray:
+        """Places at which a window starts."""
+        at = np.arange(max(0, len(self.tokens) - window + 1))
+        return at[at + window <= (self.begin + self.sizes)[self.owner[at]]]
+
+    def chunks(self, levels, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash of each chunk, its document, and the chunk number of each window."""
+        new = np.zeros(len(self.tokens) + 1, bool)
+        new[self.begin] = True
+        new[cuts(levels, len(self.tokens), ONE_IN)] = True
+        group = np.cumsum(new)[at]
+        head = np.ones(len(at), bool)
+        head[1:] = group[1:] != group[:-1]
+        heads = np.flatnonzero(head)
+        last = at[np.append(heads[1:], len(at)) - 1]
+        names = mixed(interval_hashes(self.prefix, at[heads], last + window) ^ np.uint64(window))
+        return names, self.owner[at[heads]], np.cumsum(head) - 1
+
+
+def batched(texts: list[bytes]):
+    """Index ranges of at most ``BATCH_BYTES`` (or one text)."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if i > start and size + len(t) > BATCH_BYTES:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def among(values: np.ndarray, docs: np.ndarray, lists: pa.Array, lo: int, n: int) -> np.ndarray:
+    """Which values are in the list of their document (documents rise from 0 to n - 1)."""
+    out = np.zeros(len(values), bool)
+    ends = np.searchsorted(docs, np.arange(n + 1))
+    for i in range(n):
+        a, z = ends[i], ends[i + 1]
+        held = lists[lo + i]
+        if z > a and held.is_valid:
+            out[a:z] = np.isin(values[a:z], held.values.to_numpy().view(np.uint64))
+    return out
+
+
+def _bytes(column: pa.Array) -> list[bytes]:
+    return [t.encode() if t else b"" for t in column.to_pylist()]
+
+
+class _Rows:
+    """Distinct (value, id) rows of a batch."""
 
-_MEMO: list[WordHash] = []
-
-
-def _memo() -> WordHash:
-    if not _MEMO:
-        _MEMO.append(WordHash())
-    return _MEMO[0]
-
-
-def parsed(texts: list[str | None], window: int, memo: WordHash):
-    """(document, start) of every window of a batch, its symbol, and its hash."""
-    parts, sizes = [], []
-    for t in texts:
-        words = t.encode().split() if t else []
-        parts += [np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)), np.array([SEPARATOR])]
-        sizes.append(len(words) + 1)
-    tokens = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-    if len(tokens) < window:
-        e = np.empty(0, np.int64)
-        return e, e, e.astype(np.uint64), e.astype(np.uint64)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    begin = np.cumsum([0, *sizes[:-1]])
-    name, _ = anchors(tokens, window)
-    at = np.arange(len(name))
-    inside = at + window < (begin + np.array(sizes))[owner[at]]  # the separator lies behind the window
-    at = at[inside]
-    prefix = prefix_hashes(tokens)
-    return owner[at], at - begin[owner[at]], name[inside], interval_hashes(prefix, at, at + window)
-
-
-def _rows(ids: pa.Array, doc: np.ndarray, values: np.ndarray, label: str) -> pa.RecordBatch:
-    """Distinct (value, id) rows."""
-    if len(values):
-        order = np.lexsort((values, doc))
-        doc, values = doc[order], values[order]
-        new = np.ones(len(doc), bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (values[1:] != values[:-1])
-        doc, values = doc[new], values[new]
-    return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), ids.take(pa.array(doc.astype(np.int64)))], [label, "id"])
+    def __init__(self):
+        self.values, self.docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+
+    def add(self, values: np.ndarray, docs: np.ndarray) -> None:
+        order = np.lexsort((values, docs))
+        values, docs = values[order], docs[order]
+        new = np.ones(len(docs), bool)
+        new[1:] = (docs[1:] != docs[:-1]) | (values[1:] != values[:-1])
+        self.values.append(values[new])
+        self.docs.append(docs[new])
+
+    def batch(self, ids: pa.Array) -> pa.RecordBatch:
+        v, d = np.concatenate(self.values), np.concatenate(self.docs)
+        return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), ids.take(pa.array(d.astype(np.int64)))], ["v", "id"])
 
 
 def swept(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished, unreferenced stages."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)  # the cleaner works beside
 
 
-def repeated_windows(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, windows): hashes of each document's windows that start in a document with a smaller id."""
+def repeats(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, chunks, windows): hashes of what is repeated in each document that repeats anything."""
+    spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
 
-    def symbols(batch: pa.RecordBatch) -> pa.RecordBatch:
-        doc, _, name, _ = parsed(batch.column(1).to_pylist(), window, _memo())
-        return _rows(batch.column(0), doc, name, "symbol")
-
-    rows = map_texts(named, ["id", "text"], symbols, f"symbol long, id {kind}", 64)
-    shared = rows.groupBy("symbol").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("symbol")
-    wanted = cut(rows.join(shared, "symbol").groupBy("id").agg(F.collect_list("symbol").alias("symbols")))  # at most one per word of the document
-    swept(docs.sparkSession)
-
-    def windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        doc, _, name, hashed = parsed(batch.column(1).to_pylist(), window, _memo())
-        asked = batch.column(2)
-        keep = np.zeros(len(doc), bool)
-        ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-        for i in range(batch.num_rows):
-            a, z = ends[i], ends[i + 1]
-            if z > a:
-                keep[a:z] = np.isin(name[a:z], asked[i].values.to_numpy().view(np.uint64))
-        return _rows(batch.column(0), doc[keep], hashed[keep], "window")
-
-    asked = named.join(wanted, "id")
-    held = map_texts(asked, ["id", "text", "symbols"], windows, f"window long, id {kind}", 64)
-    first = held.groupBy("window").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("window", "lo")
-    later = held.join(first, "window").where("id > lo")
-    out = cut(later.groupBy("id").agg(F.collect_list("window").alias("windows")))
-    swept(docs.sparkSession)
-    return out
+    def scan(step: str):
+        """Hashes of the texts' chunks, or of symbols or windows outside of repeated chunks."""
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts, out = _bytes(batch.column(1)), _Rows()
+            for lo, hi in batched(texts):
+                w = Words(texts[lo:hi])
+                at = w.windows(window)
+                if not len(at):
+                    continue
+                levels = parse(w.tokens)
+                chunk, owner, number = w.chunks(levels, at, window)
+                if step == "chunks":
+                    out.add(chunk, owner + lo)
+                    continue
+                fresh = at[~among(chunk, owner, batch.column(2), lo, hi - lo)[number]]
+                symbol = anchors(levels, w.prefix, window)[fresh]
+                if step == "symbols":
+                    out.add(symbol, w.owner[fresh] + lo)
+                    continue
+                places = fresh[among(symbol, w.owner[fresh], batch.column(3), lo, hi - lo)]
+                out.add(interval_hashes(w.prefix, places, places + window), w.owner[places] + lo)
+            return out.batch(batch.column(0))
+
+        return run
+
+    def stored(rows: DataFrame, columns: list[str], step: str) -> Stored:
+        return Stored(map_texts(rows, columns, scan(step), f"v long, id {kind}", 256))
+
+    def later(rows: DataFrame, name: str) -> DataFrame:
+        """(id, list of the values that a smaller id has)."""
+        first = rows.groupBy("v").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("v", "lo")
+        return cut(rows.join(first, "v").where("id > lo").groupBy("id").agg(F.collect_list("v").alias(name)))
+
+    chunk_rows = stored(named, ["id", "text"], "chunks")
+    chunks = later(chunk_rows.df, "chunks")
+    chunk_rows.drop()
+    swept(spark)
+
+    symbol_rows = stored(named.join(chunks, "id", "left"), ["id", "text", "chunks"], "symbols")
+    swept(spark)
+    shared = symbol_rows.df.groupBy("v").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("v")
+    symbols = cut(symbol_rows.df.join(shared, "v").groupBy("id").agg(F.collect_list("v").alias("symbols")))  # at most one per word
+    symbol_rows.drop()
+    swept(spark)
+
+    window_rows = stored(named.join(symbols, "id").join(chunks, "id", "left"), ["id", "text", "chunks", "symbols"], "windows")
+    swept(spark)
+    windows = later(window_rows.df, "windows")
+    window_rows.drop()
+    swept(spark)
+    return chunks.join(windows, "id", "full")
 
 
 def covered(words: int, starts: np.ndarray, window: int) -> np.ndarray:
@@ -128,37 +214,58 @@ def covered(words: int, starts: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(step)[:words] > 0
 
 
-def kept_words(text: str | None, windows: pa.Scalar, window: int, memo: WordHash) -> tuple[int, list[bytes], int]:
-    """(words, words kept, words removed) of one text."""
-    words = text.encode().split() if text else []
-    if not windows.is_valid or len(words) < window:
-        return len(words), words, 0
-    _, start, _, hashed = parsed([text], window, memo)
-    hit = np.isin(hashed, windows.values.to_numpy().view(np.uint64))
-    gone = covered(len(words), start[hit], window)
-    return len(words), [w for w, g in zip(words, gone.tolist(), strict=True) if not g], int(gone.sum())
-
-
-def _with_windows(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    repeats = repeated_windows(docs, window, id_col, text_col).withColumnsRenamed({"id": "_sd_id", "windows": "_sd_windows"})
-    return docs.join(repeats, F.col(id_col) == F.col("_sd_id"), "left").drop("_sd_id")
+class Cut:
+    """The texts of one batch with their repeated words found."""
+
+    def __init__(self, texts: list[bytes], chunks: pa.Array, windows: pa.Array, window: int):
+        self.texts = texts
+        self.n: list[int] = []
+        self.gone: list[np.ndarray | None] = []
+        self.bounds: list[tuple[np.ndarray, np.ndarray]] = []
+        for lo, hi in batched(texts):
+            w = Words(texts[lo:hi])
+            at = w.windows(window)
+            hit = np.zeros(len(at), bool)
+            if len(at) and any(chunks[i].is_valid or windows[i].is_valid for i in range(lo, hi)):
+                chunk, owner, number = w.chunks(parse(w.tokens), at, window)
+                hit = among(chunk, owner, chunks, lo, hi - lo)[number]
+                hit |= among(interval_hashes(w.prefix, at, at + window), w.owner[at], windows, lo, hi - lo)
+            at = at[hit]
+            ends = np.searchsorted(w.owner[at], np.arange(hi - lo + 1))
+            offset = np.cumsum([0, *[len(t) + 1 for t in texts[lo:hi]]])
+            for i in range(hi - lo):
+                a, z = w.first_word[i], w.first_word[i] + w.sizes[i]
+                starts = at[ends[i] : ends[i + 1]] - w.begin[i]
+                self.n.append(int(w.sizes[i]))
+                self.bounds.append((w.start[a:z] - offset[i], w.end[a:z] - offset[i]))
+                self.gone.append(covered(int(w.sizes[i]), starts, window) if len(starts) else None)
+
+    def kept(self, i: int) -> bytes:
+        """The words of text ``i`` that stay, joined by one space."""
+        text, gone = self.texts[i], self.gone[i]
+        if gone is None:
+            return b" ".join(text.split())
+        start, end = (x[~gone].tolist() for x in self.bounds[i])
+        return b" ".join([text[a:z] for a, z in zip(start, end, strict=True)])
+
+
+def _with_repeats(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    found = repeats(docs, window, id_col, text_col).withColumnsRenamed({"id": "_sd_id", "chunks": "_sd_chunks", "windows": "_sd_windows"})
+    return docs.join(found, F.col(id_col) == F.col("_sd_id"), "left").drop("_sd_id")
 
 
 def digests(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """n_words, n_removed and the digest of the kept words of every document."""
-    joined = _with_windows(docs.select(id_col, text_col), window, id_col, text_col)
+    joined = _with_repeats(docs.select(id_col, text_col), window, id_col, text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, gone, sha = [], [], []
-        for text, windows in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-            total, kept, removed = kept_words(text, windows, window, _memo())
-            n.append(total)
-            gone.append(removed)
-            sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], ["id", "n_words", "n_removed", "kept_sha256"])
+        c = Cut(_bytes(batch.column(1)), batch.column(2), batch.column(3), window)
+        gone = [0 if g is None else int(g.sum()) for g in c.gone]
+        sha = [hashlib.sha256(c.kept(i)).hexdigest() for i in range(batch.num_rows)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(c.n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], ["id", "n_words", "n_removed", "kept_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(joined, [id_col, text_col, "_sd_windows"], run, f"id {kind}, n_words long, n_removed long, kept_sha256 string", 256).withColumnRenamed("id", id_col)
+    return map_texts(joined, [id_col, text_col, "_sd_chunks", "_sd_windows"], run, f"id {kind}, n_words long, n_removed long, kept_sha256 string", 256).withColumnRenamed("id", id_col)
 
 
 def remove(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -167,18 +274,16 @@ def remove(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_c
     A text that loses words becomes its kept words joined by one space; any
     other text stays as it is, white space included.
     """
-    joined = _with_windows(docs, window, id_col, text_col)
+    joined = _with_repeats(docs, window, id_col, text_col)
     names = docs.columns
     place = names.index(text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = []
-        for text, windows in zip(batch.column(place).to_pylist(), batch.column(len(names)), strict=True):
-            _, kept, removed = kept_words(text, windows, window, _memo()) if windows.is_valid else (0, [], 0)
-            texts.append(b" ".join(kept).decode() if removed else text)
+        c = Cut(_bytes(batch.column(place)), batch.column(len(names)), batch.column(len(names) + 1), window)
+        texts = [t if g is None else c.kept(i).decode() for i, (t, g) in enumerate(zip(batch.column(place).to_pylist(), c.gone, strict=True))]
         out = [batch.column(i) for i in range(len(names))]
         out[place] = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays(out, names)
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    return map_texts(joined, [*names, "_sd_windows"], run, schema, 256)
+    return map_texts(joined, [*names, "_sd_chunks", "_sd_windows"], run, schema, 256)
