@@ -5,12 +5,15 @@ a ``length``-byte string that covers it also starts earlier: in a document with
 a smaller id, or in the same one at an earlier place. Overlaps count, and
 strings are judged on the input.
 
-1. Sharding. Every string of ``length`` bytes picks an anchor, the smallest
-   hash of its ``GRAM``-byte pieces (leftmost of equals); equal strings pick
-   equal anchors. Strings whose anchor occurs once cannot repeat and end here.
-2. Consecutive strings that pick the same anchor form a fragment. Equal
-   fragments are combined before the shuffle and keep their earliest place;
-   the later ones are wholly repeated.
+1. Chunks. Texts are cut where the hash of a ``GRAM``-byte piece says so, about
+   every ``ONE_IN`` bytes. Of equal chunks (each with the bytes that its last
+   strings need) all but the earliest are repeated as a whole; long copies end
+   here. The earliest place of a string is never in such a chunk.
+2. Sharding. Every remaining string of ``length`` bytes picks an anchor, the
+   smallest hash of its pieces (leftmost of equals); equal strings pick equal
+   anchors. Strings whose anchor occurs once cannot repeat and end here.
+   Consecutive strings with one anchor form a fragment; of equal fragments all
+   but the earliest are repeated as a whole.
 3. Different fragments of an anchor meet in one shard. The shard's suffix array is
    built by external induced sorting (:mod:`.induced_sort`), with disk-backed
    queues; runs of suffixes whose common prefix has ``length`` bytes are
@@ -32,13 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_texts
+from .common import Stored, cut, map_texts
 from .induced_sort import common_prefixes, suffix_array
 from .recompression import interval_hashes, mixed, prefix_hashes
-from .substring_dedup import swept
+from .substring_dedup import among, swept
 
 LENGTH = 100
 GRAM = 32
+#: Mean bytes between cuts.
+ONE_IN = 256
 #: Bytes of one suffix array.
 SHARD_BYTES = 3 << 20
 #: Bytes of texts looked at together.
@@ -58,39 +63,64 @@ def batches_of(texts: list[bytes]):
         yield start, len(texts)
 
 
-def fragments(texts: list[bytes], length: int, gram: int = GRAM):
-    """For runs of strings with one anchor: (document, first start, strings, anchor)."""
-    sizes = np.array([len(t) for t in texts], np.int64)
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    m = len(raw) - length + 1
-    if m <= 0:
-        e = np.empty(0, np.int64)
-        return e, e, e, e.astype(_U), raw
-    prefix = prefix_hashes(raw.astype(_U) + _U(1))
-    at = np.arange(len(raw) - gram + 1)
-    h = interval_hashes(prefix, at, at + gram)
-    low = (h & _U((1 << 64) - (1 << 22))) | at.astype(_U)  # BATCH_BYTES or one text: under 2^22 places, else see below
-    if len(raw) >= 1 << 22:
-        low = np.lexsort((at, h)).argsort().astype(_U)
-    width, span = 1, length - gram + 1
-    least = low
-    while 2 * width <= span:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    least = np.minimum(least[:m], least[span - width : span - width + m])
-    if len(raw) >= 1 << 22:
-        place = np.lexsort((at, h))[least.astype(np.int64)]
-    else:
-        place = (least & _U((1 << 22) - 1)).astype(np.int64)
-    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    doc = np.repeat(np.arange(len(texts)), sizes)[:m]
-    inside = np.arange(m) + length <= (begin + sizes)[doc]
-    new = np.ones(m, bool)
-    new[1:] = (place[1:] != place[:-1]) | ~inside[:-1] | (doc[1:] != doc[:-1])
-    first = np.flatnonzero(new & inside)
-    stop = np.append(np.flatnonzero(new | ~inside), m)
-    last = stop[np.searchsorted(stop, first, "right")]
-    return doc[first], first - begin[doc[first]], last - first, h[place[first]], raw
+class Bytes:
+    """The bytes of some texts, with the hashes of their pieces."""
+
+    def __init__(self, texts: list[bytes], length: int, gram: int = GRAM):
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.raw = np.frombuffer(b"".join(texts), np.uint8)
+        self.begin = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
+        self.length, self.gram = length, gram
+        m = max(0, len(self.raw) - length + 1)
+        owner = np.repeat(np.arange(len(texts)), self.sizes)[:m]
+        at = np.arange(m)
+        inside = at + length <= (self.begin + self.sizes)[owner]
+        self.at, self.owner = at[inside], owner[inside]  # starts of whole strings
+        self.prefix = prefix_hashes(self.raw.astype(_U) + _U(1))
+        p = np.arange(len(self.raw) - gram + 1) if m else np.empty(0, np.int64)
+        self.pieces = interval_hashes(self.prefix, p, p + gram)
+
+    def _runs(self, new: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, last) string start of each run of ``at``, given where runs begin."""
+        heads = np.flatnonzero(new)
+        return at[heads], at[np.append(heads[1:], len(at)) - 1]
+
+    def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, document and first start of each chunk, and the chunk number of each string."""
+        if not len(self.at):
+            e = np.empty(0, np.int64)
+            return e.astype(_U), e, e, e
+        mark = np.zeros(len(self.raw) + 1, np.int64)
+        mark[: len(self.pieces)] = mixed(self.pieces) % _U(ONE_IN) == 0
+        group = np.cumsum(mark)[self.at]
+        new = np.ones(len(self.at), bool)
+        new[1:] = (group[1:] != group[:-1]) | (self.owner[1:] != self.owner[:-1])
+        first, last = self._runs(new, self.at)
+        doc = self.owner[new]
+        names = mixed(interval_hashes(self.prefix, first, last + self.length) ^ _U(self.length))
+        return names, doc, first - self.begin[doc], np.cumsum(new) - 1
+
+    def fragments(self, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, first place in the batch, strings, anchor) of runs of fresh strings with one anchor."""
+        at, owner = self.at[fresh], self.owner[fresh]
+        if not len(at):
+            e = np.empty(0, np.int64)
+            return e, e, e, e.astype(_U)
+        n = len(self.pieces)
+        # the least piece of each string; the place in the low bits makes the leftmost of equals least
+        bits = _U(max(24, int(n).bit_length()))  # alike in all batches but those of one giant text
+        low = (self.pieces >> bits << bits) | np.arange(n).astype(_U)
+        width, span = 1, self.length - self.gram + 1
+        least = low
+        while 2 * width <= span:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        least = np.minimum(least[at], least[at + span - width])
+        place = (least & ((_U(1) << bits) - _U(1))).astype(np.int64)
+        new = np.ones(len(at), bool)
+        new[1:] = (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])
+        first, last = self._runs(new, at)
+        return owner[new], first, last - first + 1, self.pieces[place[new]]
 
 
 def _bytes(text: str | None) -> bytes:
@@ -102,75 +132,87 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
+    signed = lambda x: pa.array((np.concatenate(x) if x else np.empty(0, _U)).view(np.int64))
+    whole = lambda x, t: np.concatenate(x).astype(t) if x else np.empty(0, t)
 
-    def anchors(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def parts(batch: pa.RecordBatch):
         texts = [_bytes(t) for t in batch.column(1).to_pylist()]
-        a, n, d = [], [], []
         for lo, hi in batches_of(texts):
-            doc, _, _, name, _ = fragments(texts[lo:hi], length)
+            yield lo, hi, Bytes(texts[lo:hi], length)
+
+    def fresh_strings(b: Bytes, lists: pa.Array, lo: int, hi: int) -> np.ndarray:
+        """Which strings are outside of the chunks that start at the listed places."""
+        _, doc, start, number = b.chunks()
+        return ~among(start.astype(_U), doc, lists, lo, hi - lo)[number] if len(number) else np.zeros(0, bool)
+
+    def chunk_scan(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names, docs_, starts, counts = [], [], [], []
+        for lo, _, b in parts(batch):
+            name, doc, start, number = b.chunks()
+            names.append(name)
+            docs_.append(doc + lo)
+            starts.append(start)
+            counts.append(np.bincount(number, minlength=len(name)))
+        return pa.RecordBatch.from_arrays([signed(names), batch.column(0).take(pa.array(whole(docs_, np.int64))), pa.array(whole(starts, np.int64)), pa.array(whole(counts, np.int32))], ["v", "id", "a", "n"])
+
+    rows = Stored(map_texts(named, ["id", "text"], chunk_scan, f"v long, id {kind}, a long, n int", 256))
+    earliest = rows.df.groupBy("v").agg(F.min(F.struct("id", "a")).alias("o"), F.count(F.lit(1)).alias("c")).where("c > 1").select("v", "o")
+    copies = rows.df.join(earliest, "v").where("id > o.id or a > o.a")
+    copied = cut(copies.groupBy("id").agg(F.collect_list("a").alias("starts"), F.collect_list(F.struct(F.col("a").cast("int").alias("a"), (F.col("a") + F.col("n")).cast("int").alias("z"))).alias("ranges")))
+    rows.drop()
+    swept(spark)
+
+    def anchor_scan(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names, docs_, counts = [], [], []
+        for lo, hi, b in parts(batch):
+            doc, _, _, name = b.fragments(fresh_strings(b, batch.column(2), lo, hi))
+            ends = np.searchsorted(doc, np.arange(hi - lo + 1))
             for i in range(hi - lo):
-                x, z = np.searchsorted(doc, [i, i + 1])
-                names, counts = np.unique(name[x:z], return_counts=True)
-                a.append(names)
-                n.append(counts)
-                d.append(np.full(len(names), lo + i, np.int64))
-        one = lambda x, t: np.concatenate(x).astype(t) if x else np.empty(0, t)
+                own, n = np.unique(name[ends[i] : ends[i + 1]], return_counts=True)
+                names.append(own)
+                counts.append(n)
+                docs_.append(np.full(len(own), lo + i))
+        return pa.RecordBatch.from_arrays([signed(names), batch.column(0).take(pa.array(whole(docs_, np.int64))), pa.array(whole(counts, np.int32))], ["anchor", "id", "n"])
+
+    left = named.join(copied.select("id", "starts"), "id", "left")
+    rows = Stored(map_texts(left, ["id", "text", "starts"], anchor_scan, f"anchor long, id {kind}, n int", 256))
+    swept(spark)
+    shared = rows.df.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+    wanted = cut(rows.df.select("anchor", "id").join(shared, "anchor").groupBy("id").agg(F.collect_list("anchor").alias("anchors")))
+    rows.drop()
+    swept(spark)
+
+    def fragment_scan(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names, prints, docs_, starts, counts, bodies = [], [], [], [], [], []
+        for lo, hi, b in parts(batch):
+            doc, first, count, name = b.fragments(fresh_strings(b, batch.column(2), lo, hi))
+            keep = among(name, doc, batch.column(3), lo, hi - lo)
+            doc, first, count, name = doc[keep], first[keep], count[keep], name[keep]
+            last = first + count + length - 1
+            names.append(name)
+            prints.append(mixed(interval_hashes(b.prefix, first, last) + name))
+            docs_.append(doc + lo)
+            starts.append(first - b.begin[doc])
+            counts.append(count)
+            view = b.raw.tobytes()
+            bodies += [view[x:y] for x, y in zip(first.tolist(), last.tolist(), strict=True)]
         return pa.RecordBatch.from_arrays(
-            [pa.array((np.concatenate(a) if a else np.empty(0, _U)).view(np.int64)), batch.column(0).take(pa.array(one(d, np.int64))), pa.array(one(n, np.int32))], ["anchor", "id", "n"]
+            [signed(names), signed(prints), batch.column(0).take(pa.array(whole(docs_, np.int64))), pa.array(whole(starts, np.int32)), pa.array(whole(counts, np.int32)), pa.array(bodies, pa.binary())],
+            ["anchor", "print", "id", "a", "n", "body"],
         )
 
-    rows = map_texts(named, ["id", "text"], anchors, f"anchor long, id {kind}, n int", 128)
-    shared = rows.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    wanted = cut(rows.select("anchor", "id").join(shared, "anchor").groupBy("id").agg(F.collect_list("anchor").alias("anchors")))
+    asked = named.join(wanted, "id").join(copied.select("id", "starts"), "id", "left")
+    rows = Stored(map_texts(asked, ["id", "text", "starts", "anchors"], fragment_scan, f"anchor long, print long, id {kind}, a int, n int, body binary", 64))
     swept(spark)
-
-    def cut_out(with_bytes: bool):
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [_bytes(t) for t in batch.column(1).to_pylist()]
-            ids, starts, counts, names, prints, bodies = [], [], [], [], [], []
-            for lo, hi in batches_of(texts):
-                doc, start, count, name, raw = fragments(texts[lo:hi], length)
-                begin = np.cumsum([0, *[len(t) for t in texts[lo:hi]]])
-                keep = np.zeros(len(doc), bool)
-                for i in range(hi - lo):
-                    x, z = np.searchsorted(doc, [i, i + 1])
-                    if z > x:
-                        keep[x:z] = np.isin(name[x:z], batch.column(2)[lo + i].values.to_numpy().view(_U))
-                doc, start, count, name = doc[keep], start[keep], count[keep], name[keep]
-                a = begin[doc] + start
-                z = a + count + length - 1
-                prefix = prefix_hashes(raw.astype(_U) + _U(1))
-                ids.append(doc + lo)
-                starts.append(start)
-                counts.append(count)
-                names.append(name)
-                prints.append(mixed(interval_hashes(prefix, a, z) + name))
-                if with_bytes:
-                    view = raw.tobytes()
-                    bodies += [view[x:y] for x, y in zip(a.tolist(), z.tolist(), strict=True)]
-            one = lambda x, t: np.concatenate(x).astype(t) if x else np.empty(0, t)
-            signed = lambda x: (np.concatenate(x) if x else np.empty(0, _U)).view(np.int64)
-            out = [pa.array(signed(names)), pa.array(signed(prints)), batch.column(0).take(pa.array(one(ids, np.int64))), pa.array(one(starts, np.int32)), pa.array(one(counts, np.int32))]
-            if with_bytes:
-                out.append(pa.array(bodies, pa.binary()))
-            return pa.RecordBatch.from_arrays(out, ["anchor", "print", "id", "a", "n", "body"][: len(out)])
-
-        return run
-
-    asked = named.join(wanted, "id")
-    schema = f"anchor long, print long, id {kind}, a int, n int"
-    whole = map_texts(asked, ["id", "text", "anchors"], cut_out(True), schema + ", body binary", 64)
-    first = whole.groupBy("anchor", "print").agg(F.min(F.struct("id", "a", "n")).alias("at"), F.first("body").alias("body"))
-    first = cut(first.select("anchor", "print", F.col("at.id").alias("id"), F.col("at.a").alias("a"), "body"))
+    origin = rows.df.groupBy("anchor", "print").agg(F.min(F.struct("id", "a")).alias("o"))
+    marked = rows.df.join(origin, ["anchor", "print"])
+    is_first = (F.col("id") == F.col("o.id")) & (F.col("a") == F.col("o.a"))
+    again = cut(rows.df.drop("body").join(origin, ["anchor", "print"]).where(~is_first).select("id", "a", (F.col("a") + F.col("n")).alias("z")))
     swept(spark)
-
-    bare = map_texts(asked, ["id", "text", "anchors"], cut_out(False), schema, 64)
-    origin = first.select("anchor", "print", F.col("id").alias("_id"), F.col("a").alias("_a"))
-    again = bare.join(origin, ["anchor", "print"]).where("id > _id or a > _a")
-    again = again.select("id", "a", (F.col("a") + F.col("n")).alias("z"))
-
-    several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
-    shards = first.join(several, "anchor").select("anchor", "id", "a", "body")
+    # fragments that meet another one under their anchor; a repeated id may repeat a first place
+    several = origin.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
+    first = marked.where(is_first).select("anchor", "id", "a", "body")
+    shards = first.join(several, "anchor", "left_semi")
     dealt = shards.repartition("anchor").sortWithinPartitions("anchor", "id", "a")
 
     def sort_shards(batches):
@@ -193,7 +235,9 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], kind_of), pa.array([x[1] for x in found], pa.int32()), pa.array([x[2] for x in found], pa.int32())], ["id", "a", "z"])
 
     inner = dealt.mapInArrow(sort_shards, f"id {kind}, a int, z int")
-    out = cut(again.unionByName(inner).groupBy("id").agg(F.collect_list(F.struct("a", "z")).alias("ranges")))
+    whole_chunks = copied.select("id", F.explode("ranges").alias("r")).select("id", "r.a", "r.z")
+    out = cut(again.unionByName(inner).unionByName(whole_chunks).groupBy("id").agg(F.collect_list(F.struct("a", "z")).alias("ranges")))
+    rows.drop()
     swept(spark)
     return out
 
