@@ -43,7 +43,7 @@ class PipelineConfig:
     skip_api_sources: bool = False
     continue_on_source_error: bool = True
     refresh_lookback_days: int = 14
-    playlist_name: str = "New House Fridays"
+    playlist_name: str = ""
     extra: dict = field(default_factory=dict)
 
 
@@ -67,7 +67,7 @@ SOURCE_ORDER = (
     ("weraveyou", False),
     ("1001tracklists", False),
     ("followed_soundcloud", True),
-    ("top_artisits_recent", True),
+    ("top_artists_recent", True),
 )
 
 
