@@ -33,7 +33,7 @@ def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of near copies (similarity 0.8 on five-word shingles) keep the smallest id."""
     groups = minhash.near_duplicates(docs, percent=80)
     kept = groups.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").select(*COLUMNS)
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

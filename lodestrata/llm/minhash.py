@@ -17,7 +17,8 @@
 
 Defined results: a text with fewer words than a shingle has its whole word
 sequence as its only shingle; without a word (or null) the set is empty and linked with
-nothing. Rows with equal ids count as one document each time they occur.
+nothing. Rows with equal ids count as one document each time they occur; rows
+with a null id are linked with nothing and kept.
 Extra columns are ignored.
 """
 
@@ -256,10 +257,10 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_c
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept): component_id is the smallest id reachable."""
     rows = cut(described(docs, id_col, text_col))
-    filled = rows.where("n_shingles > 0")
+    filled = rows.where("n_shingles > 0 and id is not null")
     classes = cut(filled.groupBy("fp").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")))
     found = connected_components(cut(links(docs, classes, percent, id_col, text_col)))
     groups = classes.select("fp", "rep").join(found, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     named = filled.select("id", "n_shingles", "fp").join(groups, "fp").select("id", "n_shingles", "component_id")
-    empty = rows.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"))
-    return named.unionByName(empty).select(F.col("id").alias(id_col), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    empty = rows.where("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component_id"))
+    return named.unionByName(empty).select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -347,6 +347,21 @@ def test_near_duplicate_chains_and_blocks(spark, monkeypatch):
     assert {i: tuple(got[i])[1:] for i in got} == brute_groups(rows, 85)
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    t = " ".join(f"w{i}" for i in range(20))
+    df = spark.createDataFrame([(None, t), (None, None), (3, t), (3, t), (4, t)], "doc_id long, text string")
+    got = sorted((r["doc_id"] or -1, r["component_id"] or -1, r["kept"]) for r in minhash.near_duplicates(df).collect())
+    assert got == [(-1, -1, True), (-1, -1, True), (3, 3, True), (3, 3, True), (4, 3, False)]
+
+
+def test_null_ids_elsewhere(spark):
+    df = spark.createDataFrame([(None, "ab token=abcdefgh"), (None, None), (1, "ab")], "doc_id long, text string")
+    assert sorted(r["n_tokens"] for r in bpe.digests(df, VOCABULARY).collect())[0] == 0
+    assert packing.pack_documents(df, VOCABULARY).count() == 3
+    assert sorted(r["n_assign"] for r in secret_scan.digest(secret_scan.find(df)).collect()) == [0, 0, 1]
+    assert suffix_dedup.digests(df).count() == 3 and minhash.near_duplicates(df).count() == 3
+
+
 def test_pigeonhole_keys():
     import numpy as np
 
