@@ -107,13 +107,16 @@ def anchors(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], prefix: np.
     return best
 
 
-def cuts(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int, one_in: int) -> np.ndarray:
+def cuts(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], limit: np.ndarray, one_in: int) -> np.ndarray:
     """Places where the coarsest round cuts: starts of those top symbols whose name says so.
 
-    A cut depends on its symbol's context alone, so equal stretches are cut alike.
+    limit: for each token, the end of its text. A context that runs over the end
+    of its text (as that of a run of equal last words does) cuts nothing. So a cut
+    depends on its symbol's context, a part of one text, alone: equal stretches are
+    cut alike, whatever is parsed beside them.
     """
     name, start, end = levels[-1]
-    ok = (start >= 0) & (end <= n) & (mixed(name + U(0xC0FFEE)) % U(one_in) == 0)
+    ok = (start >= 0) & (end <= limit[start]) & (mixed(name + U(0xC0FFEE)) % U(one_in) == 0)
     return np.unique(start[ok])
 
 

@@ -81,7 +81,7 @@ class Words:
         """Hash of each chunk, its document, and the chunk number of each window."""
         new = np.zeros(len(self.tokens) + 1, bool)
         new[self.begin] = True
-        new[cuts(levels, len(self.tokens), ONE_IN)] = True
+        new[cuts(levels, (self.begin + self.sizes)[self.owner], ONE_IN)] = True
         group = np.cumsum(new)[at]
         head = np.ones(len(at), bool)
         head[1:] = group[1:] != group[:-1]

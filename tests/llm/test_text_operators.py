@@ -211,6 +211,37 @@ def test_substring_dedup_null_and_repeated_ids(spark):
     assert got == [(-1, 0), (2, 0), (2, 0), (5, 20)]
 
 
+def test_substring_chunks_do_not_depend_on_neighbours():
+    from lodestrata.llm.recompression import parse
+
+    rng = random.Random(1)
+
+    def chunks(texts, i):
+        w = substring_dedup.Words([t.encode() for t in texts])
+        at = w.windows(13)
+        name, owner, _ = w.chunks(parse(w.tokens), at, 13)
+        return name[owner == i].tolist()
+
+    for tail in (0, 9, 12, 20, 40):
+        for lead in (30, 0):
+            for _ in range(40):
+                t = " ".join([words(rng, lead), *["0"] * tail]).strip()
+                if len(t.split()) >= 13:
+                    alone = chunks([t], 0)
+                    assert alone == chunks([t, words(rng, 20)], 0) == chunks([words(rng, 9), t, words(rng, 33)], 1) == chunks(["0 0", "", t, "", "0 0"], 2)
+
+
+def test_substring_dedup_with_equal_last_words(spark):
+    """Passes batch the texts in other orders; texts that end in equal words lose all the same."""
+    rng = random.Random(2)
+    heads = [words(rng, 20) for _ in range(60)]
+    rows = [(k * 60 + i, f"{h} {' '.join(['|'] * 20)}") for k in range(3) for i, h in enumerate(heads)]
+    rows += [(200 + i, words(rng, 15)) for i in range(60)]
+    rng.shuffle(rows)
+    got = pairs(substring_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)))
+    assert {i: tuple(got[i])[1:] for i in got} == brute_windows(rows)
+
+
 # --- op4 ---
 
 
