@@ -18,7 +18,11 @@ strings are judged on the input.
    built by external induced sorting (:mod:`.induced_sort`), with disk-backed
    queues; runs of suffixes whose common prefix has ``length`` bytes are
    occurrences of the same string, of which only the earliest stays. A shard
-   larger than ``SHARD_BYTES`` is sorted in pieces of whole anchors.
+   larger than ``SHARD_BYTES`` is sorted in pieces of whole anchors. An anchor of
+   more than ``HOT`` fragments is split first: strings that hold it at the same
+   few places share the bytes around it, and meet by these; those of more than
+   ``HOT`` parts are split into single strings, which meet by their hashes. So
+   no suffix array grows with the input.
 4. The places found go back to their documents, which are cut.
 
 Defined results: a null text is empty. Ids are expected to be distinct; places
@@ -46,6 +50,12 @@ GRAM = 32
 ONE_IN = 256
 #: Bytes of one suffix array.
 SHARD_BYTES = 3 << 20
+#: Most fragments of one anchor that are sorted together (about ``SHARD_BYTES``).
+HOT = SHARD_BYTES // (2 * LENGTH - GRAM)
+#: Places of an anchor in its strings that one part of a split fragment spans.
+PART = 18
+#: Keys of split anchors that are broadcast; more are shuffled.
+BROADCAST_KEYS = 1 << 20
 #: Bytes of texts looked at together.
 BATCH_BYTES = 1 << 20
 _U = np.uint64
@@ -123,6 +133,77 @@ class Bytes:
         return owner[new], first, last - first + 1, self.pieces[place[new]]
 
 
+def anchor_places(bodies: list[bytes], anchors: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """Where each fragment holds its anchor: the leftmost piece of that hash."""
+    sizes = np.array([len(b) for b in bodies], np.int64)
+    begin = np.cumsum(sizes) - sizes
+    prefix = prefix_hashes(np.frombuffer(b"".join(bodies), np.uint8).astype(_U) + _U(1))
+    p = np.arange(int(sizes.sum()) - gram + 1)
+    owner = np.repeat(np.arange(len(bodies)), sizes)[: len(p)]
+    hit = p[(p + gram <= (begin + sizes)[owner]) & (interval_hashes(prefix, p, p + gram) == anchors[owner])]
+    return hit[np.searchsorted(hit, begin)] - begin
+
+
+def parted(bodies: list[bytes], anchors: np.ndarray, places: np.ndarray, length: int, step: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(fragment, first string, strings, key) of each fragment's parts.
+
+    A part has the strings that hold the anchor at ``step`` neighbouring places. The
+    key hashes the bytes that all of them hold, so equal strings get equal keys.
+    """
+    sizes = np.array([len(b) for b in bodies], np.int64)
+    begin = np.cumsum(sizes) - sizes
+    prefix = prefix_hashes(np.frombuffer(b"".join(bodies), np.uint8).astype(_U) + _U(1))
+    count = sizes - length + 1
+    owner = np.repeat(np.arange(len(bodies)), count)
+    string = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    group = (places[owner] - string) // step
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (group[1:] != group[:-1])
+    heads = np.flatnonzero(new)
+    owner, first, group = owner[heads], string[heads], group[heads]
+    at = begin[owner] + places[owner]
+    low, high = group * step, np.minimum(group * step + step - 1, length - gram)
+    common = interval_hashes(prefix, at - low, at - high + length)
+    key = mixed(common + mixed(anchors[owner] + group.astype(_U) * _U(512) + _U(step)))
+    return owner, first, np.diff(np.append(heads, len(string))), key
+
+
+def _parts(rows: DataFrame, kind: str, length: int, step: int, placed: bool) -> DataFrame:
+    """(anchor, id, a, body, p) of the parts of fragments; the key of a part is its anchor. Single strings come without a body."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        anchors, a = batch.column(0).to_numpy().view(_U), batch.column(2).to_numpy().astype(np.int64)
+        bodies = batch.column(3).to_pylist()
+        if not bodies:
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), batch.column(1), pa.array([], pa.int32()), pa.array([], pa.binary()), pa.array([], pa.int32())], names)
+        places = batch.column(4).to_numpy().astype(np.int64) if placed else anchor_places(bodies, anchors)
+        of, first, n, key = parted(bodies, anchors, places, length, step)
+        cut_out = [bodies[o][x:z] if step > 1 else b"" for o, x, z in zip(of.tolist(), first.tolist(), (first + n + length - 1).tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key.view(np.int64)), batch.column(1).take(pa.array(of)), pa.array((a[of] + first).astype(np.int32)), pa.array(cut_out, pa.binary()), pa.array((places[of] - first).astype(np.int32))], names
+        )
+
+    names = ["anchor", "id", "a", "body", "p"]
+    return map_texts(rows, names if placed else names[:4], run, f"anchor long, id {kind}, a int, body binary, p int")
+
+
+def split(hot: DataFrame, length: int) -> tuple[DataFrame, DataFrame | None]:
+    """Fragments (anchor, id, a, body) of hot anchors as shards of at most ``HOT`` parts, and (id, a, z) of strings found on the way."""
+    kind = hot.schema["id"].dataType.simpleString()
+    parts = _parts(hot, kind, length, PART, False)
+    counts = cut(parts.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    full = counts.where(F.col("c") > HOT).select("anchor")
+    n = full.count()
+    if not n:
+        return parts.join(counts, "anchor", "left_semi").select("anchor", "id", "a", "body"), None
+    full = F.broadcast(full) if n <= BROADCAST_KEYS else full
+    cold = parts.join(full, "anchor", "left_anti").join(counts, "anchor", "left_semi").select("anchor", "id", "a", "body")
+    strings = _parts(parts.join(full, "anchor", "left_semi"), kind, length, 1, True).select("anchor", "id", "a")
+    earliest = strings.groupBy("anchor").agg(F.min(F.struct("id", "a")).alias("o"), F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor", "o")
+    later = strings.join(earliest, "anchor").where("id > o.id or a > o.a")
+    return cold, later.select("id", "a", (F.col("a") + 1).alias("z"))
+
+
 def _bytes(text: str | None) -> bytes:
     return text.encode() if text else b""
 
@@ -177,8 +258,9 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
     left = named.join(copied.select("id", "starts"), "id", "left")
     rows = Stored(map_texts(left, ["id", "text", "starts"], anchor_scan, f"anchor long, id {kind}, n int", 256))
     swept(spark)
-    shared = rows.df.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    wanted = cut(rows.df.select("anchor", "id").join(shared, "anchor").groupBy("id").agg(F.collect_list("anchor").alias("anchors")))
+    shared = rows.df.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
+    named_hot = F.when(F.col("n") > HOT, F.col("anchor")).alias("hot")
+    wanted = cut(rows.df.select("anchor", "id").join(shared, "anchor").select("id", "anchor", named_hot).groupBy("id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("hot").alias("hot")))
     rows.drop()
     swept(spark)
 
@@ -201,7 +283,9 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
             ["anchor", "print", "id", "a", "n", "body"],
         )
 
-    asked = named.join(wanted, "id").join(copied.select("id", "starts"), "id", "left")
+    hot = cut(wanted.select(F.explode("hot").alias("anchor")).distinct())
+    n_hot = hot.count()
+    asked = named.join(wanted.select("id", "anchors"), "id").join(copied.select("id", "starts"), "id", "left")
     rows = Stored(map_texts(asked, ["id", "text", "starts", "anchors"], fragment_scan, f"anchor long, print long, id {kind}, a int, n int, body binary", 64))
     swept(spark)
     origin = rows.df.groupBy("anchor", "print").agg(F.min(F.struct("id", "a")).alias("o"))
@@ -212,7 +296,15 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
     # fragments that meet another one under their anchor; a repeated id may repeat a first place
     several = origin.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
     first = marked.where(is_first).select("anchor", "id", "a", "body")
-    shards = first.join(several, "anchor", "left_semi")
+    found = again
+    if n_hot:
+        hot = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
+        held = Stored(first.join(hot, "anchor", "left_semi"))
+        parts, later = split(held.df, length)
+        shards = first.join(hot, "anchor", "left_anti").join(several, "anchor", "left_semi").unionByName(parts)
+        found = found if later is None else found.unionByName(later)
+    else:
+        shards = first.join(several, "anchor", "left_semi")
     dealt = shards.repartition("anchor").sortWithinPartitions("anchor", "id", "a")
 
     def sort_shards(batches):
@@ -236,8 +328,10 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
 
     inner = dealt.mapInArrow(sort_shards, f"id {kind}, a int, z int")
     whole_chunks = copied.select("id", F.explode("ranges").alias("r")).select("id", "r.a", "r.z")
-    out = cut(again.unionByName(inner).unionByName(whole_chunks).groupBy("id").agg(F.collect_list(F.struct("a", "z")).alias("ranges")))
+    out = cut(found.unionByName(inner).unionByName(whole_chunks).groupBy("id").agg(F.collect_list(F.struct("a", "z")).alias("ranges")))
     rows.drop()
+    if n_hot:
+        held.drop()
     swept(spark)
     return out
 

@@ -267,6 +267,26 @@ def test_suffix_dedup(docs, empty, length):
     assert pairs(suffix_dedup.remove(docs))[3]["text"] == ""
 
 
+@pytest.mark.parametrize("length", [70, 100])
+def test_suffix_dedup_splits_hot_anchors(spark, monkeypatch, length):
+    """No shard takes more than HOT fragments of an anchor in a very frequent phrase."""
+    rng = random.Random(6)
+    rows = []
+    for phrase in (words(rng, 400)[:n] for n in (45, 88, 130)):
+        rows += [f"{words(rng, rng.randint(0, 30))}{phrase}{words(rng, rng.randint(0, 30))}" for _ in range(60)]
+        rows += [words(rng, 3) + " " + rng.choice(rows)[rng.randint(0, 60) :] for _ in range(30)]
+    rng.shuffle(rows)
+    rows = [(i, t) for i, t in enumerate(rows)]
+    splits = []
+    real = suffix_dedup.split
+    monkeypatch.setattr(suffix_dedup, "HOT", 15)
+    monkeypatch.setattr(suffix_dedup, "split", lambda hot, n: splits.append((hot.groupBy("anchor").count().agg({"count": "max"}).first()[0], real(hot, n)[0].groupBy("anchor").count().agg({"count": "max"}).first()[0], real(hot, n)[1] is not None)) or real(hot, n))
+    got = pairs(suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), length))
+    assert {i: tuple(got[i])[1:] for i in got} == brute_bytes(rows, length)
+    before, after, strings = splits[0]
+    assert before > 50 and after <= 15 and strings
+
+
 def test_suffix_array_and_spilling(monkeypatch):
     import numpy as np
 
