@@ -16,20 +16,21 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import cut, map_texts
 
 #: Hashed dimensions of a vector.
 DIMENSIONS = 8192
-#: The classifier is fitted on at most so many labelled texts of each language...
+#: The classifier is fitted on at most so many labelled texts of each language.
 SAMPLE_PER_LANGUAGE = 400
-#: ...and of so many languages (the alphabetically first).
-MAX_LANGUAGES = 256
+#: Chosen ids that are broadcast; more are shuffled.
+BROADCAST_IDS = 1 << 20
 #: Centroids of each language.
 CLUSTERS = 4
 #: A text is rejected below this quantile of its centroid's own similarities...
@@ -67,20 +68,19 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langu
     """At most ``per_language`` labelled texts of each language, in hash order of the id.
 
     The ranking sees ids and languages only (Spark limits each group before the
-    shuffle); the chosen ids, bounded by the two parameters, are broadcast.
+    shuffle); the chosen ids are broadcast up to ``BROADCAST_IDS``.
     """
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     order = Window.partitionBy("lang").orderBy("h", "id")
-    ids = (
+    ids = cut(
         known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
         .withColumn("n", F.row_number().over(order))
         .where(F.col("n") <= per_language)
         .select("id")
         .distinct()
-        .limit(per_language * MAX_LANGUAGES)
     )
     rows = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    return rows.join(F.broadcast(ids), "id", "left_semi")
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
 def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -124,16 +124,17 @@ def fit(
     rows = sorted(got.toArrow().to_pylist(), key=lambda r: (r["lang"], r["key"]))
     if not rows:
         return Model([], np.zeros((0, DIMENSIONS), np.float32), np.ones(DIMENSIONS, np.float32), np.zeros(0))
-    pairs = [(np.frombuffer(r["idx"], np.uint16), np.frombuffer(r["cnt"], np.uint16)) for r in rows]
     df = np.zeros(DIMENSIONS)
-    for at, _ in pairs:
-        df[at] += 1
-    idf = (np.log((1 + len(pairs)) / (1 + df)) + 1).astype(np.float32)
+    for r in rows:
+        df[np.frombuffer(r["idx"], np.uint16)] += 1
+    idf = (np.log((1 + len(rows)) / (1 + df)) + 1).astype(np.float32)
     languages, centroids, floors = [], [], []
-    for name in sorted({r["lang"] for r in rows})[:MAX_LANGUAGES]:
-        x = np.zeros((sum(r["lang"] == name for r in rows), DIMENSIONS), np.float32)
-        for row, (at, n) in zip(x, (p for p, r in zip(pairs, rows, strict=True) if r["lang"] == name), strict=True):
-            row[at] = np.log1p(n.astype(np.float32)) * idf[at]
+    for name, group in groupby(rows, key=lambda r: r["lang"]):
+        own_rows = list(group)
+        x = np.zeros((len(own_rows), DIMENSIONS), np.float32)
+        for row, r in zip(x, own_rows, strict=True):
+            at = np.frombuffer(r["idx"], np.uint16)
+            row[at] = np.log1p(np.frombuffer(r["cnt"], np.uint16).astype(np.float32)) * idf[at]
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
         c = cluster(x, clusters)
         near = x @ c.T
@@ -148,7 +149,7 @@ def fit(
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, lang_pred, score (cosine, 0 to 1) and rejected; one narrow pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # size fixed by DIMENSIONS, CLUSTERS and MAX_LANGUAGES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMENSIONS x CLUSTERS floats (128 KiB) for each language
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = shared.value

@@ -328,6 +328,15 @@ def test_language_held_out(spark, empty):
     assert {r["lang_pred"] for r in language.predict(df, language.fit(empty)).collect()} == {"und"}
 
 
+def test_language_keeps_every_language(spark):
+    names = [f"l{i:03d}" for i in range(300)]
+    texts = {n: " ".join(random.Random(n).choices(["".join(random.Random(n + str(k)).choices("abcdefghijklmnopqrstuvwxyz", k=6)) for k in range(8)], k=30)) for n in names}
+    docs = spark.createDataFrame([(i, texts[n], n) for i, n in enumerate(names)], "doc_id long, text string, lang string")
+    model = language.fit(docs, per_language=1, clusters=1)
+    assert model.languages == names
+    assert {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, model).collect()} == dict(enumerate(names))
+
+
 def test_quality_orders_grades(spark, empty):
     rng = random.Random(3)
     grade = {0: "junk spam | click", 1: "vile awful nice text", 2: "nice text plain good"}
