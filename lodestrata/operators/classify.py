@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,10 +53,16 @@ def normalized(text: Column) -> Column:
     return F.lower(squeeze(text))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def signals(text: Column, keywords: tuple[str, ...]) -> Column:
     """The keywords that occur as whole words, in the list's order."""
-    low = normalized(text)
-    return F.array_compact(F.array(*[F.when(low.rlike(rf"(?U)(?<!\w)\Q{k}\E(?!\w)"), F.lit(k)) for k in keywords]))
+    # the plain search is fast and leaves few texts to the expression
+    found = lambda low: [F.when(F.contains(low, F.lit(k)) & low.rlike(rf"(?U)(?<!\w)\Q{k}\E(?!\w)"), F.lit(k)) for k in keywords]
+    return once(normalized(text), lambda low: F.array_compact(F.array(*found(low))))
 
 
 def has_quoted_title(text: Column) -> Column:
@@ -62,11 +70,14 @@ def has_quoted_title(text: Column) -> Column:
 
 
 def clearly_dropped(text: Column, profile: str = "A") -> Column:
-    low = normalized(text)
-    out = F.lit(False)
-    for p in CLEAR_DROP[profile]:
-        out = out | low.rlike("(?iU)" + p)
-    return out
+
+    def any_of(low: Column) -> Column:
+        out = F.lit(False)
+        for p in CLEAR_DROP[profile]:
+            out = out | low.rlike("(?iU)" + p)
+        return out
+
+    return once(normalized(text), any_of)
 
 
 def combined_text(title: Column, snippet: Column) -> Column:
@@ -80,15 +91,25 @@ def classify(title: Column, snippet: Column | None = None, profile: str = "A") -
     """
     title = F.coalesce(title, F.lit(""))
     text = combined_text(title, F.lit(None).cast("string") if snippet is None else snippet)
-    low = normalized(title)
-    include, exclude = signals(text, RELEASE_KEYWORDS[profile]), signals(text, EXCLUDE_KEYWORDS[profile])
-    dropped = clearly_dropped(text, profile)
+    facts = F.struct(
+        text.alias("text"),
+        normalized(title).alias("low"),
+        signals(text, RELEASE_KEYWORDS[profile]).alias("include"),
+        signals(text, EXCLUDE_KEYWORDS[profile]).alias("exclude"),
+        clearly_dropped(text, profile).alias("dropped"),
+        has_quoted_title(text).alias("quoted"),
+    )
+    return once(facts, lambda f: _judged(f, profile))
+
+
+def _judged(facts: Column, profile: str) -> Column:
+    text, low, include, exclude, dropped = (facts[n] for n in ("text", "low", "include", "exclude", "dropped"))
     held_back = (F.size(exclude) > 0) & ~dropped
     listen = F.contains(low, F.lit(": listen"))
     raw = (
         F.when(listen | F.endswith(low, F.lit(" listen")), 0.25).otherwise(0.0)
         + F.when(F.size(include) > 0, 0.25).otherwise(0.0)
-        + F.when(has_quoted_title(text), 0.20).otherwise(0.0)
+        + F.when(facts["quoted"], 0.20).otherwise(0.0)
         + F.when(dropped, 0.15).otherwise(0.0)
         - F.when(held_back, 0.30).otherwise(0.0)
     )

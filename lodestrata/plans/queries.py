@@ -5,6 +5,7 @@ A query without SQL is marked so and tested against brute force instead.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -392,6 +393,41 @@ def extract_titles(spark, sf):
     return rows(spark, "title string", *[(h[0],) for h in HEADLINES]).select("title", t["artist"].alias("artist"), t["title"].alias("track"))
 
 
+def _sql_any(column: str, patterns: tuple[str, ...]) -> str:
+    """Whether one of the patterns occurs; a word edge is a neighbour that is no word character."""
+    edges = [re.sub(r"\\b$", r"(?:[^\\p{L}\\p{N}_]|$)", re.sub(r"^\\b", r"(?:^|[^\\p{L}\\p{N}_])", p)).replace("'", "''") for p in patterns]
+    return "(" + " OR ".join(f"regexp_matches({column}, '(?i){p}')" for p in edges) + ")"
+
+
+def _sql_words(keywords: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(rf"\b{k}\b" for k in keywords)
+
+
+def _sql_classify() -> str:
+    """The rules of profile A over whole texts, in hundredths."""
+    marks = f"""SELECT doc_id, low,
+      {_sql_any("low", _sql_words(classify.RELEASE_KEYWORDS_A))} AS include,
+      {_sql_any("low", _sql_words(classify.EXCLUDE_KEYWORDS_A))} AS exclude,
+      {_sql_any("low", _sql_words(("announces",)))} AND NOT {_sql_any("t", (classify.CONCRETE_VERB,))} AS vague,
+      regexp_matches(t, '{q(classify.QUOTED)[1:-1]}') AS quoted,
+      {_sql_any("low", classify.CLEAR_DROP_A)} AS dropped,
+      contains(low, ': listen') AS listen,
+      starts_with(low, '[watch]') OR starts_with(low, 'watch ') OR contains(low, 'fresh picks') OR contains(low, 'on-deck circle') OR (contains(low, 'next single') AND NOT contains(low, ': listen')) AS veto
+      FROM (SELECT doc_id, coalesce(text, '') AS t, coalesce({_LOW}, '') AS low FROM documents)"""
+    points = f"""SELECT *, exclude AND NOT dropped AS held, greatest(0, least(100, CASE WHEN listen OR ends_with(low, ' listen') THEN 25 ELSE 0 END + CASE WHEN include THEN 25 ELSE 0 END
+      + CASE WHEN quoted THEN 20 ELSE 0 END + CASE WHEN dropped THEN 15 ELSE 0 END - CASE WHEN exclude AND NOT dropped THEN 30 ELSE 0 END)) AS score FROM ({marks})"""
+    return f"""SELECT doc_id, include AND score >= 30 AND NOT held AND NOT vague AND NOT veto AS release_article,
+      (CASE WHEN veto THEN 0 WHEN vague THEN least(score, 25) ELSE score END / 100.0)::DOUBLE AS confidence, dropped FROM ({points})"""
+
+
+@query(_sql_classify())
+def classify_documents(spark, sf):
+    """The classification of profile A over every whole text."""
+    c = classify.classify(F.col("text"))
+    docs = table(spark, sf, "documents").select("doc_id", c.alias("c"))
+    return docs.select("doc_id", F.col("c.release_article").alias("release_article"), F.round("c.confidence_score", 3).alias("confidence"), F.col("c.clearly_dropped").alias("dropped"))
+
+
 @query("SELECT doc_id, regexp_matches(text, '[\"''‘’“”][^\"''‘’“”]{2,120}[\"''‘’“”]') AS quoted FROM documents")
 def quoted_title(spark, sf):
     return table(spark, sf, "documents").select("doc_id", classify.has_quoted_title(F.col("text")).alias("quoted"))
