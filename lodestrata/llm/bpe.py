@@ -10,12 +10,18 @@ with an end-of-word suffix and byte-level symbols) is compiled into
 * an *offset table*: all token strings in one blob plus start offsets, by which
   ids are decoded with one vectorised gather.
 
-The encoder walks a word left to right, always takes the longest token that is
-compatible with the one before, and backtracks over end positions known to be
-dead, so each position is left at most once: the result is the exact merge
-result in time linear in the word's length.
-
-Null text counts as the empty text (no ids); texts are encoded whole.
+The encoder walks a word left to right. The automaton proposes the longest token
+at each position; a token that is not compatible with the one before gives way
+to its longest proper prefix that is a token (the *prefix table*), and
+positions from which no token leads on are left for good. So each position is
+left at most once: the result is the exact merge result in time linear in the
+word's length.
+
+Defined results: a null text counts as the empty text (no ids); texts are
+encoded whole, however long; each row is encoded on its own, repeated rows
+alike; an empty table gives no rows. Columns other than the id and the text are
+not read, so their names do not matter. A vocabulary file whose normaliser or
+split pattern is another than the one written out here raises an error.
 """
 
 from __future__ import annotations
@@ -31,16 +37,22 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import slices
+from .common import held, slices_of
 
-#: Words remembered by a worker before its cache starts afresh.
-CACHE_WORDS = 250_000
+#: Words remembered by a worker in each of two generations (some 50 MB each at most).
+CACHE_WORDS = 150_000
 #: Shift that marks the last symbol of a word (symbols lie far below it).
 LAST = 0x1000
 #: Compatible pairs remembered by a worker before the table starts afresh.
-COMPATIBLE_PAIRS = 1_000_000
+COMPATIBLE_PAIRS = 400_000
+#: Bytes of texts encoded together (or one text).
+TEXT_BYTES = 3 << 20
 #: Longer words are encoded each time, so that a cache holds small entries only.
-CACHE_CHARS = 64
+CACHE_BYTES = 32
+
+# The normaliser and the split pattern that the encoder carries out.
+NORMALISER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 @dataclass
@@ -63,6 +75,8 @@ def load_spec(path: str) -> Spec:
     model = j["model"]
     merges = [tuple(m.split(" ")) if isinstance(m, str) else (m[0], m[1]) for m in model["merges"]]
     split = next(p for p in j["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+    if j["normalizer"]["normalizers"] != NORMALISER or split["pattern"]["Regex"] != PATTERN:
+        raise ValueError(f"{path}: the encoder does not know this normaliser or split pattern")
     return Spec(
         vocab=model["vocab"],
         merges=merges,
@@ -84,24 +98,40 @@ def byte_symbols() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-class Memo(dict):
-    """Remembers ``make(key)`` of short keys; of two generations the older goes first."""
+class Memo:
+    """What was made of short keys, in two generations of which the older goes first."""
+
+    def __init__(self):
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def all_of(self, keys: list[bytes], make) -> list[bytes]:
+        out = list(map(self.new.get, keys))
+        for i in [i for i, v in enumerate(out) if v is None]:
+            key = keys[i]
+            got = self.old.get(key)
+            if got is None:
+                got = make(key)
+            out[i] = got
+            if len(key) <= CACHE_BYTES:
+                self.new[key] = got
+        if len(self.new) > CACHE_WORDS:
+            self.new, self.old = {}, self.new
+        return out
+
 
-    def __init__(self, make):
-        self.make, self.old = make, {}
+def kind_of(c: str) -> int:
+    """Class of a character in the split pattern."""
+    return LETTER if regex.match(r"\p{L}", c) else NUMERAL if regex.match(r"\p{N}", c) else BLANK if regex.match(r"\s", c) else OTHER
 
-    def __missing__(self, key: str) -> bytes:
-        got = self.old.get(key)
-        if got is None:
-            got = self.make(key)
-        if len(key) <= CACHE_CHARS:
-            self[key] = got
-        return got
 
-    def trim(self) -> None:
-        if len(self) > CACHE_WORDS:
-            self.old = dict(self)
-            self.clear()
+BLANK, LETTER, NUMERAL, OTHER = range(4)
+_ASCII_KIND = np.array([kind_of(chr(b)) if b < 128 else OTHER for b in range(256)], np.uint8)
+#: The pattern's endings after an apostrophe, of one byte and of two.
+_ENDINGS_1 = np.frombuffer(b"stmd", np.uint8)
+_ENDINGS_2 = np.array([x[0] << 8 | x[1] for x in (b"re", b"ve", b"ll")], np.uint16)
+#: By size, what of eight bytes belongs to a token.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 class Encoder:
@@ -110,7 +140,6 @@ class Encoder:
     def __init__(self, spec: Spec):
         self.spec = spec
         self.symbols = byte_symbols()
-        self.plain_ascii = {b: s for b, s in enumerate(self.symbols[:128])}
         unit = self._unit
         order: dict[str, int] = {}
         self.split: list[tuple[int, int]] = []
@@ -130,23 +159,23 @@ class Encoder:
             self.split.append((order[a], order[b]))
             self.pair[order[a] << 16 | order[b]] = n
             self.ids.append(spec.vocab[token])
+        numbers = {unit(token): n for token, n in order.items()}
         self.automaton = ahocorasick.Automaton()
         self.sizes = [1] * len(self.ids)
-        self.single: dict[str, int] = {}
-        for token, n in order.items():
-            text = unit(token)
+        self.shorter = [-1] * len(self.ids)  # prefix table: the longest proper prefix that is a token
+        for text, n in numbers.items():
             self.sizes[n] = len(text)
-            if len(text) == 1:
-                self.single[text] = n
-            else:
-                self.automaton.add_word(text, (n, len(text)))
+            for end in range(len(text) - 1, 0, -1):
+                if text[:end] in numbers:
+                    self.shorter[n] = numbers[text[:end]]
+                    break
+            self.automaton.add_word(text, n)
         self.automaton.make_automaton()
+        self.coded = [i.to_bytes(4, "little") for i in self.ids]
         assert len(self.ids) < 1 << 16, "pair keys hold two 16-bit token numbers"
         self.compatible: dict[int, bool] = {}  # the pair-compatibility table, filled as pairs are met
-        self.find = regex.compile(spec.pattern).findall
         self.cut = regex.compile("(" + "|".join(regex.escape(a) for a in spec.added) + ")").split if spec.added else None
-        self.words = Memo(self._word)
-        self.chunks = Memo(self._chunk)
+        self.words = Memo()
         # offset table: strings of all ids, each followed by one space
         size = max([*spec.vocab.values(), *spec.added.values()]) + 1
         strings = [b""] * size
@@ -186,96 +215,130 @@ class Encoder:
                     if a == limit:
                         return True
 
-    def encode_word(self, word: str) -> list[int]:
-        """Exact ids of one pre-token."""
-        if word.isascii() and word.isprintable():
-            text = word  # such bytes are their own symbols
-        else:
-            text = "".join([self.symbols[b] for b in word.encode()])
+    def encode_word(self, word: bytes) -> bytes:
+        """Exact ids of one pre-token (its UTF-8 bytes), as little-endian unsigned 32-bit integers."""
+        text = word.decode("latin-1")
+        if not word.isalnum():  # such bytes are their own symbols
+            text = text.translate(self.symbols)
         text = text[:-1] + chr(ord(text[-1]) + LAST)
         n = len(text)
-        at = [[self.single[c]] for c in text]
-        for end, (token, size) in self.automaton.iter(text):
-            at[end - size + 1].append(token)  # by rising end, so by rising length at each start
-        sizes, table, fits = self.sizes, self.compatible, self._fits
-        live = [True] * (n + 1)
+        sizes, shorter, table, fits, longest = self.sizes, self.shorter, self.compatible, self._fits, self.automaton.iter_long
         out: list[int] = []
-        tried: list[int] = []
-        pos, k = 0, len(at[0])
-        while pos < n:
-            here = at[pos]
-            while k:
-                k -= 1
-                token = here[k]
-                if live[pos + sizes[token]]:
-                    if not out:
+        dead: set[int] = set()
+        pos, last = 0, -1
+        ahead = longest(text)  # longest tokens one after the other, while each is taken
+        token = next(ahead)[1]
+        while True:
+            taken = token
+            while taken >= 0:
+                if pos + sizes[taken] not in dead:
+                    if last < 0:
                         break
-                    key = out[-1] << 16 | token
+                    key = last << 16 | taken
                     good = table.get(key)
                     if good is None:
-                        good = table[key] = fits(out[-1], token)
+                        good = table[key] = fits(last, taken)
                     if good:
                         break
-            else:
-                live[pos] = False
-                pos -= sizes[out.pop()]
-                k = tried.pop()
+                taken = shorter[taken]
+            if taken < 0:  # nothing leads on from here
+                dead.add(pos)
+                out.pop()
+                pos -= sizes[last]
+                token, last = shorter[last], out[-1] if out else -1
+                ahead = None
                 continue
-            out.append(token)
-            tried.append(k)
-            pos += sizes[token]
-            if pos < n:
-                k = len(at[pos])
+            out.append(taken)
+            pos += sizes[taken]
+            if pos == n:
+                break
+            last = taken
+            if taken != token or ahead is None:
+                ahead = longest(text, pos)
+            token = next(ahead)[1]
         if len(table) > COMPATIBLE_PAIRS:
             table.clear()
-        return [self.ids[t] for t in out]
-
-    def pretokens(self, text: str) -> list[str]:
-        if text.isascii():
-            return self.find(text.lower())
-        text = unicodedata.normalize("NFC", text)
-        # lower case is taken character by character (no final sigma)
-        return self.find(text.replace("Σ", "σ").lower())
-
-    def encode_bytes(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if self.cut and "<|" in text and len(parts := self.cut(text)) > 1:
-            return b"".join(
-                self.spec.added[p].to_bytes(4, "little") if p in self.spec.added else self.encode_bytes_plain(p) for p in parts if p
-            )
-        return self.encode_bytes_plain(text)
+        coded = self.coded
+        return b"".join([coded[t] for t in out])
 
-    def encode_bytes_plain(self, text: str) -> bytes:
-        """Ids of a text without special tokens.
+    def pretokens(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, end) of the pre-tokens in normalised UTF-8 bytes that end in white space and 16 more bytes.
 
-        Pre-tokens never hold white space, so the ids of a chunk between white
-        space depend on the chunk alone and are remembered per chunk. The four
-        separators that ``str.split`` takes for white space and the pattern does
-        not (U+001C to U+001F) make the text one chunk.
+        The split pattern as classes: runs of letters, single numerals, runs of
+        anything else but white space. An apostrophe that begins such a run and
+        one of the pattern's endings after it make one token.
         """
-        odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
-        chunks = self.chunks
-        out = b"".join([chunks[c] for c in ([text] if odd else text.split())])
-        chunks.trim()
-        self.words.trim()
-        return out
-
-    def _chunk(self, chunk: str) -> bytes:
-        words = self.words
-        if chunk.isascii():  # the two shapes of most chunks need no pattern
-            if chunk.isalpha():
-                return words[chunk.lower()]
-            if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
-                return words[chunk[:-1].lower()] + words[chunk[-1]]
-        return b"".join([words[w] for w in self.pretokens(chunk)])
-
-    def _word(self, word: str) -> bytes:
-        return np.array(self.encode_word(word), dtype="<u4").tobytes()
+        kind = _ASCII_KIND[raw]
+        wide = np.flatnonzero(raw >= 0xC0)  # first bytes of longer characters
+        if len(wide):
+            b0, more = raw[wide].astype(np.uint32), [raw[wide + k].astype(np.uint32) & 63 for k in (1, 2, 3)]
+            two, three = (b0 & 31) << 6 | more[0], (b0 & 15) << 12 | more[0] << 6 | more[1]
+            four = (b0 & 7) << 18 | more[0] << 12 | more[1] << 6 | more[2]
+            point = np.where(b0 < 0xE0, two, np.where(b0 < 0xF0, three, four))
+            found, at = np.unique(point, return_inverse=True)
+            k = np.array([kind_of(chr(c)) for c in found.tolist()], np.uint8)[at]
+            for i, least in enumerate((0, 0xC0, 0xE0, 0xF0)):
+                kind[wide[b0 >= least] + i] = k[b0 >= least]
+        first = np.ones(len(raw), bool)
+        first[1:] = kind[1:] != kind[:-1]
+        start = (first | ((kind == NUMERAL) & (raw & 0xC0 != 0x80))) & (kind != BLANK)
+        mark = np.flatnonzero((raw == 0x27) & first)
+        mark = mark[kind[mark + 1] == LETTER]
+        if len(mark):
+            pair = raw[mark + 1].astype(np.uint16) << 8 | raw[mark + 2]
+            size = np.where(np.isin(raw[mark + 1], _ENDINGS_1), 2, np.where(np.isin(pair, _ENDINGS_2), 3, 0))
+            mark, size = mark[size > 0], size[size > 0]
+            start[mark + 1] = False
+            past = mark + size
+            start[past[kind[past] == LETTER]] = True
+        edge = np.flatnonzero(start | (first & (kind == BLANK)))
+        own = np.flatnonzero(start[edge])
+        own = own[own + 1 < len(edge)]
+        return edge[own], edge[own + 1]
+
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's ids end."""
+        if not (self.cut and any("<|" in t for t in texts)):
+            return self._plain(texts)
+        parts = [self.cut(t) for t in texts]  # text, special token, text, ...
+        ids, ends = self._plain([p for own in parts for p in own[::2]])
+        done = iter(np.split(ids, ends[:-1]))
+        out = [[np.array([self.spec.added[p]], "<u4") if i % 2 else next(done) for i, p in enumerate(own)] for own in parts]
+        return np.concatenate([x for own in out for x in own]), np.cumsum([sum(map(len, own)) for own in out])
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`encode_many`, of texts without special tokens."""
+        low = [t.lower() if t.isascii() else unicodedata.normalize("NFC", t).replace("Σ", "σ").lower() for t in texts]  # no final sigma
+        low = [t.encode() for t in low]
+        body = b"\n".join([*low, b"\0" * 16])
+        raw = np.frombuffer(body, np.uint8)
+        start, end = self.pretokens(raw)
+        size = end - start
+        # equal pre-tokens are found by their bytes: sixteen in two integers, or as they are
+        eight = np.lib.stride_tricks.as_strided(raw[:8].view("<u8"), (len(raw) - 7,), (1,))
+        a = eight[start] & _MASKS[np.minimum(size, 8)]
+        b = eight[np.minimum(start + 8, len(raw) - 8)] & _MASKS[np.clip(size - 8, 0, 8)]
+        with np.errstate(over="ignore"):
+            h = (a ^ (b + size.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(31)
+        _, rep, same = np.unique(h, return_index=True, return_inverse=True)
+        head = rep[same]
+        odd = np.flatnonzero((a != a[head]) | (b != b[head]) | (size != size[head]) | (size > 16))
+        keys = [body[x:y] for x, y in zip(start[rep].tolist(), end[rep].tolist(), strict=True)]
+        if len(odd):  # each on its own
+            same[odd] = len(keys) + np.arange(len(odd))
+            keys += [body[x:y] for x, y in zip(start[odd].tolist(), end[odd].tolist(), strict=True)]
+        coded = self.words.all_of(keys, self.encode_word)
+        blob = np.frombuffer(b"".join(coded), "<u4")
+        n = np.fromiter(map(len, coded), np.int64, len(coded)) >> 2
+        begin, many = (np.cumsum(n) - n)[same], n[same]
+        past = np.cumsum(many)
+        ids = blob[np.arange(past[-1] if len(past) else 0) + np.repeat(begin - (past - many), many)]
+        ends = np.cumsum([len(t) + 1 for t in low])
+        return ids, np.concatenate([[0], past])[np.searchsorted(start, ends)]
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(self.encode_bytes(text or ""), dtype="<u4")
+        return self.encode_many([text or ""])[0]
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """Token strings joined by one space, as UTF-8, gathered from the offset table."""
@@ -287,15 +350,9 @@ class Encoder:
         return self.blob[where].tobytes()[:-1]
 
 
-_BUILT: dict[str, Encoder] = {}
-
-
 def encoder(spec: Spec) -> Encoder:
     """The worker's encoder for this vocabulary (built on first use)."""
-    if spec.key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[spec.key] = Encoder(spec)
-    return _BUILT[spec.key]
+    return held("bpe " + spec.key, lambda: Encoder(spec))
 
 
 def ship(spark: SparkSession, vocabulary: str):
@@ -313,10 +370,10 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
 
     def run(batches):
         enc = encoder(spec.value)
-        for piece in slices(batches, 64):
-            ids = [enc.encode(t) for t in piece.column(1).to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            flat = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)
+        for piece in slices_of(batches, 1, TEXT_BYTES):
+            flat, ends = enc.encode_many([t or "" for t in piece.column(1).to_pylist()])
+            ids = np.split(flat, ends[:-1])
+            flat, ends = flat.astype(np.int32), np.concatenate([[0], ends]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [piece.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array([enc.decode_bytes(x).decode() for x in ids], pa.string())],
                 ["id", "ids", "decoded"],
@@ -337,10 +394,10 @@ def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     def run(batches):
         enc = encoder(spec.value)
         sha, decimal = hashlib.sha256, enc.decimal
-        for piece in slices(batches):
+        for piece in slices_of(batches, 1, TEXT_BYTES):
             n, a, b = [], [], []
-            for text in piece.column(1).to_pylist():
-                ids = enc.encode(text)
+            flat, ends = enc.encode_many([t or "" for t in piece.column(1).to_pylist()])
+            for ids in np.split(flat, ends[:-1]):
                 n.append(len(ids))
                 a.append(sha(" ".join([decimal[i] for i in ids.tolist()]).encode()).hexdigest())
                 b.append(sha(enc.decode_bytes(ids)).hexdigest())

@@ -10,7 +10,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """What this Python worker keeps between tasks under ``name``.
+
+    A worker keeps one thing at a time: tables and memos of the operator that
+    ran before go, so that the operators of a pipeline do not add up in memory.
+    """
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def release(keep: str = "") -> None:
+    """Drop what this worker keeps, but for ``keep``."""
+    for name in [n for n in _HELD if n != keep]:
+        del _HELD[name]
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of at most ``rows`` rows."""
     for batch in batches:
@@ -30,16 +53,33 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+def slices_of(batches: Iterable[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces whose texts in ``column`` take at most ``size`` bytes (or one row)."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            past = int(np.searchsorted(ends, size + (ends[start - 1] if start else 0), "right"))
+            past = max(start + 1, past)
+            yield batch.slice(start, past - start)
+            start = past
+
+
 def map_texts(
     df: DataFrame,
     columns: list[str],
     fn: Callable[[pa.RecordBatch], pa.RecordBatch],
     schema: str,
     rows: int = SLICE_ROWS,
+    keep: str = "",
 ) -> DataFrame:
-    """Apply ``fn`` to slices of the named columns (others are pruned from the scan)."""
+    """Apply ``fn`` to slices of the named columns (others are pruned from the scan).
+
+    keep: the name under which ``fn`` asks for :func:`held` things, if it does.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(keep)
         for piece in slices(batches, rows):
             yield fn(piece)
 
@@ -57,9 +97,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    sc.setCheckpointDir(shared)
-    return shared
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not shared and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(shared or "/tmp/checkpoints")  # one machine: its folder is shared
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import cut, shuffle_width, slices
+from .common import cut, shuffle_width, slices_of
 
 CAPACITY = 2048
 #: Patterns that the least-squares fit chooses from, at most.
@@ -43,10 +43,12 @@ def encode_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, en
     def run(batches):
         enc = bpe.encoder(spec.value)
         end, step = int(end_id).to_bytes(4, "little"), 4 * capacity
-        for part in slices(batches):
+        for part in slices_of(batches, 1, bpe.TEXT_BYTES):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(part.column(1).to_pylist()):
-                ids = (enc.encode_bytes(text) if text else b"") + end
+            flat, ends = enc.encode_many([t or "" for t in part.column(1).to_pylist()])
+            body, ends = flat.tobytes(), (4 * ends).tolist()
+            for i, (a, z) in enumerate(zip([0, *ends], ends, strict=False)):
+                ids = body[a:z] + end
                 for k, at in enumerate(range(0, len(ids), step)):
                     chunk = ids[at : at + step]
                     row.append(i)
@@ -228,6 +230,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked(pieces).select(*columns).mapInArrow(place, PIECES.format(kind=kind) + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode, cut and pack; encoded pieces are kept in the shared checkpoint folder."""
-    return pack(cut(encode_pieces(docs, vocabulary, capacity, end_id)), capacity)
+    pieces = encode_pieces(docs, vocabulary, capacity, end_id, id_col, text_col)
+    return pack(cut(pieces), capacity).withColumnRenamed("doc_id", id_col)
