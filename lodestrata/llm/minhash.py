@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import cut, map_texts
+from .common import cut, held, map_texts
 
 SHINGLE = 5
 #: Components of a signature, of 16 bits each.
@@ -52,7 +52,10 @@ _RNG = np.random.default_rng(20240501)
 _MULT = _RNG.integers(1, 1 << 63, COMPONENTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, COMPONENTS, dtype=np.uint64) * np.uint64(2)
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(SHINGLE)], dtype=np.uint64)
-CACHE_WORDS = 400_000
+#: Words whose hash a worker remembers (some 30 MB).
+CACHE_WORDS = 200_000
+#: Name under which a worker keeps them.
+MEMO = "minhash words"
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -135,16 +138,11 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs, [id_col, text_col], run, f"id {kind}, n_shingles long, fp binary, keys array<long>")
-
-
-_MEMO: list[WordHash] = []
+    return map_texts(docs, [id_col, text_col], run, f"id {kind}, n_shingles long, fp binary, keys array<long>", keep=MEMO)
 
 
 def _memo() -> WordHash:
-    if not _MEMO:
-        _MEMO.append(WordHash())
-    return _MEMO[0]
+    return held(MEMO, WordHash)
 
 
 def tiles_of(classes: DataFrame) -> DataFrame:
@@ -225,7 +223,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_c
             ["tile", "i", "j", "rep", "set"],
         )
 
-    sent = map_texts(asked, ["rep", "text", "tiles"], spread, f"tile long, i int, j int, rep {kind}, set binary", 32)
+    sent = map_texts(asked, ["rep", "text", "tiles"], spread, f"tile long, i int, j int, rep {kind}, set binary", 32, MEMO)
     grouped = sent.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j", "rep")
 
     def compare(batches):

@@ -8,11 +8,16 @@ which documents are selected.
 
 Defined results: a null text, or one without a word, has grade 0 and tail
 probability 0 (rejected). Without ratings nothing can be judged: the tail
-probability is 1 and every text with a word is kept. Null ratings are ignored.
+probability is 1 and every text with a word is kept. Null ratings are ignored;
+several ratings of one id count each, on one of its texts (the smallest).
+Every row is judged on its own whole text, so repeated rows get equal results;
+a tail probability of exactly ``keep`` is kept. Extra columns are ignored by
+:func:`score` and handed through by :func:`select_rows`.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -21,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import held, map_texts
 
 #: Hashed feature space; wide, so that words of long texts rarely meet by chance.
 BUCKETS = 1 << 24
@@ -33,7 +38,7 @@ GRADES = 3
 #: Documents whose P(grade >= SELECT) is at least KEEP are kept.
 SELECT, KEEP = 2, 0.5
 #: Words whose weight a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 _TRIM = ".,;:!?\"'()[]{}<>|#$%&*@+-_=~^/\\`"
 _MARKS = "|#$%&*@+=~^<>{}[]_\\"
@@ -115,7 +120,9 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
         found = [np.array(sorted(features(t)), np.uint32).tobytes() if t.split() else b"" for t in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([pa.array(map(str, batch.column(0).to_pylist()), pa.string()), pa.array(found, pa.binary()), batch.column(2)], ["key", "f", "grade"])
 
-    picked = texts.join(F.broadcast(rated), "id")  # at most sample_rows rows
+    # an id may repeat without bound: one text of each
+    picked = texts.join(F.broadcast(rated.select("id").distinct()), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    picked = picked.join(F.broadcast(rated), "id")  # at most sample_rows rows
     got = [r for r in map_texts(picked, ["id", "text", "grade"], extract, "key string, f binary, grade int").toArrow().to_pylist() if r["f"]]
     if not got:
         return Model({}, [])
@@ -145,48 +152,64 @@ class _Weights(dict):
         return got
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", select: int = SELECT, keep: float = KEEP, carry: list[str] | None = None) -> DataFrame:
-    """``id_col``, expected_grade, p_tail and kept for every document; one narrow pass.
+def judge(model: Model, weights: _Weights, texts: list[str | None]) -> list[np.ndarray]:
+    """P(grade > k) of each text, for k from 0."""
+    cuts, out = np.array(model.thresholds), []
+    for text in texts:
+        words = text.lower().split() if text else []
+        if not words:
+            out.append(np.zeros(max(1, len(cuts))))
+            continue
+        if not len(cuts):
+            out.append(np.ones(GRADES - 1))
+            continue
+        names = set(words)
+        parts = dict.fromkeys(bucket(s) for w in names if weights[w] and (s := w.strip(_TRIM)))
+        s = sum(model.weights[b] for b in parts)
+        s += sum(model.weights.get(bucket(f), 0.0) for f in shapes(text, words, len(names)))
+        out.append(1 / (1 + np.exp(np.clip(cuts - s, -35, 35))))
+    return out
 
-    carry: columns of ``docs`` to hand through (for a filtering stage).
-    """
+
+def _judging(docs: DataFrame, model: Model, column: int):
+    """(name of what a worker keeps, function from a batch to P(grade > k) of its texts)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the fitting sample
-    held = [c for c in carry or [] if c not in (id_col, text_col)]
+    name = f"quality {uuid.uuid4().hex}"
+
+    def of(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return judge(shared.value, held(name, lambda: _Weights(shared.value.weights)), batch.column(column).to_pylist())
+
+    return name, of
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", select: int = SELECT, keep: float = KEEP) -> DataFrame:
+    """``id_col``, expected_grade, p_tail and kept for every document; one narrow pass."""
+    name, of = _judging(docs, model, 1)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        m = shared.value
-        weights = _Weights(m.weights)
-        cuts = np.array(m.thresholds)
-        grade, tail = [], []
-        for text in batch.column(1).to_pylist():
-            words = text.lower().split() if text else []
-            if not words:
-                grade.append(0.0)
-                tail.append(0.0)
-                continue
-            if not len(cuts):
-                grade.append(float(GRADES - 1))
-                tail.append(1.0)
-                continue
-            names = set(words)
-            parts = dict.fromkeys(bucket(s) for w in names if (s := w.strip(_TRIM)) and weights[w])
-            s = sum(m.weights[b] for b in parts)
-            s += sum(m.weights.get(bucket(f), 0.0) for f in shapes(text, words, len(names)))
-            above = 1 / (1 + np.exp(np.clip(cuts - s, -35, 35)))  # P(grade > k)
-            grade.append(float(above.sum()))
-            tail.append(float(above[select - 1]))
-        out = [batch.column(0), batch.column(1), *[batch.column(i + 2) for i in range(len(held))]]
-        more = [pa.array(grade, pa.float64()), pa.array(tail, pa.float64()), pa.array([x >= keep for x in tail], pa.bool_())]
-        if carry is None:
-            return pa.RecordBatch.from_arrays([out[0], *more], ["id", "expected_grade", "p_tail", "kept"])
-        return pa.RecordBatch.from_arrays([*out, *more], [id_col, text_col, *held, "expected_grade", "p_tail", "kept"])
-
-    kind = lambda c: docs.schema[c].dataType.simpleString()
-    tail_schema = "expected_grade double, p_tail double, kept boolean"
-    if carry is None:
-        return map_texts(docs, [id_col, text_col], run, f"id {kind(id_col)}, {tail_schema}", 4096).withColumnRenamed("id", id_col)
-    names = [id_col, text_col, *held]
-    return map_texts(docs, names, run, ", ".join(f"`{c}` {kind(c)}" for c in names) + f", {tail_schema}", 4096)
+        above = of(batch)
+        tail = [float(a[min(select, len(a)) - 1]) for a in above]
+        columns = [batch.column(0), pa.array([float(a.sum()) for a in above], pa.float64()), pa.array(tail, pa.float64()), pa.array([x >= keep for x in tail], pa.bool_())]
+        return pa.RecordBatch.from_arrays(columns, ["id", "expected_grade", "p_tail", "kept"])
+
+    schema = f"id {docs.schema[id_col].dataType.simpleString()}, expected_grade double, p_tail double, kept boolean"
+    return map_texts(docs, [id_col, text_col], run, schema, 256, name).withColumnRenamed("id", id_col)
+
+
+def select_rows(docs: DataFrame, model: Model, text_col: str = "text", select: int = SELECT, keep: float = KEEP) -> DataFrame:
+    """The rows of ``docs`` that the model keeps, with all their columns.
+
+    Rows are dropped within the Python worker, in small slices, so rejected
+    texts do not come back and kept ones are not gathered.
+    """
+    names = docs.columns
+    name, of = _judging(docs, model, names.index(text_col))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        good = [bool(a[min(select, len(a)) - 1] >= keep) for a in of(batch)]
+        return batch.filter(pa.array(good, pa.bool_()))
+
+    return map_texts(docs, [f"`{c}`" for c in names], run, docs.schema, 256, name)
 
 
 def grades_of_labels(labels: DataFrame) -> DataFrame:
