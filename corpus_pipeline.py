@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir), works on every document that its
 predecessor kept and returns a DataFrame; all but the last return the columns
-of ``documents``. Null and empty texts are rejected by the first stage.
+of ``documents``.
+
+Defined results: null and empty texts are rejected by the first stage. Copies
+have one class and the row with its smallest id stays (each of its rows, if the
+id repeats); a row with a null id is linked with nothing, loses no words and is
+packed. An empty table gives an empty table. Columns other than those of
+``documents`` are dropped by the first stage.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ def _columns(docs: DataFrame) -> DataFrame:
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the ordinal classifier, fitted on the labels table, rejects."""
     model = quality.fit(docs, quality.grades_of_labels(table(spark, sf_dir, "labels")))
-    return quality.score(docs.select(*COLUMNS), model, carry=COLUMNS).where("kept").select(*COLUMNS)
+    return quality.select_rows(docs.select(*COLUMNS), model)
 
 
 def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
