@@ -2,10 +2,11 @@
 
 Both searches compare a query set with all rows, in blocks. Rows are dealt into
 blocks of about ``BLOCK_ROWS`` rows and queries into blocks of about
-``QUERY_BLOCK`` rows; a task takes one (query block, row block) tile, so its
+``QUERY_BYTES`` bytes; a task takes one (query block, row block) tile, so its
 memory is bounded by the two block sizes whatever the table, and equal or
-frequent vectors never meet in one task. Tiles return each query's best few
-candidates, which are merged by an aggregation per query.
+frequent vectors never meet in one task. A row is sent once for each query
+block, so query blocks are as large as a task's memory allows. Tiles return each
+query's best few candidates, which are merged by an aggregation per query.
 
 Exact top-k (``top_products``), norm-bucketed retrieval: row blocks are ranges
 of falling vector length. The queries first meet the longest rows, which gives
@@ -21,33 +22,39 @@ Nearest cosines (``nearest_cosine``), block matrix join: vectors are scaled to
 int8 and tiles are multiplied as small integers; the quantisation error bounds
 each cosine from both sides. Pairs whose upper bound reaches the k-th best
 lower bound survive, are recomputed in double precision, and are merged by
-heaps. The bounds are safe, so nothing that belongs to the result is lost.
+heaps. The bounds are safe, so nothing that belongs to the result is lost. The
+recomputation sums each row on its own and scales by powers of two first, so
+equal vectors get equal scores wherever they stand, and vectors of any magnitude
+have a cosine.
 
 Defined results: vectors that are null, hold null or non-finite components, (for
 cosines) are zero, or whose dimension differs from the most frequent one's
 (the smallest, if several) take no part. Ties go to the smaller id. A row is no
 candidate of its own query. Ids are expected to be distinct; a repeated id is
-one row for each repetition. Extra columns are ignored.
+one row for each repetition, none a candidate of another. Extra columns are
+ignored; an empty table has no results. Scaled components of more than 63 bits,
+and products of more, count as the nearest 64-bit integer.
 """
 
 from __future__ import annotations
 
 import heapq
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut
 
 BLOCK_ROWS = 8192
-QUERY_BLOCK = 1024
+#: Bytes of a block of query vectors, as doubles.
+QUERY_BYTES = 16 << 20
 #: Coordinates looked at by coordinate pruning.
 FOCUS = 16
 #: Integer components are multiplied as doubles below this bound on a product.
 EXACT = float(1 << 52)
+_LONG = (1 << 63) - 1
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str, nonzero: bool) -> DataFrame:
@@ -65,10 +72,21 @@ def dimension(rows: DataFrame) -> int:
     return got[0]["d"] if got else 0
 
 
-def blocks_of(rows: DataFrame, n: int, block: int) -> int:
+def blocks_of(n: int, block: int) -> int:
     return max(1, -(-n // block))
 
 
+def queries_of(d: int) -> int:
+    """Queries in a block, by the dimension."""
+    return max(256, QUERY_BYTES // (8 * max(1, d)))
+
+
+def all_pairs(spark: SparkSession, n_q: int, n_rows: int) -> DataFrame:
+    """(qb, rb) of every query block and row block, from their counts."""
+    k = F.col("id")
+    return spark.range(n_q * n_rows).select(F.pmod(k, F.lit(n_q)).cast("int").alias("qb"), F.floor(k / F.lit(n_q)).cast("int").alias("rb"))
+
+
 def stacked(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()) if len(column) else np.zeros((0, 0))
 
@@ -117,12 +135,10 @@ def merged(found: DataFrame, k: int, score_type: str) -> DataFrame:
 def _prune(q: np.ndarray, x: np.ndarray, lengths: np.ndarray, rest: np.ndarray, floor: float) -> np.ndarray:
     """Rows (sorted by falling length) whose product with ``q`` may reach ``floor``."""
     size = float(np.sqrt(q @ q))
-    if floor == -np.inf or size == 0:
+    if floor <= 0 or size == 0:
         return np.arange(len(x))
     local = floor / (size * lengths[0]) if lengths[0] else np.inf
-    slack = 1e-9 * (abs(floor) + 1)
-    if floor <= 0:
-        return np.arange(len(x))
+    slack = 1e-9 * (floor + size * lengths[0] + 1)
     n = int(np.searchsorted(-lengths, -(floor - slack) / size, "right"))  # length pruning
     if local > 0.9 or n < 64:
         return np.arange(n)
@@ -135,59 +151,62 @@ def _products(k: int):
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(q) and len(r):
-            x = stacked(r["v"])
+            whole = stacked(r["v"])  # integers
+            x = whole.astype(np.float64)
             lengths = np.sqrt((x * x).sum(1))
             order = np.lexsort((r["id"].to_numpy(), -lengths))
-            x, ids, lengths = x[order], r["id"].to_numpy()[order], lengths[order]
+            whole, x, ids, lengths = whole[order], x[order], r["id"].to_numpy()[order], lengths[order]
             # coordinates with the largest spread come first, for coordinate pruning
             axes = np.argsort(-(x * x).sum(0), kind="stable")
-            xr, qs = x[:, axes], stacked(q["v"])[:, axes]
+            asked = stacked(q["v"])
+            xr, qs = x[:, axes], asked[:, axes].astype(np.float64)
             rest = np.sqrt((xr[:, FOCUS:] ** 2).sum(1))
             exact = float(lengths[0]) * float(np.sqrt((qs * qs).sum(1)).max()) < EXACT
-            for own, floor, v in zip(q["id"].to_numpy(), q["floor"].to_numpy(), qs, strict=True):
+            for own, floor, v, ints in zip(q["id"].to_numpy(), q["floor"].to_numpy(), qs, asked, strict=True):
                 at = _prune(v, xr, lengths, rest, floor)
-                if len(at):
-                    part = xr if len(at) == len(xr) else xr[at]
-                    s = part @ v if exact else part.astype(object) @ v.astype(object)
-                    s = s if exact else np.array([int(y) for y in s], dtype=object)
-                    out += [(own, i, int(-s)) for s, i in best(ids[at], s, own, k) if -s >= floor]
+                if not len(at):
+                    continue
+                if exact:
+                    s = (xr if len(at) == len(xr) else xr[at]) @ v
+                else:  # beyond the integers that doubles hold
+                    s = whole[at].astype(object) @ ints.astype(object)
+                out += [(own, i, max(-_LONG - 1, min(_LONG, int(-s)))) for s, i in best(ids[at], s, own, k) if -s >= floor]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     return fn
 
 
-def top_products(df: DataFrame, is_query, k: int, scale: float = 1024.0, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
+def top_products(df: DataFrame, is_query, k: int, scale: float = 1024.0, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_block: int | None = None) -> DataFrame:
     """The k largest integer products floor(scale * q) . floor(scale * x) of each query.
 
     is_query: a condition on the column ``id``. Returns query_id, rank, vec_id, score.
     """
     spark = df.sparkSession
-    rows = usable(df, id_col, vec_col, nonzero=False).withColumn("v", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")))
+    rows = usable(df, id_col, vec_col, nonzero=False).withColumn("v", F.transform("v", lambda x: F.floor(x * F.lit(scale))))
     d = dimension(rows)
     rows = rows.where(F.size("v") == d)
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     measured = rows.withColumn("len2", square)
-    n = measured.count()
-    n_rows = blocks_of(rows, n, block_rows)
     # ranges of falling length; the hash splits equal lengths evenly
-    ranged = measured.repartitionByRange(n_rows, F.desc("len2"), F.xxhash64("id"))
+    ranged = measured.repartitionByRange(blocks_of(measured.count(), block_rows), F.desc("len2"), F.xxhash64("id"))
     ranged = cut(ranged.withColumn("rb", F.spark_partition_id()))
     queries = ranged.where(is_query).select("id", "v", "len2")
-    n_q = blocks_of(queries, queries.count(), query_block)
+    n_q = blocks_of(queries.count(), query_block or queries_of(d))
     queries = queries.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_q)).cast("int"))
     stats = ranged.groupBy("rb").agg(F.max("len2").alias("most"))  # one row per bucket
-    first = stats.select(F.max_by("rb", "most").alias("rb"))
-    qbs = spark.range(n_q).select(F.col("id").cast("int").alias("qb"))
+    first, last = stats.agg(F.max_by("rb", F.struct("most", -F.col("rb"))), F.max("rb")).first()
     schema = "query_id long, vec_id long, score long"
     cand = ranged.select("rb", F.col("id"), F.col("v"))
-    opening = qbs.join(F.broadcast(first))  # one bucket for each query block
+    blocks = all_pairs(spark, n_q, (last or 0) + 1)
+    opening = blocks.where(F.col("rb") == F.lit(first or 0))  # one bucket for each query block
     seen = cut(tiles(queries.withColumn("floor", F.lit(float("-inf"))), cand, opening, _products(k), schema))
     floors = merged(seen, k, "long").groupBy(F.col("query_id").alias("id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).alias("f"))
-    armed = queries.join(floors, "id", "left").withColumn("floor", F.coalesce("f", F.lit(float("-inf")))).drop("f")
+    # a double may lie above the integer it stands for
+    armed = queries.join(floors, "id", "left").withColumn("floor", F.coalesce(F.col("f") - F.abs("f") * 1e-12, F.lit(float("-inf")))).drop("f")
     # a bucket is left out for a query block when no query of the block can reach its floor there
     reach = armed.groupBy("qb").agg(F.min(F.when(F.col("floor") > 0, F.col("floor") / F.sqrt("len2")).otherwise(0.0)).alias("least"))
-    later = stats.join(F.broadcast(first.withColumn("opened", F.lit(True))), "rb", "left").where(F.col("opened").isNull())
-    pairs = later.join(F.broadcast(reach), F.sqrt("most") >= F.col("least") * (1 - 1e-9)).select("qb", "rb")  # blocks, not rows
+    later = blocks.where(F.col("rb") != F.lit(first or 0)).join(reach, "qb").join(stats, "rb")  # blocks, not rows
+    pairs = later.where(F.sqrt("most") >= F.col("least") * (1 - 1e-9)).select("qb", "rb")
     rest = tiles(armed, cand, pairs, _products(k), schema)
     return merged(seen.unionByName(rest), k, "long")
 
@@ -195,9 +214,18 @@ def top_products(df: DataFrame, is_query, k: int, scale: float = 1024.0, id_col:
 # --- nearest cosines ------------------------------------------------------------------
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their greatest component to [1/2, 1)."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
+
+
+def lengths_of(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x * x).sum(1))
+
+
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unit vectors as int8, their scale, and the length of what quantising loses."""
-    unit = x / np.sqrt((x * x).sum(1, keepdims=True))
+    unit = x / lengths_of(x)[:, None]
     scale = np.abs(unit).max(1) / 127
     q = np.rint(unit / scale[:, None]).astype(np.int8)
     lost = np.sqrt(((unit - q * scale[:, None]) ** 2).sum(1))
@@ -205,18 +233,20 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of ``a`` with each row of ``b`` in double precision."""
-    return (b @ a) / (np.sqrt(a @ a) * np.sqrt((b * b).sum(1)))
+    """Cosine of ``a`` with each row of ``b`` (both :func:`scaled`) in double precision.
+
+    Each row is summed on its own, so the result does not depend on the row's place.
+    """
+    return (b * a).sum(1) / (lengths_of(a[None, :]) * lengths_of(b))
 
 
 def _cosine_tile(k: int):
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(q) and len(r):
-            x, qs = stacked(r["v"]), stacked(q["v"])
-            peak = np.abs(x).max(1, keepdims=True)
-            x8, xs, xl = quantised(x / peak)
-            q8, qsc, ql = quantised(qs / np.abs(qs).max(1, keepdims=True))
+            x, qs = scaled(stacked(r["v"])), scaled(stacked(q["v"]))
+            x8, xs, xl = quantised(x)
+            q8, qsc, ql = quantised(qs)
             ids = r["id"].to_numpy()
             xf = x8.astype(np.float32).T  # products of int8 values, exact in float32 up to 2^24
             for lo in range(0, len(q), 256):
@@ -237,16 +267,16 @@ def _cosine_tile(k: int):
     return fn
 
 
-def nearest_cosine(df: DataFrame, is_query, k: int, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
+def nearest_cosine(df: DataFrame, is_query, k: int, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_block: int | None = None) -> DataFrame:
     """The k nearest rows of each query by cosine: query_id, rank, vec_id, score."""
     spark = df.sparkSession
     rows = usable(df, id_col, vec_col, nonzero=True)
     d = dimension(rows)
     rows = rows.where(F.size("v") == d)
-    n_rows = blocks_of(rows, rows.count(), block_rows)
+    n_rows = blocks_of(rows.count(), block_rows)
     queries = rows.where(is_query)
-    n_q = blocks_of(queries, queries.count(), query_block)
+    n_q = blocks_of(queries.count(), query_block or queries_of(d))
     dealt = rows.withColumn("rb", F.pmod(F.xxhash64("id"), F.lit(n_rows)).cast("int"))
     asked = queries.withColumn("qb", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(n_q)).cast("int"))
-    pairs = reduce(DataFrame.join, [spark.range(n_q).select(F.col("id").cast("int").alias("qb")), spark.range(n_rows).select(F.col("id").cast("int").alias("rb"))])
-    return merged(tiles(asked, dealt, pairs, _cosine_tile(k), "query_id long, vec_id long, score double"), k, "double")
+    found = tiles(asked, dealt, all_pairs(spark, n_q, n_rows), _cosine_tile(k), "query_id long, vec_id long, score double")
+    return merged(found, k, "double")
