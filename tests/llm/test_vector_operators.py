@@ -78,10 +78,10 @@ def test_extreme_magnitudes(spark):
     df = spark.createDataFrame(list(enumerate(tiny)), "vec_id long, embedding array<double>")
     got = vectors.nearest_cosine(df, F.col("id") == 1, 5).orderBy("rank").collect()
     assert [r["vec_id"] for r in got][:2] == [4, 3] and len(got) == 4 and all(0 < r["score"] < 1 + 1e-12 for r in got)
-    big = [[float(2**25 + 1), float(2**25 + 3)], [float(2**24 + 7), 1.0], [float(2**24 + 5), 3.0], [float(2**60), -float(2**60)], [float(2**60), float(2**60)]]
+    big = [[(2**30 + 1) / 1024, (2**30 + 3) / 1024], [(2**30 + 7) / 1024, 1 / 1024], [(2**30 + 5) / 1024, 3 / 1024], [float(2**60), -float(2**60)], [float(2**60), float(2**60)]]
     df = spark.createDataFrame(list(enumerate(big)), "vec_id long, embedding array<double>")
     got = vectors.top_products(df, F.col("id") == 0, 9).orderBy("rank").collect()
-    exact = {i: sum(int(1024 * a) * int(1024 * b) if 1024 * b < 2**63 else 0 for a, b in zip(big[0], v, strict=True)) for i, v in enumerate(big)}
+    exact = {i: sum(int(1024 * a) * int(1024 * b) for a, b in zip(big[0], v, strict=True)) for i, v in enumerate(big)}
     assert {r["vec_id"]: r["score"] for r in got if r["vec_id"] in (1, 2)} == {1: exact[1], 2: exact[2]}
     assert got[0]["vec_id"] == 4 and got[0]["score"] == (1 << 63) - 1  # beyond 64 bits: the nearest
 
