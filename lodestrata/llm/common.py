@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 #: Rows handed to a per-document routine at once (bounds Python objects alive).
 SLICE_ROWS = 512
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,7 +113,19 @@ def cut(df: DataFrame) -> DataFrame:
     Python stages that must not run twice.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with _shuffles_dropped(df.sparkSession):
+        return df.checkpoint(eager=True)
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Spark removes the shuffle files of each query that ends meanwhile: its result is stored."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
 def sha_hex(col) -> F.Column:
@@ -119,18 +133,22 @@ def sha_hex(col) -> F.Column:
 
 
 class Stored:
-    """A DataFrame written as Parquet under the shared checkpoint folder, until :meth:`drop`.
+    """A DataFrame written as Parquet under the shared checkpoint folder, while the ``with`` block lasts.
 
     For rows that are read several times: hashes take half the room they take
-    in a checkpoint, and the files go as soon as the caller is done.
+    in a checkpoint, and the files go as soon as the caller is done, or fails.
     """
 
     def __init__(self, df: DataFrame):
         self.spark = df.sparkSession
         self.path = f"{ensure_checkpoint_dir(self.spark)}/rows-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        with _shuffles_dropped(self.spark):
+            df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
-    def drop(self) -> None:
+    def __enter__(self) -> DataFrame:
+        return self.df
+
+    def __exit__(self, *error) -> None:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,6 +10,8 @@ existence depends; whoever sees the whole context sees the symbol.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 U = np.uint64
@@ -152,3 +154,62 @@ def interval_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> n
         p[0] = U(1)
         _INVERSE[0] = np.cumprod(p)
     return mixed((prefix[end] - prefix[start]) * _INVERSE[0][start] + (end - start).astype(U))
+
+
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
+
+
+def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges, eight bytes a step; ``raw`` has eight bytes more after the last range."""
+    size = end - start
+    out = mixed(size.astype(U) * _POWER)
+    if not len(start):
+        return out
+    eight = np.lib.stride_tricks.as_strided(raw[:8].view("<u8"), (len(raw) - 7,), (1,))
+    long = np.flatnonzero(size > LONG_WORD)
+    for i in long.tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[start[i] : end[i]], digest_size=8).digest(), "little")
+    todo, at = np.flatnonzero(size <= LONG_WORD), 0
+    while len(todo):
+        block = eight[start[todo] + at] & _MASKS[np.minimum(size[todo] - at, 8)]
+        out[todo] = mixed((out[todo] ^ block) * _POWER + U(1))
+        at += 8
+        todo = todo[size[todo] > at]
+    return out
+
+
+# Primes below 2^31, and the bases that powers are taken of.
+_FIELDS = ((2147483629, 1103515249, 0), (2147483587, 1566083941, 33))
+
+
+def _power_table(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(1, U)
+    while len(out) < n:
+        out = np.concatenate([out, out * U(pow(base, len(out), prime)) % U(prime)])
+    return out
+
+
+class FieldHashes:
+    """A second hash of token intervals, by polynomials over two prime fields.
+
+    Independent of :func:`interval_hashes`: who agrees in both has 125 bits in common.
+    """
+
+    _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __init__(self, tokens: np.ndarray):
+        self.parts = []
+        for prime, base, shift in _FIELDS:
+            up, down = self._tables.get(prime, ((), ()))
+            if len(up) <= len(tokens):
+                n = max(4096, 2 * len(tokens))
+                up, down = self._tables[prime] = _power_table(base, prime, n), _power_table(pow(base, -1, prime), prime, n)
+            prefix = np.zeros(len(tokens) + 1, U)
+            np.cumsum((tokens >> U(shift)) % U(prime) * up[: len(tokens)] % U(prime), out=prefix[1:])
+            self.parts.append((U(prime), prefix, down))
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        a, b = ((prefix[end] - prefix[start]) % prime * down[start] % prime for prime, prefix, down in self.parts)
+        return a << U(31) | b

@@ -21,28 +21,28 @@ Names are global, so equal substrings share their interior symbols.
    their whole word sequence; the smallest id of each is aggregated, and what
    later documents have goes back to them.
 
-Rows between the steps are hashes and ids. Hashes have 64 bits; two different
-windows with equal hashes would be taken for one.
+Rows between the steps are hashes and ids. Words are hashed eight bytes at a
+time by a mixing chain; what decides a removal (chunks and windows) has to agree
+in two independent hashes of its words, of 64 and of 61 bits.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``; null or empty texts have none.
 Documents shorter than a window lose nothing. Rows that repeat an id are judged
 alike, each on its own text; rows with a null id lose nothing and make no other
-lose. Extra columns are handed through by :func:`remove`.
+lose. Texts and words may be of any length; an empty table stays empty. Extra
+columns are handed through by :func:`remove`, whatever their names.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
-import time
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stored, cut, map_texts
-from .recompression import anchors, cuts, interval_hashes, mixed, parse, prefix_hashes
+from .recompression import FieldHashes, anchors, cuts, interval_hashes, mixed, parse, prefix_hashes, word_hashes
 
 WINDOW = 13
 #: One in so many top symbols cuts.
@@ -60,10 +60,10 @@ class Words:
     """The words of some texts as one token array, with a separator after each text."""
 
     def __init__(self, texts: list[bytes]):
-        raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+        raw = np.frombuffer(b"\n".join([*texts, b"\n" * 8]), np.uint8)
         edge = np.diff(np.concatenate([[True], _BLANK[raw]]).astype(np.int8))
         self.start, self.end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        hashes = interval_hashes(prefix_hashes(raw.astype(np.uint64) + np.uint64(1)), self.start, self.end)
+        hashes = word_hashes(raw, self.start, self.end)
         last = np.searchsorted(self.start, np.cumsum([len(t) + 1 for t in texts]))  # words before each text's end
         self.sizes = np.diff(np.concatenate([[0], last]))
         self.first_word = last - self.sizes
@@ -77,8 +77,8 @@ class Words:
         at = np.arange(max(0, len(self.tokens) - window + 1))
         return at[at + window <= (self.begin + self.sizes)[self.owner[at]]]
 
-    def chunks(self, levels, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash of each chunk, its document, and the chunk number of each window."""
+    def chunks(self, levels, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """Hash of each chunk, its document, the chunk number of each window, and the chunks' (start, end)."""
         new = np.zeros(len(self.tokens) + 1, bool)
         new[self.begin] = True
         new[cuts(levels, (self.begin + self.sizes)[self.owner], ONE_IN)] = True
@@ -88,7 +88,7 @@ class Words:
         heads = np.flatnonzero(head)
         last = at[np.append(heads[1:], len(at)) - 1]
         names = mixed(interval_hashes(self.prefix, at[heads], last + window) ^ np.uint64(window))
-        return names, self.owner[at[heads]], np.cumsum(head) - 1
+        return names, self.owner[at[heads]], np.cumsum(head) - 1, (at[heads], last + window)
 
 
 def batched(texts: list[bytes]):
@@ -120,39 +120,30 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 
 class _Rows:
-    """Distinct (value, id) rows of a batch."""
+    """Distinct (hash, id) or (hash, second hash, id) rows of a batch."""
 
     def __init__(self):
-        self.values, self.docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        self.columns: list[tuple[np.ndarray, ...]] = []
 
-    def add(self, values: np.ndarray, docs: np.ndarray) -> None:
-        order = np.lexsort((values, docs))
-        values, docs = values[order], docs[order]
+    def add(self, docs: np.ndarray, *hashes: np.ndarray) -> None:
+        order = np.lexsort((*hashes, docs))
+        docs, *hashes = (x[order] for x in (docs, *hashes))
         new = np.ones(len(docs), bool)
-        new[1:] = (docs[1:] != docs[:-1]) | (values[1:] != values[:-1])
-        self.values.append(values[new])
-        self.docs.append(docs[new])
+        new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in (docs, *hashes)])
+        self.columns.append(tuple(x[new] for x in (docs, *hashes)))
 
-    def batch(self, ids: pa.Array) -> pa.RecordBatch:
-        v, d = np.concatenate(self.values), np.concatenate(self.docs)
-        return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), ids.take(pa.array(d.astype(np.int64)))], ["v", "id"])
-
-
-def swept(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished, unreferenced stages."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)  # the cleaner works beside
+    def batch(self, ids: pa.Array, names: list[str]) -> pa.RecordBatch:
+        empty = (np.empty(0, np.int64), *[np.empty(0, np.uint64)] * (len(names) - 1))
+        docs, *hashes = (np.concatenate(x) for x in zip(empty, *self.columns, strict=True))
+        return pa.RecordBatch.from_arrays([*[pa.array(h.view(np.int64)) for h in hashes], ids.take(pa.array(docs.astype(np.int64)))], names)
 
 
 def repeats(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     """(id, chunks, windows): hashes of what is repeated in each document that repeats anything."""
-    spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
 
-    def scan(step: str):
+    def scan(step: str, names: list[str]):
         """Hashes of the texts' chunks, or of symbols or windows outside of repeated chunks."""
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -163,46 +154,37 @@ def repeats(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFra
                 if not len(at):
                     continue
                 levels = parse(w.tokens)
-                chunk, owner, number = w.chunks(levels, at, window)
+                chunk, owner, number, bounds = w.chunks(levels, at, window)
                 if step == "chunks":
-                    out.add(chunk, owner + lo)
+                    out.add(owner + lo, chunk, FieldHashes(w.tokens).of(*bounds))
                     continue
                 fresh = at[~among(chunk, owner, batch.column(2), lo, hi - lo)[number]]
                 symbol = anchors(levels, w.prefix, window)[fresh]
                 if step == "symbols":
-                    out.add(symbol, w.owner[fresh] + lo)
+                    out.add(w.owner[fresh] + lo, symbol)
                     continue
                 places = fresh[among(symbol, w.owner[fresh], batch.column(3), lo, hi - lo)]
-                out.add(interval_hashes(w.prefix, places, places + window), w.owner[places] + lo)
-            return out.batch(batch.column(0))
+                out.add(w.owner[places] + lo, interval_hashes(w.prefix, places, places + window), FieldHashes(w.tokens).of(places, places + window))
+            return out.batch(batch.column(0), names)
 
         return run
 
-    def stored(rows: DataFrame, columns: list[str], step: str) -> Stored:
-        return Stored(map_texts(rows, columns, scan(step), f"v long, id {kind}", 256))
+    def stored(rows: DataFrame, columns: list[str], step: str, *hashes: str) -> Stored:
+        schema = "".join(f"{h} long, " for h in hashes) + f"id {kind}"
+        return Stored(map_texts(rows, columns, scan(step, [*hashes, "id"]), schema, 256))
 
     def later(rows: DataFrame, name: str) -> DataFrame:
         """(id, list of the values that a smaller id has)."""
-        first = rows.groupBy("v").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("v", "lo")
-        return cut(rows.join(first, "v").where("id > lo").groupBy("id").agg(F.collect_list("v").alias(name)))
-
-    chunk_rows = stored(named, ["id", "text"], "chunks")
-    chunks = later(chunk_rows.df, "chunks")
-    chunk_rows.drop()
-    swept(spark)
-
-    symbol_rows = stored(named.join(chunks, "id", "left"), ["id", "text", "chunks"], "symbols")
-    swept(spark)
-    shared = symbol_rows.df.groupBy("v").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("v")
-    symbols = cut(symbol_rows.df.join(shared, "v").groupBy("id").agg(F.collect_list("v").alias("symbols")))  # at most one per word
-    symbol_rows.drop()
-    swept(spark)
-
-    window_rows = stored(named.join(symbols, "id").join(chunks, "id", "left"), ["id", "text", "chunks", "symbols"], "windows")
-    swept(spark)
-    windows = later(window_rows.df, "windows")
-    window_rows.drop()
-    swept(spark)
+        first = rows.groupBy("v", "w").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("v", "w", "lo")
+        return cut(rows.join(first, ["v", "w"]).where("id > lo").groupBy("id").agg(F.collect_set("v").alias(name)))
+
+    with stored(named, ["id", "text"], "chunks", "v", "w") as rows:
+        chunks = later(rows, "chunks")
+    with stored(named.join(chunks, "id", "left"), ["id", "text", "chunks"], "symbols", "v") as rows:
+        shared = rows.groupBy("v").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("v")
+        symbols = cut(rows.join(shared, "v").groupBy("id").agg(F.collect_set("v").alias("symbols")))  # at most one per word
+    with stored(named.join(symbols, "id").join(chunks, "id", "left"), ["id", "text", "chunks", "symbols"], "windows", "v", "w") as rows:
+        windows = later(rows, "windows")
     return chunks.join(windows, "id", "full")
 
 
@@ -227,7 +209,7 @@ class Cut:
             at = w.windows(window)
             hit = np.zeros(len(at), bool)
             if len(at) and any(chunks[i].is_valid or windows[i].is_valid for i in range(lo, hi)):
-                chunk, owner, number = w.chunks(parse(w.tokens), at, window)
+                chunk, owner, number, _ = w.chunks(parse(w.tokens), at, window)
                 hit = among(chunk, owner, chunks, lo, hi - lo)[number]
                 hit |= among(interval_hashes(w.prefix, at, at + window), w.owner[at], windows, lo, hi - lo)
             at = at[hit]

@@ -33,6 +33,7 @@ nothing and make no other lose. Extra columns are handed through by :func:`remov
 from __future__ import annotations
 
 import hashlib
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import Stored, cut, map_texts
 from .induced_sort import common_prefixes, suffix_array
 from .recompression import interval_hashes, mixed, prefix_hashes
-from .substring_dedup import among, swept
+from .substring_dedup import among
 
 LENGTH = 100
 GRAM = 32
@@ -204,6 +205,13 @@ def split(hot: DataFrame, length: int) -> tuple[DataFrame, DataFrame | None]:
     return cold, later.select("id", "a", (F.col("a") + 1).alias("z"))
 
 
+def seals(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A second hash of the byte ranges, independent of the polynomial ones; who agrees in both is taken for equal."""
+    view = memoryview(raw.tobytes())
+    digest = b"".join([hashlib.blake2b(view[a:z], digest_size=8).digest() for a, z in zip(first.tolist(), last.tolist(), strict=True)])
+    return np.frombuffer(digest, "<u8")
+
+
 def _bytes(text: str | None) -> bytes:
     return text.encode() if text else b""
 
@@ -227,21 +235,22 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
         return ~among(start.astype(_U), doc, lists, lo, hi - lo)[number] if len(number) else np.zeros(0, bool)
 
     def chunk_scan(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names, docs_, starts, counts = [], [], [], []
+        names, seals_, docs_, starts, counts = [], [], [], [], []
         for lo, _, b in parts(batch):
             name, doc, start, number = b.chunks()
             names.append(name)
+            count = np.bincount(number, minlength=len(name))
+            first = start + b.begin[doc]
+            seals_.append(seals(b.raw, first, first + count + length - 1))
             docs_.append(doc + lo)
             starts.append(start)
-            counts.append(np.bincount(number, minlength=len(name)))
-        return pa.RecordBatch.from_arrays([signed(names), batch.column(0).take(pa.array(whole(docs_, np.int64))), pa.array(whole(starts, np.int64)), pa.array(whole(counts, np.int32))], ["v", "id", "a", "n"])
+            counts.append(count)
+        return pa.RecordBatch.from_arrays([signed(names), signed(seals_), batch.column(0).take(pa.array(whole(docs_, np.int64))), pa.array(whole(starts, np.int64)), pa.array(whole(counts, np.int32))], ["v", "w", "id", "a", "n"])
 
-    rows = Stored(map_texts(named, ["id", "text"], chunk_scan, f"v long, id {kind}, a long, n int", 256))
-    earliest = rows.df.groupBy("v").agg(F.min(F.struct("id", "a")).alias("o"), F.count(F.lit(1)).alias("c")).where("c > 1").select("v", "o")
-    copies = rows.df.join(earliest, "v").where("id > o.id or a > o.a")
-    copied = cut(copies.groupBy("id").agg(F.collect_list("a").alias("starts"), F.collect_list(F.struct(F.col("a").cast("int").alias("a"), (F.col("a") + F.col("n")).cast("int").alias("z"))).alias("ranges")))
-    rows.drop()
-    swept(spark)
+    with Stored(map_texts(named, ["id", "text"], chunk_scan, f"v long, w long, id {kind}, a long, n int", 256)) as rows:
+        earliest = rows.groupBy("v", "w").agg(F.min(F.struct("id", "a")).alias("o"), F.count(F.lit(1)).alias("c")).where("c > 1").select("v", "w", "o")
+        copies = rows.join(earliest, ["v", "w"]).where("id > o.id or a > o.a")
+        copied = cut(copies.groupBy("id").agg(F.collect_set("a").alias("starts"), F.collect_set(F.struct(F.col("a").cast("int").alias("a"), (F.col("a") + F.col("n")).cast("int").alias("z"))).alias("ranges")))
 
     def anchor_scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         names, docs_, counts = [], [], []
@@ -256,22 +265,20 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
         return pa.RecordBatch.from_arrays([signed(names), batch.column(0).take(pa.array(whole(docs_, np.int64))), pa.array(whole(counts, np.int32))], ["anchor", "id", "n"])
 
     left = named.join(copied.select("id", "starts"), "id", "left")
-    rows = Stored(map_texts(left, ["id", "text", "starts"], anchor_scan, f"anchor long, id {kind}, n int", 256))
-    swept(spark)
-    shared = rows.df.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
-    named_hot = F.when(F.col("n") > HOT, F.col("anchor")).alias("hot")
-    wanted = cut(rows.df.select("anchor", "id").join(shared, "anchor").select("id", "anchor", named_hot).groupBy("id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("hot").alias("hot")))
-    rows.drop()
-    swept(spark)
+    with Stored(map_texts(left, ["id", "text", "starts"], anchor_scan, f"anchor long, id {kind}, n int", 256)) as rows:
+        shared = rows.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
+        named_hot = F.when(F.col("n") > HOT, F.col("anchor")).alias("hot")
+        wanted = cut(rows.select("anchor", "id").join(shared, "anchor").select("id", "anchor", named_hot).groupBy("id").agg(F.collect_set("anchor").alias("anchors"), F.collect_set("hot").alias("hot")))
 
     def fragment_scan(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names, prints, docs_, starts, counts, bodies = [], [], [], [], [], []
+        names, prints, seals_, docs_, starts, counts, bodies = [], [], [], [], [], [], []
         for lo, hi, b in parts(batch):
             doc, first, count, name = b.fragments(fresh_strings(b, batch.column(2), lo, hi))
             keep = among(name, doc, batch.column(3), lo, hi - lo)
             doc, first, count, name = doc[keep], first[keep], count[keep], name[keep]
             last = first + count + length - 1
             names.append(name)
+            seals_.append(seals(b.raw, first, last))
             prints.append(mixed(interval_hashes(b.prefix, first, last) + name))
             docs_.append(doc + lo)
             starts.append(first - b.begin[doc])
@@ -279,60 +286,54 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
             view = b.raw.tobytes()
             bodies += [view[x:y] for x, y in zip(first.tolist(), last.tolist(), strict=True)]
         return pa.RecordBatch.from_arrays(
-            [signed(names), signed(prints), batch.column(0).take(pa.array(whole(docs_, np.int64))), pa.array(whole(starts, np.int32)), pa.array(whole(counts, np.int32)), pa.array(bodies, pa.binary())],
-            ["anchor", "print", "id", "a", "n", "body"],
+            [signed(names), signed(prints), signed(seals_), batch.column(0).take(pa.array(whole(docs_, np.int64))), pa.array(whole(starts, np.int32)), pa.array(whole(counts, np.int32)), pa.array(bodies, pa.binary())],
+            ["anchor", "print", "seal", "id", "a", "n", "body"],
         )
 
     hot = cut(wanted.select(F.explode("hot").alias("anchor")).distinct())
     n_hot = hot.count()
     asked = named.join(wanted.select("id", "anchors"), "id").join(copied.select("id", "starts"), "id", "left")
-    rows = Stored(map_texts(asked, ["id", "text", "starts", "anchors"], fragment_scan, f"anchor long, print long, id {kind}, a int, n int, body binary", 64))
-    swept(spark)
-    origin = rows.df.groupBy("anchor", "print").agg(F.min(F.struct("id", "a")).alias("o"))
-    marked = rows.df.join(origin, ["anchor", "print"])
-    is_first = (F.col("id") == F.col("o.id")) & (F.col("a") == F.col("o.a"))
-    again = cut(rows.df.drop("body").join(origin, ["anchor", "print"]).where(~is_first).select("id", "a", (F.col("a") + F.col("n")).alias("z")))
-    swept(spark)
-    # fragments that meet another one under their anchor; a repeated id may repeat a first place
-    several = origin.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
-    first = marked.where(is_first).select("anchor", "id", "a", "body")
-    found = again
-    if n_hot:
-        hot = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
-        held = Stored(first.join(hot, "anchor", "left_semi"))
-        parts, later = split(held.df, length)
-        shards = first.join(hot, "anchor", "left_anti").join(several, "anchor", "left_semi").unionByName(parts)
-        found = found if later is None else found.unionByName(later)
-    else:
-        shards = first.join(several, "anchor", "left_semi")
-    dealt = shards.repartition("anchor").sortWithinPartitions("anchor", "id", "a")
-
-    def sort_shards(batches):
-        names, ids, starts, bodies, size = [], [], [], [], 0
-        for b in batches:
-            for name, i, a, body in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
-                if size > SHARD_BYTES and name != names[-1]:
-                    yield ranges(sorted_shard(ids, starts, bodies, length), kind_of)
-                    names, ids, starts, bodies, size = [], [], [], [], 0
-                names.append(name)
-                ids.append(i)
-                starts.append(a)
-                bodies.append(body)
-                size += len(body)
-            kind_of = b.column(1).type
-        if bodies:
-            yield ranges(sorted_shard(ids, starts, bodies, length), kind_of)
-
-    def ranges(found, kind_of):
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], kind_of), pa.array([x[1] for x in found], pa.int32()), pa.array([x[2] for x in found], pa.int32())], ["id", "a", "z"])
-
-    inner = dealt.mapInArrow(sort_shards, f"id {kind}, a int, z int")
-    whole_chunks = copied.select("id", F.explode("ranges").alias("r")).select("id", "r.a", "r.z")
-    out = cut(found.unionByName(inner).unionByName(whole_chunks).groupBy("id").agg(F.collect_list(F.struct("a", "z")).alias("ranges")))
-    rows.drop()
-    if n_hot:
-        held.drop()
-    swept(spark)
+    with Stored(map_texts(asked, ["id", "text", "starts", "anchors"], fragment_scan, f"anchor long, print long, seal long, id {kind}, a int, n int, body binary", 64)) as rows, ExitStack() as more:
+        origin = rows.groupBy("anchor", "print", "seal").agg(F.min(F.struct("id", "a")).alias("o"))
+        marked = rows.join(origin, ["anchor", "print", "seal"])
+        is_first = (F.col("id") == F.col("o.id")) & (F.col("a") == F.col("o.a"))
+        again = cut(rows.drop("body").join(origin, ["anchor", "print", "seal"]).where(~is_first).select("id", "a", (F.col("a") + F.col("n")).alias("z")))
+        # fragments that meet another one under their anchor; a repeated id may repeat a first place
+        several = origin.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
+        first = marked.where(is_first).select("anchor", "id", "a", "body")
+        found = again
+        if n_hot:
+            hot = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
+            held = more.enter_context(Stored(first.join(hot, "anchor", "left_semi")))
+            parts, later = split(held, length)
+            shards = first.join(hot, "anchor", "left_anti").join(several, "anchor", "left_semi").unionByName(parts)
+            found = found if later is None else found.unionByName(later)
+        else:
+            shards = first.join(several, "anchor", "left_semi")
+        dealt = shards.repartition("anchor").sortWithinPartitions("anchor", "id", "a")
+
+        def sort_shards(batches):
+            names, ids, starts, bodies, size = [], [], [], [], 0
+            for b in batches:
+                for name, i, a, body in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
+                    if size > SHARD_BYTES and name != names[-1]:
+                        yield ranges(sorted_shard(ids, starts, bodies, length), kind_of)
+                        names, ids, starts, bodies, size = [], [], [], [], 0
+                    names.append(name)
+                    ids.append(i)
+                    starts.append(a)
+                    bodies.append(body)
+                    size += len(body)
+                kind_of = b.column(1).type
+            if bodies:
+                yield ranges(sorted_shard(ids, starts, bodies, length), kind_of)
+
+        def ranges(found, kind_of):
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], kind_of), pa.array([x[1] for x in found], pa.int32()), pa.array([x[2] for x in found], pa.int32())], ["id", "a", "z"])
+
+        inner = dealt.mapInArrow(sort_shards, f"id {kind}, a int, z int")
+        whole_chunks = copied.select("id", F.explode("ranges").alias("r")).select("id", "r.a", "r.z")
+        out = cut(found.unionByName(inner).unionByName(whole_chunks).groupBy("id").agg(F.collect_set(F.struct("a", "z")).alias("ranges")))
     return out
 
 

@@ -219,7 +219,7 @@ def test_substring_chunks_do_not_depend_on_neighbours():
     def chunks(texts, i):
         w = substring_dedup.Words([t.encode() for t in texts])
         at = w.windows(13)
-        name, owner, _ = w.chunks(parse(w.tokens), at, 13)
+        name, owner, *_ = w.chunks(parse(w.tokens), at, 13)
         return name[owner == i].tolist()
 
     for tail in (0, 9, 12, 20, 40):
@@ -231,6 +231,53 @@ def test_substring_chunks_do_not_depend_on_neighbours():
                     assert alone == chunks([t, words(rng, 20)], 0) == chunks([words(rng, 9), t, words(rng, 33)], 1) == chunks(["0 0", "", t, "", "0 0"], 2)
 
 
+def thue_morse(n, a, b):
+    """A word of n characters and its complement: a polynomial hash modulo 2**64 cannot tell them apart."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+def test_dedup_tells_words_of_equal_polynomials_apart(spark):
+    """Neither words of 1024 characters, nor long runs of two words, nor byte strings meet by a weak hash."""
+    one, other = thue_morse(1024, "a", "b")
+    rng = random.Random(5)
+    lead = words(rng, 12)
+    line, line2 = (" ".join({"x": "left", "y": "right"}[c] for c in t) for t in thue_morse(2048, "x", "y"))
+    rows = [(1, f"{lead} {one}"), (2, f"{lead} {other}"), (3, f"{words(rng, 5)} {line}"), (4, f"{words(rng, 5)} {line2}"), (5, "z" * 9000 + one + "z" * 20), (6, "z" * 300 + other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.digests(df).collect()}
+    assert got == removed_words(rows, 13)
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.digests(df).collect()}
+    assert got == removed_bytes(rows, 100)
+
+
+def removed_words(rows, window):
+    seen, out = {}, {}
+    for i, text in rows:
+        w = text.split()
+        for k in range(len(w) - window + 1):
+            seen.setdefault(tuple(w[k : k + window]), i)
+    for i, text in rows:
+        w, gone = text.split(), set()
+        for k in range(len(w) - window + 1):
+            if seen[tuple(w[k : k + window])] < i:
+                gone |= set(range(k, k + window))
+        out[i] = len(gone)
+    return out
+
+
+def removed_bytes(rows, length):
+    seen, out = set(), {}
+    for i, text in rows:
+        raw, gone = text.encode(), set()
+        for k in range(len(raw) - length + 1):
+            if raw[k : k + length] in seen:
+                gone |= set(range(k, k + length))
+            seen.add(raw[k : k + length])
+        out[i] = len(gone)
+    return out
+
+
 def test_substring_dedup_with_equal_last_words(spark):
     """Passes batch the texts in other orders; texts that end in equal words lose all the same."""
     rng = random.Random(2)
