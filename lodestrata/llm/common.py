@@ -114,7 +114,7 @@ def cut(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     with _shuffles_dropped(df.sparkSession):
-        return df.checkpoint(eager=True)
+        return df.select("*").checkpoint(eager=True)  # a query takes the setting when it is built
 
 
 @contextmanager
