@@ -50,7 +50,7 @@ ONE_IN = 4
 #: Stands between documents of one batch; no symbol that depends on it is used.
 SEPARATOR = np.uint64(0x5851F42D4C957F2D)
 #: Bytes of texts parsed together (or one text).
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True

@@ -58,7 +58,7 @@ PART = 18
 #: Keys of split anchors that are broadcast; more are shuffled.
 BROADCAST_KEYS = 1 << 20
 #: Bytes of texts looked at together.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 16
 _U = np.uint64
 
 
