@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day_precision_date, in_window, track_date
 from ..functions.text import artist_aliases, catalogue_aliases, clean, normalize_all, normalize_name, normalize_text, normalize_title, split_artist_title, unique_nonempty
+from ..functions.urls import catalogue_track_id, upload_track_id, upload_track_url
 from .dedupe import first_per_key
 
 # Thresholds and the mark of trusted cache rows.
@@ -140,7 +141,10 @@ def profile_candidates(queries: DataFrame, users: DataFrame, tracks: DataFrame)
 
 
 def user_score(name: Column) -> Column:
-    """How well a user fits an artist's name: name, link, followers, verification."""
+    """How well a user fits an artist's name: name, link, followers, verification.
+
+    Fixed values: the points of each and the steps of followers.
+    """
     target, user, link = normalize_name(name), normalize_name(F.col("username")), normalize_name(F.col("permalink"))
     bare = lambda c: F.replace(c, F.lit(" "), F.lit(""))
     n = F.coalesce(F.col("followers_count"), F.lit(0))
@@ -193,22 +197,119 @@ def trusted_uploads(cached: DataFrame, payloads: DataFrame, as_of: str, days: in
     return upload_checks(found, asked, as_of, days).select("query_id")
 
 
-def resolve(records: DataFrame, catalogue: DataFrame, uploads: DataFrame, as_of: str, days: int, limited_from: int | None = None) -> DataFrame:
-    """Links of ranked records: cached ones, else the best matches.
+_EMPTY = "cast(array() as array<string>)"
+
+
+def distrusted(records: DataFrame, payloads: DataFrame | None, as_of: str, days: int) -> DataFrame:
+    """Cached links that are not trusted become null, with a note for each.
+
+    records: query_id, artist, title, spotify_id, spotify_uri,
+    spotify_match_version, soundcloud_track_id, soundcloud_url. payloads: what
+    the uploads with the cached identifiers say now (see
+    :func:`trusted_uploads`); without it no cached upload is trusted.
+    """
+    held_u = F.coalesce("soundcloud_track_id", F.lit("")) != ""
+    if payloads is None:
+        checked = records.withColumn("_good", F.lit(False))
+    else:
+        asked = records.where(held_u).select("query_id", "artist", "title", "soundcloud_track_id")
+        good = trusted_uploads(asked, payloads, as_of, days).distinct().withColumn("_good", F.lit(True))
+        checked = records.join(good, "query_id", "left").withColumn("_good", F.coalesce("_good", F.lit(False)))
+    bad_u = held_u & ~F.col("_good")
+    bad_c = (F.coalesce("spotify_id", F.lit("")) != "") & ~trusted_catalogue(F.col("spotify_match_version"))
+    notes = F.array_compact(F.array(F.when(bad_u, "discarded_untrusted_cached_soundcloud_match"), F.when(bad_c, "discarded_legacy_cached_spotify_match")))
+    drop = lambda bad, c: F.when(~bad, F.col(c))
+    return checked.withColumns(
+        {
+            "notes": notes,
+            **{c: drop(bad_c, c) for c in ("spotify_id", "spotify_uri")},
+            **{c: drop(bad_u, c) for c in ("soundcloud_track_id", "soundcloud_url")},
+        }
+    ).drop("_good", "spotify_match_version")
+
+
+def resolve_catalogue(records: DataFrame, found: DataFrame, looked_up: DataFrame | None, as_of: str, days: int) -> DataFrame:
+    """(query_id, _c): the catalogue track of each record that has an artist and a title.
 
-    records: rank, query_id, artist, title, spotify_id, soundcloud_track_id (what
-    the cache gave), and more. limited_from: the rank at which the catalogue
-    began to refuse; from there on catalogue links are deferred, with a note.
+    A record that names a track is judged on that track alone (looked_up: tracks
+    by ``id``); any other on what its search found (query_id, pos, ...).
+    """
+    named = records.where((clean(F.col("artist")) != "") & (clean(F.col("title")) != "")).withColumn("_d", catalogue_track_id(F.col("open_graph")["spotify_track_id"], F.col("source_article_url"), F.col("embedded_music_links")))
+    by_search = best_catalogue_match(named.where("_d = ''"), found, as_of, days).select("query_id", F.col("id").alias("_c"))
+    if looked_up is None:
+        return by_search
+    direct = named.where("_d <> ''")
+    own = direct.select("query_id", F.col("_d").alias("id")).join(looked_up, "id").withColumn("pos", F.lit(0))
+    return by_search.unionByName(best_catalogue_match(direct, own, as_of, days).select("query_id", F.col("id").alias("_c")))
+
+
+def resolve_uploads(records: DataFrame, found: DataFrame, looked_up: DataFrame | None, users: DataFrame | None, user_tracks: DataFrame | None, as_of: str, days: int) -> DataFrame:
+    """(query_id, _u, _uu): identifier and address of each record's upload.
+
+    A record that gives an address is settled by it: with its own identifier, or
+    the one that the address leads to (looked_up: url, kind, id, permalink_url).
+    Others take the best of what was found, else the best among the tracks of
+    users who are likely to be the artist.
+    """
+    named = records.withColumns({"_du": upload_track_url(F.col("source_article_url"), F.col("embedded_music_links")), "_di": F.nullif(upload_track_id(F.col("open_graph")["soundcloud_track_id"]), F.lit(""))})
+    direct = named.where("_du <> ''").select("query_id", "_du", "_di")
+    if looked_up is None:
+        settled = direct.select("query_id", F.col("_di").alias("_u"), F.col("_du").alias("_uu"))
+    else:
+        known = first_per_key(looked_up.where("kind = 'track'").select(F.col("url").alias("_du"), F.col("id").cast("string").alias("_ri"), F.col("permalink_url").alias("_rp")), ["_du"], [F.col("_ri")])
+        both = direct.join(known, "_du", "left")
+        address = F.when(F.col("_di").isNull(), F.coalesce(F.nullif("_rp", F.lit("")), "_du")).otherwise(F.col("_du"))
+        settled = both.select("query_id", F.coalesce("_di", "_ri").alias("_u"), address.alias("_uu"))
+    open_ = named.where("_du = ''").where((clean(F.col("artist")) != "") & (clean(F.col("title")) != "")).select("query_id", "artist", "title")
+    picked = ["query_id", F.col("id").cast("string").alias("_u"), F.col("permalink_url").alias("_uu")]
+    hits = best_upload_match(open_, found, as_of, days).select(*picked)
+    out = settled.unionByName(hits)
+    if users is None or user_tracks is None:
+        return out
+    missed = open_.join(hits.select("query_id"), "query_id", "left_anti")
+    others = candidate_union(profile_candidates(missed, users, user_tracks).drop("user_id"), ["query_id", "id"], "pos")
+    return out.unionByName(best_upload_match(missed, others, as_of, days).select(*picked))
+
+
+def resolve(
+    records: DataFrame,
+    catalogue: DataFrame,
+    uploads: DataFrame,
+    as_of: str,
+    days: int,
+    limited_from: int | None = None,
+    catalogue_tracks: DataFrame | None = None,
+    upload_addresses: DataFrame | None = None,
+    users: DataFrame | None = None,
+    user_tracks: DataFrame | None = None,
+) -> DataFrame:
+    """Links of ranked records: cached ones, else direct ones, else the best matches.
+
+    records: rank, query_id, artist, title, open_graph, source_article_url,
+    embedded_music_links, spotify_id, spotify_uri, soundcloud_track_id,
+    soundcloud_url (what the cache gave), perhaps notes, and more. limited_from:
+    the rank at which the catalogue began to refuse; from there on catalogue
+    links are deferred, with a note. The other tables are recorded lookups.
     """
     limited = F.lit(False) if limited_from is None else F.col("rank") >= limited_from
     open_c = records.where(F.coalesce("spotify_id", F.lit("")) == "").where(~limited)
     open_u = records.where(F.coalesce("soundcloud_track_id", F.lit("")) == "")
-    by_catalogue = best_catalogue_match(open_c, catalogue, as_of, days).select("query_id", F.col("id").alias("_c"))
-    by_upload = best_upload_match(open_u, uploads, as_of, days).select("query_id", F.col("id").cast("string").alias("_u"))
+    by_catalogue = resolve_catalogue(open_c, catalogue, catalogue_tracks, as_of, days)
+    by_upload = resolve_uploads(open_u, uploads, upload_addresses, users, user_tracks, as_of, days)
     out = records.join(by_catalogue, "query_id", "left").join(by_upload, "query_id", "left")
     refused = limited & (F.coalesce("spotify_id", F.lit("")) == "")
     note = F.when(refused, F.when(F.col("rank") == (limited_from or -1), "spotify_resolution_rate_limited").otherwise("spotify_resolution_deferred"))
-    return out.withColumns({"spotify_id": F.coalesce(F.nullif("spotify_id", F.lit("")), "_c"), "soundcloud_track_id": F.coalesce(F.nullif("soundcloud_track_id", F.lit("")), "_u"), "notes": F.array_compact(F.array(note))}).drop("_c", "_u")
+    before = F.col("notes") if "notes" in records.columns else F.expr(_EMPTY)
+    cached = lambda c: F.nullif(c, F.lit(""))
+    return out.withColumns(
+        {
+            "spotify_id": F.coalesce(cached("spotify_id"), "_c"),
+            "spotify_uri": F.coalesce(cached("spotify_uri"), F.concat(F.lit("spotify:track:"), F.coalesce(cached("spotify_id"), "_c"))),
+            "soundcloud_track_id": F.coalesce(cached("soundcloud_track_id"), "_u"),
+            "soundcloud_url": F.coalesce(cached("soundcloud_url"), "_uu"),
+            "notes": F.concat(before, F.array_compact(F.array(note))),
+        }
+    ).drop("_c", "_u", "_uu")
 
 
 def backlog(resolved: DataFrame, logged_at: str) -> DataFrame:

@@ -12,7 +12,7 @@ from ..functions.text import associated_artist_keys, base_version_title, primary
 from .filters import extended_version, has_platform_link, isrc_outside_window, unwanted_variant
 from .score import bag
 
-#: The pool is cut to so many rows before the sequential step, unless the caller names another bound.
+#: Usual size of the pool that the sequential step walks.
 POOL = 150
 
 
@@ -64,15 +64,16 @@ def curate(
     skip_variants: bool = True,
     enforce_isrc: bool = True,
     require_link: bool = True,
-    pool: int = POOL,
+    pool: int | None = None,
 ) -> DataFrame:
     """Tracks of the pool with ``note`` (null: kept) and ``playlist_rank`` (from 1, of the kept).
 
-    Vetoes in order: other version preferred, variant, old code, no link, artist
+    pool: only so many tracks are looked at (all, if none); the caps are walked in
+    one task, so callers hand over a bounded list. Vetoes in order: other version preferred, variant, old code, no link, artist
     cap, associated-artist cap. The preferred version is chosen before the
     other vetoes, so its siblings stay dropped even if it is vetoed.
     """
-    bounded = tracks.orderBy("rank").limit(pool)
+    bounded = tracks if pool is None else tracks.orderBy("rank").limit(pool)
     link = has_platform_link(F.col("spotify_uri"), F.col("spotify_id"), F.col("soundcloud_track_id"), F.col("soundcloud_url"))
     keyed = bounded.withColumns(
         {

@@ -15,7 +15,7 @@ from ..operators.classify import classify
 from ..operators.dedupe import cache_key, dedupe_releases, distinct_top_k, merge_cards, rank_records, unique_records
 from ..operators.extract import parse_articles
 from ..operators.filters import chosen, lookback, lower_bound
-from ..operators.match import cache_lookup, resolve
+from ..operators.match import cache_lookup, distrusted, resolve
 from ..operators.select import curate
 from ..sources.pages import enrich
 from ..sources.records import input_files, release_arrays
@@ -142,9 +142,16 @@ def rank_inputs(spark: SparkSession, folders: list[str], files: list[str], confi
     return rank(release_arrays(spark, input_files(spark, folders, files, [])), config)
 
 
-def top_tracks(unique: DataFrame, cache: DataFrame | None, config: PipelineConfig) -> DataFrame:
-    """The best records as tracks to be resolved, with what the cache knows."""
-    n = max(config.top_n, config.candidate_pool_size)
+def pool_size(config: PipelineConfig) -> int:
+    return max(config.top_n, config.candidate_pool_size)
+
+
+def top_tracks(unique: DataFrame, cache: DataFrame | None, config: PipelineConfig, payloads: DataFrame | None = None) -> DataFrame:
+    """The best records as tracks to be resolved, with what the cache knows and is trusted for.
+
+    payloads: present data of cached uploads, by which their links are checked.
+    """
+    n = pool_size(config)
     best = unique.orderBy(F.desc("rank_score"), "group_ordinal", "load_ordinal").limit(n)
     numbered = best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("rank_score"), "group_ordinal", "load_ordinal")))  # of ``n`` rows
     tracks = numbered.select(
@@ -152,19 +159,21 @@ def top_tracks(unique: DataFrame, cache: DataFrame | None, config: PipelineConfi
         cache_key().alias("cache_key"), "source_article_title", "source_article_url", "embedded_music_links", "open_graph",
     )
     if cache is None:
-        return tracks.withColumns({c: F.lit(None).cast("string") for c in ("spotify_id", "spotify_uri", "soundcloud_track_id", "soundcloud_url")})
-    return cache_lookup(tracks, cache.select("cache_key", "spotify_id", "spotify_uri", "soundcloud_track_id", "soundcloud_url"))
+        return tracks.withColumns({c: F.lit(None).cast("string") for c in ("spotify_id", "spotify_uri", "soundcloud_track_id", "soundcloud_url")}).withColumn("notes", F.expr("cast(array() as array<string>)"))
+    known = cache_lookup(tracks, cache.select("cache_key", "spotify_id", "spotify_uri", "spotify_match_version", "soundcloud_track_id", "soundcloud_url"))
+    return distrusted(known, payloads, config.as_of, config.lookback_days)
 
 
-def playlist(tracks: DataFrame, catalogue: DataFrame, uploads: DataFrame, config: PipelineConfig, limited_from: int | None = None) -> dict[str, DataFrame]:
+def playlist(tracks: DataFrame, catalogue: DataFrame, uploads: DataFrame, config: PipelineConfig, limited_from: int | None = None, **recorded: DataFrame) -> dict[str, DataFrame]:
     """Resolved, curated and cut tracks with their report.
 
+    recorded: further lookups of :func:`~lodestrata.operators.match.resolve`.
     Returns ``pool`` (all, with notes), ``catalogue`` (first top_n kept),
     ``uploads`` (first distinct uploads of the kept), and ``report``.
     """
-    found = resolve(tracks, catalogue, uploads, config.as_of, config.lookback_days, limited_from)
+    found = resolve(tracks, catalogue, uploads, config.as_of, config.lookback_days, limited_from, **recorded)
     pool = curate(
-        found, config.as_of, config.lookback_days, config.max_per_artist, config.max_per_associated_artist, not config.allow_speed_variants, not config.allow_old_isrc_years, pool=config.candidate_pool_size
+        found, config.as_of, config.lookback_days, config.max_per_artist, config.max_per_associated_artist, not config.allow_speed_variants, not config.allow_old_isrc_years, pool=pool_size(config)
     )
     kept = pool.where("note is null")
     first = kept.where(F.col("playlist_rank") <= config.top_n)

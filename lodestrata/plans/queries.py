@@ -17,6 +17,7 @@ from ..operators import classify, dedupe, extract, filters, match, score
 from ..operators.components import component_of
 from ..operators.select import POOL, greedy_caps, preferred_versions
 from ..sources import charts, pages, playlists, sinks
+from .pipeline import PipelineConfig, top_tracks
 from .pipeline import union_sources as union
 
 AS_OF = "2026-02-01"
@@ -91,6 +92,14 @@ def rank_unique(spark, sf):
     return best.select(F.col("load_ordinal").alias("doc_id"), F.col("duplicate_group_key").alias("group_key"), F.col("cross_source_duplicate_count").alias("sightings"), F.col("cross_source_source_count").alias("sources"), "rank_score")
 
 
+@query(f"""WITH RECURSIVE {_RECORDS}, best AS (SELECT doc_id, g, sc, r.source, r.title FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY sc DESC, doc_id) AS n FROM ranked) JOIN r USING (doc_id) WHERE n = 1)
+  SELECT row_number() OVER (ORDER BY sc DESC, g, doc_id)::INTEGER AS rank, doc_id AS query_id, sc AS ranking_score, source AS artist, title FROM best ORDER BY 1 LIMIT 150""")
+def best_tracks(spark, sf):
+    """The pool of tracks to be resolved: the best sighting of each group."""
+    unique = dedupe.unique_records(dedupe.rank_records(document_records(spark, sf), AS_OF)).withColumns({c: F.lit("") for c in ("source_article_title", "source_article_url")})
+    return top_tracks(unique, None, PipelineConfig(as_of=AS_OF)).select("rank", "query_id", "ranking_score", "artist", "title")
+
+
 @query(f"WITH RECURSIVE {_RECORDS} SELECT doc_id, g AS component FROM grp")
 def alias_components(spark, sf):
     records = document_records(spark, sf).withColumn("aliases", dedupe.aliases())
@@ -120,14 +129,6 @@ def rerank(spark, sf):
     return score.rerank(recs, AS_OF, 14).select(F.col("load_ordinal").alias("doc_id"), "ranking_score")
 
 
-@query("SELECT source, count(*) AS tracks, count(*) FILTER (coalesce(lang, '') <> '') AS spotify_tracks, count(*) FILTER (n_chars > 1000) AS soundcloud_tracks FROM documents GROUP BY source")
-def source_counts(spark, sf):
-    """The push report's counts, by source."""
-    docs = table(spark, sf, "documents").withColumns({"spotify_uri": F.col("lang"), "soundcloud_track_id": F.when(F.col("n_chars") > 1000, F.col("doc_id").cast("string"))})
-    some = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    return docs.groupBy("source").agg(F.count(F.lit(1)).alias("tracks"), F.count_if(some("spotify_uri")).alias("spotify_tracks"), F.count_if(some("soundcloud_track_id")).alias("soundcloud_tracks"))
-
-
 @query("SELECT count(*) AS tracks, count(*) FILTER (coalesce(lang, '') <> '') AS spotify_tracks, count(*) FILTER (n_chars > 1000) AS soundcloud_tracks FROM documents")
 def push_report(spark, sf):
     docs = table(spark, sf, "documents").withColumns({"spotify_uri": F.col("lang"), "soundcloud_track_id": F.when(F.col("n_chars") > 1000, F.col("doc_id").cast("string"))})
@@ -200,11 +201,6 @@ def lookback_lower_only(spark, sf):
     return filters.lower_bound(o, "1998-01-15", 14).select("o_orderkey")
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50")
-def top_n(spark, sf):
-    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(50)
-
-
 @query("SELECT user_id, -max(value) AS first_value FROM events GROUP BY user_id ORDER BY -max(value), user_id LIMIT 50")
 def distinct_topk_backfill(spark, sf):
     """The first 50 distinct users by their largest value."""
@@ -212,14 +208,15 @@ def distinct_topk_backfill(spark, sf):
     return dedupe.distinct_top_k(e, "user_id", "pos", 50).select("user_id", F.col("pos.v").alias("first_value"))
 
 
-@query("SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders) WHERE n <= 2")
-def cap_primary(spark, sf):
-    """At most two orders of each customer, dearest first (one cap needs no sequential step)."""
-    w = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    return table(spark, sf, "orders").withColumn("n", F.row_number().over(w)).where("n <= 2").select("o_custkey", "o_orderkey")
-
-
-@query()
+@query(f"""WITH RECURSIVE pool AS (SELECT row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rank, l_suppkey::VARCHAR AS artist_key, p_brand AS brand
+    FROM lineitem JOIN part ON p_partkey = l_partkey ORDER BY rank LIMIT {POOL}),
+  walk(rank, artist_key, brand, note, artists, brands) AS (
+    SELECT 0::BIGINT, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, []::VARCHAR[], []::VARCHAR[]
+    UNION ALL
+    SELECT p.rank, p.artist_key, p.brand, n, CASE WHEN n IS NULL THEN list_append(artists, p.artist_key) ELSE artists END, CASE WHEN n IS NULL THEN list_append(brands, p.brand) ELSE brands END
+    FROM (SELECT p.*, w.artists, w.brands, CASE WHEN len(list_filter(w.artists, lambda x: x = p.artist_key)) >= 2 THEN 'skipped_artist_cap_2' WHEN len(list_filter(w.brands, lambda x: x = p.brand)) >= 3 THEN 'skipped_associated_artist_cap_3:' || p.brand END AS n
+      FROM walk w JOIN pool p ON p.rank = w.rank + 1) p)
+  SELECT rank::INTEGER AS rank, artist_key, brand, note FROM walk WHERE rank > 0""")
 def greedy_caps_pool(spark, sf):
     """Both caps over the pool of the dearest line items: two of a supplier, three of a part's brand."""
     best = table(spark, sf, "lineitem").orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_linenumber").limit(POOL)
@@ -468,11 +465,6 @@ def url_parts(spark, sf):
     return table(spark, sf, "pages").select("page_id", urls.host(u).alias("host"), urls.path(u).alias("path"), urls.canonical(u).alias("canonical"), urls.query_value(u, "ref").alias("ref"), urls.category(u, "none").alias("category"))
 
 
-@query("SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")
-def json_props(spark, sf):
-    return table(spark, sf, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
-
-
 #: Registration codes and the years they stand for.
 CODES = (("GBEFR2309157", 2023), ("USRC12600001", 2026), ("QZABC8012345", 1980), ("short", None), ("XXABCZZ12345", None), (None, None))
 
@@ -569,3 +561,6 @@ def upload_playlist(spark, sf):
     full = rows(spark, "id long, t string", (2, '{"id":2,"title":"Copper Wire","permalink_url":"https://soundcloud.com/f/c","user":{"username":"Field"},"release_date":"2026-01-28"}')).select("id", F.parse_json("t").alias("track"))
     r = playlists.upload_releases(playlists.upload_tracks(playlists.pages_to_playlists(page), full))
     return r.select("artist", F.col("track_or_project_title").alias("title"), "article_date", F.col("open_graph")["playlist_id"].alias("playlist_id"), F.col("open_graph")["playlist_track_count"].alias("tracks"))
+
+
+from . import table_queries  # noqa: E402, F401  registers further queries

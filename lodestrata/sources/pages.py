@@ -95,7 +95,7 @@ def enrich(articles: DataFrame, pages: DataFrame, profile: str = "A", parity: bo
     """
     from ..operators.extract import body_matches
 
-    held = pages.select(F.col("url").alias("_u"), "html").join(articles.select(F.col("url").alias("_u")).distinct(), "_u", "left_semi")
+    held = pages.select(F.col("url").alias("_u"), "html").join(articles.select(F.col("url").alias("_u")).distinct(), "_u", "left_semi").groupBy("_u").agg(F.min("html").alias("html"))  # one page of each address
     links = music_links(F.col("html"), F.col("_u"), profile)
     if parity:
         links = F.filter(links, lambda x: ~F.contains(x, F.lit("/embed/")))

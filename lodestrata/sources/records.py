@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,14 +34,31 @@ def input_files(spark: SparkSession, folders: list[str], files: list[str], defau
     return out
 
 
+def _plain_path(c: Column) -> Column:
+    """A file's address as Hadoop writes it: decoded, one slash after the scheme."""
+    return F.regexp_replace(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def _numbered(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(_path, file_no) of the named files: a configuration table."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    full = []
+    for p in paths:
+        q = jvm.org.apache.hadoop.fs.Path(p)
+        full.append(re.sub("^([A-Za-z][A-Za-z0-9+.-]*):/+", r"\1:/", q.getFileSystem(conf).makeQualified(q).toString()))
+    return spark.createDataFrame(list({p: (p, n) for n, p in reversed(list(enumerate(full)))}.values()), "_path string, file_no int")
+
+
 def _array_items(spark: SparkSession, paths: list[str], mode: str) -> DataFrame:
     """One row (source_file, file_no, pos, v) per object of each file's top-level array."""
     texts = spark.read.text(paths, wholetext=True).select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("source_file"))
-    order = F.create_map(*[x for n, p in enumerate(paths) for x in (F.lit(p.rpartition("/")[2]), F.lit(n))])
     parsed = F.parse_json("body") if mode == "FAILFAST" else F.try_parse_json("body")
-    rows = texts.select("source_file", F.try_element_at(order, F.substring_index("source_file", "/", -1)).alias("file_no"), parsed.alias("j"))
-    rows.where("j is not null and schema_of_variant(j) like 'ARRAY%'").createOrReplaceTempView("_lodestrata_arrays")
-    return spark.sql("select source_file, file_no, e.pos, e.value as v from _lodestrata_arrays, lateral variant_explode(j) as e where schema_of_variant(e.value) like 'OBJECT%'")
+    placed = texts.withColumn("_path", _plain_path(F.col("source_file"))).join(F.broadcast(_numbered(spark, paths)), "_path")
+    view = f"_lodestrata_{uuid.uuid4().hex}"
+    placed.select("source_file", "file_no", parsed.alias("j")).where("j is not null and schema_of_variant(j) like 'ARRAY%'").createOrReplaceTempView(view)
+    out = spark.sql(f"select source_file, file_no, e.pos, e.value as v from {view}, lateral variant_explode(j) as e where schema_of_variant(e.value) like 'OBJECT%'")
+    spark.catalog.dropTempView(view)
+    return out
 
 
 def bad_files(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -56,7 +76,7 @@ def release_arrays(spark: SparkSession, paths: list[str], mode: str = "DROP") ->
     """
     if not paths:
         return spark.createDataFrame([], RANKED_RELEASE).withColumns({"source_file": F.lit(None).cast("string"), "load_ordinal": F.lit(None).cast("long")})
-    items = _array_items(spark, paths, mode)
+    items = _array_items(spark, list(dict.fromkeys(paths)), mode)
     got = [F.expr(f"try_variant_get(v, '$.{f.name}', '{f.dataType.simpleString()}')").alias(f.name) for f in RANKED_RELEASE.fields if f.name != "ranking_factors"]
     factors = F.expr("cast(to_json(try_variant_get(v, '$.ranking_factors', 'variant')) as string)").alias("ranking_factors")
     ordinal = (F.col("file_no").cast("long") * F.lit(1 << 40) + F.col("pos")).alias("load_ordinal")

@@ -56,13 +56,15 @@ def write_artist_csv(df: DataFrame, path: str) -> None:
 
 
 def read_cache(spark, path: str, schema: str) -> DataFrame:
-    """The link cache; a missing or unreadable one is empty."""
+    """The link cache; a missing one is empty, and so is one with a line that is no JSON."""
     try:
-        return spark.read.schema(schema).json(path)
+        rows = spark.read.schema(f"{schema}, _corrupt_record string").json(path)
+        if not rows.where("_corrupt_record is not null").limit(1).collect():
+            return rows.drop("_corrupt_record")
     except Exception as e:  # noqa: BLE001  Spark raises AnalysisException for a missing path
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def merged_cache(old: DataFrame, new: DataFrame, key: str = "cache_key") -> DataFrame:

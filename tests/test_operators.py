@@ -172,3 +172,41 @@ def test_body_evidence(spark):
     df = spark.createDataFrame([("a new single 'Sea' and a track called \"Sky\"; album 'Sun'",)], "b string")
     assert df.select(extract.body_matches(F.col("b"))).first()[0] == ["track called \"Sky\"", "new single 'Sea'", "album 'Sun'"]
     assert df.select(extract.title_from_body(F.col("b"))).first()[0] == "Sky"
+
+
+def test_resolution_trusts_only_what_is_checked(spark):
+    schema = "query_id long, rank int, artist string, title string, open_graph map<string,string>, source_article_url string, embedded_music_links array<string>, cache_key string"
+    rows = [(i, i, "Nova Reyes", "Glass Harbor", {}, None, None, f"k{i}") for i in range(1, 5)] + [(5, 5, "", "No artist", {}, "https://soundcloud.com/a/b", None, "k5"), (6, 6, "Nova Reyes", "Glass Harbor", {"soundcloud_track_id": "77"}, "https://soundcloud.com/a/c", None, "k6")]
+    cache = [("k1", "c1", "uri1", "strict_v3_date_checked", "9", "u9"), ("k2", "c2", "uri2", "old", "8", "u8"), ("k3", "c3", "uri3", None, None, None), ("k4", "", None, None, "7", "u7")]
+    cached = spark.createDataFrame(cache, "cache_key string, spotify_id string, spotify_uri string, spotify_match_version string, soundcloud_track_id string, soundcloud_url string")
+    upload = "pos int, title string, publisher_artist string, writer_composer string, username string, permalink string, playback_count long, release_year int, release_month int, release_day int, release_date string, display_date string, created_at string"
+    data = lambda title, day: (0, title, "Nova Reyes", None, "u", "p", 5, None, None, None, day, None, None)
+    payloads = spark.createDataFrame([("9", *data("Glass Harbor", None)), ("8", *data("Glass Harbor", "2020-01-01"))], f"soundcloud_track_id string, {upload}")
+    known = match.distrusted(match.cache_lookup(spark.createDataFrame(rows, schema), cached), payloads, "2026-05-04", 7)
+    got = {r["query_id"]: (r["spotify_id"] or None, r["soundcloud_track_id"], r["notes"]) for r in known.collect()}
+    both = ["discarded_untrusted_cached_soundcloud_match", "discarded_legacy_cached_spotify_match"]
+    assert got == {1: ("c1", "9", []), 2: (None, None, both), 3: (None, None, both[1:]), 4: (None, None, both[:1]), 5: (None, None, []), 6: (None, None, [])}
+    none = spark.createDataFrame([], "query_id long, pos int, id string, name string, artist_names array<string>, popularity int, release_date string, release_date_precision string")
+    found = spark.createDataFrame([(2, "21", "https://x/21", *data("Glass Harbor", "2026-05-01"))], f"query_id long, id string, permalink_url string, {upload}")
+    out = {r["query_id"]: r for r in match.resolve(known, none, found, "2026-05-04", 7, 3).collect()}
+    assert (out[1]["spotify_uri"], out[1]["soundcloud_url"], out[1]["notes"]) == ("uri1", "u9", [])
+    assert (out[2]["soundcloud_track_id"], out[2]["soundcloud_url"]) == ("21", "https://x/21") and out[2]["notes"] == both
+    assert out[3]["notes"] == [both[1], "spotify_resolution_rate_limited"] and out[4]["notes"] == [both[0], "spotify_resolution_deferred"]
+    assert (out[5]["soundcloud_track_id"], out[5]["soundcloud_url"]) == (None, "https://soundcloud.com/a/b")
+    assert (out[6]["soundcloud_track_id"], out[6]["soundcloud_url"]) == ("77", "https://soundcloud.com/a/c")
+
+
+def test_playlist_longer_than_the_usual_pool(spark):
+    rows = [(n, 200.0 - n, f"A{n}", f"T{n}", f"s{n}") for n in range(1, 181)]
+    tracks = spark.createDataFrame(rows, "rank int, ranking_score double, artist string, title string, spotify_id string").withColumns(
+        {
+            "query_id": F.col("rank").cast("long"), "open_graph": F.create_map(F.lit("x"), F.lit("y")), "embedded_music_links": F.array(F.lit("x")),
+            **{c: F.lit(None).cast("string") for c in ("source_article_title", "source_article_url", "spotify_uri", "soundcloud_track_id", "soundcloud_url")},
+        }
+    )
+    upload = "query_id long, pos int, id string, permalink_url string, title string, publisher_artist string, writer_composer string, username string, permalink string, playback_count long, release_year int, release_month int, release_day int, release_date string, display_date string, created_at string"
+    catalogue = "query_id long, pos int, id string, name string, artist_names array<string>, popularity int, release_date string, release_date_precision string"
+    config = pipeline.PipelineConfig(as_of="2026-05-04", top_n=170)
+    got = pipeline.playlist(tracks, spark.createDataFrame([], catalogue), spark.createDataFrame([], upload), config)
+    assert got["pool"].count() == 170 and got["catalogue"].count() == 170
+    assert curate(tracks, "2026-05-04").count() == 180

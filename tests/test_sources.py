@@ -26,6 +26,22 @@ def test_json_arrays(spark, tmp_path):
     assert records.release_arrays(spark, []).count() == 0
 
 
+def test_json_arrays_of_equal_names_and_blanks(spark, tmp_path):
+    files = [tmp_path / "a" / "x.json", tmp_path / "b" / "x.json", tmp_path / "b" / "y + z%.json"]
+    for n, f in enumerate(files):
+        f.parent.mkdir(exist_ok=True)
+        f.write_text(json.dumps([{"artist": f"A{n}"}, {"artist": f"B{n}"}]))
+    got = records.release_arrays(spark, [str(f) for f in reversed(files)] + [str(files[0])]).orderBy("load_ordinal").collect()
+    assert [r["artist"] for r in got] == ["A2", "B2", "A1", "B1", "A0", "B0"] and len({r["load_ordinal"] for r in got}) == 6
+
+
+def test_corrupt_cache_is_empty(spark, tmp_path):
+    (tmp_path / "cache.json").write_text('{"cache_key": "k"}\n{broken\n')
+    assert sinks.read_cache(spark, str(tmp_path / "cache.json"), "cache_key string").count() == 0
+    (tmp_path / "cache.json").write_text('{"cache_key": "k"}\n')
+    assert sinks.read_cache(spark, str(tmp_path / "cache.json"), "cache_key string").columns == ["cache_key"]
+
+
 def test_text_sources(spark, tmp_path):
     (tmp_path / "artists.csv").write_text('artist_name,spotify_url,soundcloud_url,soundcloud_user_id,genre,rank,monthly_listeners\nA,https://open.spotify.com/artist/a1,,,house,1,5\nB,https://x.org/b,,,,,\nC,,,77,"a | b",,\nD,,,,,,\n')
     got = records.artist_profiles(spark, str(tmp_path / "artists.csv")).orderBy("ordinal").collect()
