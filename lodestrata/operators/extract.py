@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,17 +16,14 @@ from .classify import classify
 # Title patterns in their order of precedence; group 1 is the artist, group 2 the title.
 QUOTE_AB = r"""("[^"]{2,160}"|'(?:[^']|'(?=[A-Za-z])){2,160}'|“[^”]{2,160}”|‘[^‘]{2,160}’(?![A-Za-z]))"""
 QUOTE_C = r"""["'‘“]([^"'‘’“”]{2,160})["'’”]"""
-VERBS_A = r"(?:announces?.*?with release of|releases?|drops?|unveils?|reveals?|unleash(?:es)?|delivers?|presents?|shares?|returns? with|returns? .*? with|extends .*? with|starts? .*? with|goes .*? with|gets .*? with|channels|continues .*? with|enlists? .+? for|recruits? .+? for|details .*? and shares?|announces .*? and unveils?|announces .*?,\s*unveils?|joins? .*? with|joins? forces .*? (?:for|on|with)|teams up .*? (?:for|on|with)|collaborates .*? (?:for|on|with)|collides?\s+(?:for|on|with)|collides? .*? (?:for|on|with)|unites?\s+on|reunites?\s+for|lands? .*? with|provides? .*? in|pulls? .*? on|brings? .*? on)"
-VERBS_B = r"(?:releases?|drops?|unveils?|reveals?|unleash(?:es)?|delivers?|presents?|shares?|returns with|returns .*? with|extends .*? with|starts? .*? with|goes .*? with|gets .*? with|channels|continues .*? with|enlists? .+? for|details .*? and shares?|announces .*? and unveils?|announces .*?,\s*unveils?|joins? .*? with|joins? forces .*? (?:for|on|with)|teams up .*? (?:for|on|with)|collaborates .*? (?:for|on|with)|collides?\s+(?:for|on|with)|collides? .*? (?:for|on|with)|unites?\s+on|reunites?\s+for|provides? .*? in)"
-VERBS_C = r"(?:releases?|drops?|unveils?|delivers?|shares?|returns with|channels|continues .*? with|enlists? .+? for|details .*? and shares?|announces .*? and unveils?|announces .*?,\s*unveils?|joins? forces .*? (?:for|on|with)|teams up .*? (?:for|on|with)|collaborates .*? (?:for|on|with))"
 LISTEN_TO = rf"^.*?Listen to (.+?)['’]s .+?\b(?:single|track|banger|anthem|release|remix|rework|EP|album).*?{QUOTE_AB}"
 OWNED_ALBUM = r"""^(.+?)['’]s\s+[‘“'"]([^’”'"]{2,160})[’”'"]\s+(?:album\b|.+?\balbum\b)"""
 TO_NEW_SINGLE = rf"^(.+?)\s+to\s+.+?new\s+single.+?listen\s+to\s+{QUOTE_AB}"
 ON_ARTISTS = rf"^.+?\s+on\s+(.+?)['’]s\s+{QUOTE_AB}"
 IN_ARTISTS = rf"^.+?\s+in\s+(.+?)['’]s\s+.+?{QUOTE_AB}"
-VERB_A = rf"^(.+?)\s+{VERBS_A}.+?{QUOTE_AB}"
-VERB_B = rf"^(.+?)\s+{VERBS_B}.+?{QUOTE_AB}"
-VERB_C = rf"^(.+?)\s+{VERBS_C}.*?{QUOTE_C}"
+VERB_A = rf"^(.+?)\s+(?:announces?.*?with release of|releases?|drops?|unveils?|reveals?|unleash(?:es)?|delivers?|presents?|shares?|returns? with|returns? .*? with|extends .*? with|starts? .*? with|goes .*? with|gets .*? with|channels|continues .*? with|enlists? .+? for|recruits? .+? for|details .*? and shares?|announces .*? and unveils?|announces .*?,\s*unveils?|joins? .*? with|joins? forces .*? (?:for|on|with)|teams up .*? (?:for|on|with)|collaborates .*? (?:for|on|with)|collides?\s+(?:for|on|with)|collides? .*? (?:for|on|with)|unites?\s+on|reunites?\s+for|lands? .*? with|provides? .*? in|pulls? .*? on|brings? .*? on).+?{QUOTE_AB}"
+VERB_B = rf"^(.+?)\s+(?:releases?|drops?|unveils?|reveals?|unleash(?:es)?|delivers?|presents?|shares?|returns with|returns .*? with|extends .*? with|starts? .*? with|goes .*? with|gets .*? with|channels|continues .*? with|enlists? .+? for|details .*? and shares?|announces .*? and unveils?|announces .*?,\s*unveils?|joins? .*? with|joins? forces .*? (?:for|on|with)|teams up .*? (?:for|on|with)|collaborates .*? (?:for|on|with)|collides?\s+(?:for|on|with)|collides? .*? (?:for|on|with)|unites?\s+on|reunites?\s+for|provides? .*? in).+?{QUOTE_AB}"
+VERB_C = rf"^(.+?)\s+(?:releases?|drops?|unveils?|delivers?|shares?|returns with|channels|continues .*? with|enlists? .+? for|details .*? and shares?|announces .*? and unveils?|announces .*?,\s*unveils?|joins? forces .*? (?:for|on|with)|teams up .*? (?:for|on|with)|collaborates .*? (?:for|on|with)).*?{QUOTE_C}"
 REMIXES = r"^(.+?)\s+(?:re[- ]?imagines|remixes?|flips?|reworks?)\s+(?:.*?\s+)?"
 PROJECT = r"^(.+?)\s+.+?\b(?:single|track|ep|album|anthem|release|remix|rework)[,:]?\s+"
 DASHED = r"^(.+?)\s+[–-]\s+(.+?)(?:\s+\[.*?\])?(?::\s*Listen)?$"
@@ -88,6 +86,7 @@ def clean_extracted_title(raw: Column, profile: str = "A") -> Column:
     return _ends(F.regexp_replace(F.regexp_replace(raw, NOISE[profile], ""), f"^[{QUOTE_MARKS}]+|[{QUOTE_MARKS}]+$", ""))
 
 
+@cache
 def _parser(profile: str):
     patterns = [re.compile(p, re.IGNORECASE) for p in TITLE_PATTERNS[profile]]
     noise, announced = re.compile(NOISE[profile].removeprefix("(?iU)"), re.IGNORECASE), re.compile(ANNOUNCED.removeprefix("(?iU)"), re.IGNORECASE)

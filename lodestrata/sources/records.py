@@ -49,13 +49,11 @@ def _numbered(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.createDataFrame(list({p: (p, n) for n, p in reversed(list(enumerate(full)))}.values()), "_path string, file_no int")
 
 
-def _array_items(spark: SparkSession, paths: list[str], mode: str) -> DataFrame:
-    """One row (source_file, file_no, pos, v) per object of each file's top-level array."""
-    texts = spark.read.text(paths, wholetext=True).select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("source_file"))
+def _array_items(spark: SparkSession, files: DataFrame, mode: str) -> DataFrame:
+    """One row (source_file, file_no, pos, v) per object of each body's top-level array."""
     parsed = F.parse_json("body") if mode == "FAILFAST" else F.try_parse_json("body")
-    placed = texts.withColumn("_path", _plain_path(F.col("source_file"))).join(F.broadcast(_numbered(spark, paths)), "_path")
     view = f"_lodestrata_{uuid.uuid4().hex}"
-    placed.select("source_file", "file_no", parsed.alias("j")).where("j is not null and schema_of_variant(j) like 'ARRAY%'").createOrReplaceTempView(view)
+    files.select("source_file", "file_no", parsed.alias("j")).where("j is not null and schema_of_variant(j) like 'ARRAY%'").createOrReplaceTempView(view)
     out = spark.sql(f"select source_file, file_no, e.pos, e.value as v from {view}, lateral variant_explode(j) as e where schema_of_variant(e.value) like 'OBJECT%'")
     spark.catalog.dropTempView(view)
     return out
@@ -76,7 +74,14 @@ def release_arrays(spark: SparkSession, paths: list[str], mode: str = "DROP") ->
     """
     if not paths:
         return spark.createDataFrame([], RANKED_RELEASE).withColumns({"source_file": F.lit(None).cast("string"), "load_ordinal": F.lit(None).cast("long")})
-    items = _array_items(spark, list(dict.fromkeys(paths)), mode)
+    texts = spark.read.text(list(dict.fromkeys(paths)), wholetext=True).select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("source_file"))
+    placed = texts.withColumn("_path", _plain_path(F.col("source_file"))).join(F.broadcast(_numbered(spark, paths)), "_path")
+    return releases_of(spark, placed, mode)
+
+
+def releases_of(spark: SparkSession, files: DataFrame, mode: str = "DROP") -> DataFrame:
+    """Releases of the JSON arrays in (body, source_file, file_no), as :func:`release_arrays`."""
+    items = _array_items(spark, files, mode)
     got = [F.expr(f"try_variant_get(v, '$.{f.name}', '{f.dataType.simpleString()}')").alias(f.name) for f in RANKED_RELEASE.fields if f.name != "ranking_factors"]
     factors = F.expr("cast(to_json(try_variant_get(v, '$.ranking_factors', 'variant')) as string)").alias("ranking_factors")
     ordinal = (F.col("file_no").cast("long") * F.lit(1 << 40) + F.col("pos")).alias("load_ordinal")
@@ -95,13 +100,17 @@ def ordered(rows: DataFrame) -> DataFrame:
 
 def artist_profiles(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
     """Artist profiles with any identifier; a catalogue URL has to be readable. First ``limit`` kept rows."""
-    rows = ordered(_csv(spark, path))
+    rows = profiles_of(ordered(_csv(spark, path)))
+    return rows.orderBy("ordinal").limit(limit) if limit else rows
+
+
+def profiles_of(rows: DataFrame) -> DataFrame:
+    """Rows of an artist file with any identifier that can be read; missing columns are empty."""
     for c in ("artist_name", "spotify_url", "soundcloud_url", "soundcloud_user_id", "genre", "rank", "monthly_listeners"):
         rows = rows.withColumn(c, clean_optional(F.col(c)) if c in rows.columns else F.lit(""))
     some = (F.col("spotify_url") != "") | (F.col("soundcloud_url") != "") | (F.col("soundcloud_user_id") != "")
     readable = (F.col("spotify_url") == "") | (catalogue_artist_id(F.col("spotify_url")) != "")
-    rows = rows.where(some & readable)
-    return rows.orderBy("ordinal").limit(limit) if limit else rows
+    return rows.where(some & readable)
 
 
 def barred(c: Column) -> Column:
@@ -110,7 +119,11 @@ def barred(c: Column) -> Column:
 
 
 def followed_artists(spark: SparkSession, path: str) -> DataFrame:
-    rows = ordered(_csv(spark, path))
+    return followed_of(ordered(_csv(spark, path)))
+
+
+def followed_of(rows: DataFrame) -> DataFrame:
+    """Rows of a followed-artist file, typed."""
     text = [clean(F.col(c)).alias(c) for c in ("artist_name", "soundcloud_url", "soundcloud_user_id", "country", "city")]
     lists = [barred(F.col(c)).alias(c) for c in ("genres", "edm_match_terms")]
     numbers = [parse_int(F.col(c)).alias(c) for c in ("followers_count", "track_count")]
@@ -119,15 +132,23 @@ def followed_artists(spark: SparkSession, path: str) -> DataFrame:
 
 def config_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a list that are neither blank nor comments, with ``ordinal``."""
-    lines = ordered(spark.read.text(path)).select(F.trim("value").alias("value"), "ordinal")
+    return lines_of(ordered(spark.read.text(path)))
+
+
+def lines_of(rows: DataFrame) -> DataFrame:
+    lines = rows.select(F.trim("value").alias("value"), "ordinal")
     return lines.where((F.col("value") != "") & ~F.startswith("value", F.lit("#")))
 
 
 def genre_targets(spark: SparkSession, path: str) -> DataFrame:
     """url, limit, genre of ``url,limit[,genre]`` lines; fewer fields raise."""
+    return targets_of(config_lines(spark, path))
+
+
+def targets_of(lines: DataFrame) -> DataFrame:
     p = F.transform(F.split("value", ","), lambda x: F.trim(x))
     checked = F.when(F.size(p) < 2, F.raise_error(F.concat(F.lit("expected url,limit: "), F.col("value")))).otherwise(p)
-    rows = config_lines(spark, path).select(checked.alias("p"), "ordinal")
+    rows = lines.select(checked.alias("p"), "ordinal")
     return rows.select(F.element_at("p", 1).alias("url"), F.element_at("p", 2).cast("int").alias("limit"), F.nullif(F.try_element_at("p", F.lit(3)), F.lit("")).alias("genre"), "ordinal")
 
 
