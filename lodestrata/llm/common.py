@@ -132,6 +132,24 @@ def sha_hex(col) -> F.Column:
     return F.sha2(col, 256)
 
 
+#: A key of more rows than this, and than a ``HOT_KEYS``-th of all rows, is hot.
+HOT_ROWS, HOT_KEYS = 20_000, 1 << 17
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of ``rows`` with one row for each key, whose column ``c`` counts the key's rows.
+
+    Both sides have to be stored. Rows of a hot key are never brought together:
+    there are at most ``HOT_KEYS`` such keys, and these are broadcast.
+    """
+    least = max(HOT_ROWS, rows.count() // HOT_KEYS)
+    hot = keyed.where(F.col("c") > least)
+    if not hot.limit(1).collect():
+        return rows.join(keyed.drop("c"), keys)
+    others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(keyed.where(F.col("c") <= least).drop("c"), keys)
+    return others.unionByName(rows.join(F.broadcast(hot.drop("c")), keys))
+
+
 class Stored:
     """A DataFrame written as Parquet under the shared checkpoint folder, while the ``with`` block lasts.
 

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, cut, map_texts
+from .common import Stored, cut, join_counted, map_texts
 from .recompression import FieldHashes, anchors, cuts, interval_hashes, mixed, parse, prefix_hashes, word_hashes
 
 WINDOW = 13
@@ -175,14 +175,14 @@ def repeats(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFra
 
     def later(rows: DataFrame, name: str) -> DataFrame:
         """(id, list of the values that a smaller id has)."""
-        first = rows.groupBy("v", "w").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("v", "w", "lo")
-        return cut(rows.join(first, ["v", "w"]).where("id > lo").groupBy("id").agg(F.collect_set("v").alias(name)))
+        first = cut(rows.groupBy("v", "w").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi").select("v", "w", "lo", "c"))
+        return cut(join_counted(rows, first, ["v", "w"]).where("id > lo").groupBy("id").agg(F.collect_set("v").alias(name)))
 
     with stored(named, ["id", "text"], "chunks", "v", "w") as rows:
         chunks = later(rows, "chunks")
     with stored(named.join(chunks, "id", "left"), ["id", "text", "chunks"], "symbols", "v") as rows:
-        shared = rows.groupBy("v").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("v")
-        symbols = cut(rows.join(shared, "v").groupBy("id").agg(F.collect_set("v").alias("symbols")))  # at most one per word
+        shared = cut(rows.groupBy("v").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi").select("v", "c"))
+        symbols = cut(join_counted(rows, shared, ["v"]).groupBy("id").agg(F.collect_set("v").alias("symbols")))  # at most one per word
     with stored(named.join(symbols, "id").join(chunks, "id", "left"), ["id", "text", "chunks", "symbols"], "windows", "v", "w") as rows:
         windows = later(rows, "windows")
     return chunks.join(windows, "id", "full")

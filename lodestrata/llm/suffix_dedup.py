@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, cut, map_texts
+from .common import Stored, cut, join_counted, map_texts
 from .induced_sort import common_prefixes, suffix_array
 from .recompression import interval_hashes, mixed, prefix_hashes
 from .substring_dedup import among
@@ -248,8 +248,8 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
         return pa.RecordBatch.from_arrays([signed(names), signed(seals_), batch.column(0).take(pa.array(whole(docs_, np.int64))), pa.array(whole(starts, np.int64)), pa.array(whole(counts, np.int32))], ["v", "w", "id", "a", "n"])
 
     with Stored(map_texts(named, ["id", "text"], chunk_scan, f"v long, w long, id {kind}, a long, n int", 256)) as rows:
-        earliest = rows.groupBy("v", "w").agg(F.min(F.struct("id", "a")).alias("o"), F.count(F.lit(1)).alias("c")).where("c > 1").select("v", "w", "o")
-        copies = rows.join(earliest, ["v", "w"]).where("id > o.id or a > o.a")
+        earliest = cut(rows.groupBy("v", "w").agg(F.min(F.struct("id", "a")).alias("o"), F.count(F.lit(1)).alias("c")).where("c > 1"))
+        copies = join_counted(rows, earliest, ["v", "w"]).where("id > o.id or a > o.a")
         copied = cut(copies.groupBy("id").agg(F.collect_set("a").alias("starts"), F.collect_set(F.struct(F.col("a").cast("int").alias("a"), (F.col("a") + F.col("n")).cast("int").alias("z"))).alias("ranges")))
 
     def anchor_scan(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -266,9 +266,9 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
 
     left = named.join(copied.select("id", "starts"), "id", "left")
     with Stored(map_texts(left, ["id", "text", "starts"], anchor_scan, f"anchor long, id {kind}, n int", 256)) as rows:
-        shared = rows.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
+        shared = cut(rows.groupBy("anchor").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("c")).where("n > 1"))
         named_hot = F.when(F.col("n") > HOT, F.col("anchor")).alias("hot")
-        wanted = cut(rows.select("anchor", "id").join(shared, "anchor").select("id", "anchor", named_hot).groupBy("id").agg(F.collect_set("anchor").alias("anchors"), F.collect_set("hot").alias("hot")))
+        wanted = cut(join_counted(rows.select("anchor", "id"), shared, ["anchor"]).select("id", "anchor", named_hot).groupBy("id").agg(F.collect_set("anchor").alias("anchors"), F.collect_set("hot").alias("hot")))
 
     def fragment_scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         names, prints, seals_, docs_, starts, counts, bodies = [], [], [], [], [], [], []
@@ -294,22 +294,24 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
     n_hot = hot.count()
     asked = named.join(wanted.select("id", "anchors"), "id").join(copied.select("id", "starts"), "id", "left")
     with Stored(map_texts(asked, ["id", "text", "starts", "anchors"], fragment_scan, f"anchor long, print long, seal long, id {kind}, a int, n int, body binary", 64)) as rows, ExitStack() as more:
-        origin = rows.groupBy("anchor", "print", "seal").agg(F.min(F.struct("id", "a")).alias("o"))
-        marked = rows.join(origin, ["anchor", "print", "seal"])
+        key = ["anchor", "print", "seal"]
+        origin = cut(rows.groupBy(*key).agg(F.min(F.struct("id", "a")).alias("o"), F.count(F.lit(1)).alias("c")))
         is_first = (F.col("id") == F.col("o.id")) & (F.col("a") == F.col("o.a"))
-        again = cut(rows.drop("body").join(origin, ["anchor", "print", "seal"]).where(~is_first).select("id", "a", (F.col("a") + F.col("n")).alias("z")))
+        again = cut(join_counted(rows.drop("body"), origin.where("c > 1"), key).where(~is_first).select("id", "a", (F.col("a") + F.col("n")).alias("z")))
         # fragments that meet another one under their anchor; a repeated id may repeat a first place
         several = origin.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
-        first = marked.where(is_first).select("anchor", "id", "a", "body")
+        # the body of each first one, found by its place
+        held_at = origin.select(*key, F.col("o.id").alias("id"), F.col("o.a").alias("a")).join(several, "anchor", "left_semi")
+        first = rows.drop("n").join(held_at, [*key, "id", "a"], "left_semi").select("anchor", "id", "a", "body")
         found = again
         if n_hot:
             hot = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
             held = more.enter_context(Stored(first.join(hot, "anchor", "left_semi")))
             parts, later = split(held, length)
-            shards = first.join(hot, "anchor", "left_anti").join(several, "anchor", "left_semi").unionByName(parts)
+            shards = first.join(hot, "anchor", "left_anti").unionByName(parts)
             found = found if later is None else found.unionByName(later)
         else:
-            shards = first.join(several, "anchor", "left_semi")
+            shards = first
         dealt = shards.repartition("anchor").sortWithinPartitions("anchor", "id", "a")
 
         def sort_shards(batches):

@@ -7,6 +7,7 @@ import zlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lodestrata.llm import bpe, language, minhash, packing, quality, secret_scan, substring_dedup, suffix_dedup
@@ -478,3 +479,28 @@ def test_pigeonhole_keys():
     for row in b:
         row[rng.choice(minhash.COMPONENTS, minhash.DISTANCE, replace=False)] += 1
     assert (minhash.chunk_keys(a) == minhash.chunk_keys(b)).any(1).all()
+
+
+@pytest.mark.parametrize("least", [1, 5])
+def test_join_of_hot_keys(spark, monkeypatch, least):
+    """Keys meet alike, whether they are broadcast or shuffled."""
+    from lodestrata.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", least)
+    rows = spark.createDataFrame([(k, i) for k in range(12) for i in range(k)], "k int, i int")
+    keyed = rows.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.max("i").alias("m")).where("c > 1")
+    got = common.join_counted(rows, keyed, ["k"])
+    assert sorted(map(tuple, got.select("k", "i", "m").collect())) == sorted((k, i, k - 1) for k in range(2, 12) for i in range(k))
+
+
+@pytest.mark.parametrize("hot", [2, 40])
+def test_dedup_with_hot_keys(spark, monkeypatch, hot):
+    from lodestrata.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
+    rng = random.Random(11)
+    line, block = words(rng, 40), words(rng, 200)
+    rows = [(i, f"{words(rng, rng.randint(0, 20))} {line if i % 3 else block} {words(rng, rng.randint(0, 20))}") for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in substring_dedup.digests(df).collect()} == removed_words(rows, 13)
+    assert {r["doc_id"]: r["n_removed"] for r in suffix_dedup.digests(df).collect()} == removed_bytes(rows, 100)
