@@ -128,26 +128,41 @@ def induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, keys: int) -> np.ndarr
     return np.concatenate(out)[::-1]
 
 
-def ranks_of_names(names: np.ndarray) -> np.ndarray:
-    """Order of all suffixes of a string of names, by doubling what is compared."""
+def order_of_names(names: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Order of all suffixes of a string of names, by doubling what is compared.
+
+    A rank is the place at which a suffix's group begins; groups of one are
+    settled and not looked at again. depth: compare at least so many names only.
+    """
     n = len(names)
-    rank = names.astype(np.int64)
-    width = 1
-    while True:
-        after = np.zeros(n, np.int64)
-        after[: max(0, n - width)] = rank[width:] + 1
-        key = rank * (n + 2) + after
-        order = np.argsort(key, kind="stable")
-        new = np.zeros(n, np.int64)
-        sorted_key = key[order]
-        new[order] = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-        rank, width = new, width * 2
-        if rank.max(initial=0) == n - 1 or width >= n:
-            return order
-
-
-def suffix_array(data: bytes | np.ndarray) -> np.ndarray:
-    """Start places of all suffixes of ``data`` in order."""
+    count = np.bincount(names)
+    rank = (np.cumsum(count) - count)[names]
+    live = np.flatnonzero(count[names] > 1)
+    width, most = 1, n if depth is None else min(n, depth)
+    while len(live) and width < most:
+        after = live + width
+        key = rank[live] * np.int64(n + 2)
+        inside = after < n
+        key[inside] += rank[after[inside]] + 1
+        by = np.argsort(key)
+        live, key = live[by], key[by]
+        new = np.ones(len(live), bool)
+        new[1:] = key[1:] != key[:-1]
+        old = rank[live]
+        head = np.ones(len(live), bool)
+        head[1:] = old[1:] != old[:-1]
+        at = np.arange(len(live))
+        part = np.maximum.accumulate(np.where(new, at, 0))
+        rank[live] = old + part - np.maximum.accumulate(np.where(head, at, 0))
+        alone = new.copy()
+        alone[:-1] &= new[1:]
+        live = live[~alone]
+        width *= 2
+    return np.argsort(rank, kind="stable")
+
+
+def suffix_array(data: bytes | np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Start places of all suffixes of ``data`` in order (by their first ``depth`` bytes at least, if given)."""
     raw = np.frombuffer(data, np.uint8) if isinstance(data, bytes) else data
     n = len(raw)
     if n < 2:
@@ -178,27 +193,21 @@ def suffix_array(data: bytes | np.ndarray) -> np.ndarray:
             same[todo] &= (t[a] == t[b]) & (s[a] == s[b])
         names = np.empty(len(lms), np.int64)
         names[place[rough]] = np.cumsum(~same) - 1
-        lms = lms[ranks_of_names(names)] if names.max() + 1 < len(lms) else rough
+        # a name spans two bytes at least
+        lms = lms[order_of_names(names, depth and depth // 2 + 1)] if names.max() + 1 < len(lms) else rough
     return induce(t, s, lms, 257)[1:]  # without the end mark
 
 
-def common_prefixes(raw: np.ndarray, order: np.ndarray, cap: int) -> np.ndarray:
-    """Length of the common prefix of each suffix in ``order`` with the one before, up to ``cap``."""
-    n = len(raw)
-    padded = np.zeros(n + cap + 8, np.uint8)
-    padded[:n] = raw
-    words = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), shape=(n + cap,), strides=(1,))
-    out = np.zeros(len(order), np.int32)
-    live = np.arange(1, len(order))
-    for step in range(0, cap, 8):
-        a, b = words[order[live] + step], words[order[live - 1] + step]
-        differ = a ^ b
-        low = differ & (~differ + np.uint64(1))
-        equal = np.where(differ == 0, 8, np.log2(np.maximum(low, 1).astype(np.float64)).astype(np.int64) >> 3)
-        room = np.minimum(n - order[live], n - order[live - 1]) - step
-        got = np.minimum(np.minimum(equal, room), cap - step)
-        out[live] += got.astype(np.int32)
-        live = live[got == 8]
-        if not len(live):
-            break
+def as_before(raw: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
+    """Whether each suffix in ``order`` begins with the same ``length`` bytes as the one before it.
+
+    Every suffix in ``order`` has to have that many bytes.
+    """
+    out = np.zeros(len(order), bool)
+    if len(order) < 2:
+        return out
+    heads = np.lib.stride_tricks.as_strided(raw[:length].view(f"V{length}"), (len(raw) - length + 1,), (1,))
+    for lo in range(1, len(order), 1 << 14):
+        here = heads[order[lo - 1 : lo + (1 << 14)]]
+        out[lo : lo + (1 << 14)] = here[1:] == here[:-1]
     return out

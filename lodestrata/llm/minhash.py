@@ -77,11 +77,11 @@ class WordHash(dict):
         return got
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().lower().split()  # of bytes: ASCII case and the six ASCII white spaces
+def words_of(text: bytes) -> list[bytes]:
+    return text.lower().split()  # of bytes: ASCII case and the six ASCII white spaces
 
 
-def shingles(text: str | None, memo: WordHash) -> np.ndarray:
+def shingles(text: bytes | None, memo: WordHash) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles."""
     found = words_of(text) if text else []
     if not found:
@@ -124,7 +124,7 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         memo = _memo()
         n, fps, sigs = [], [], []
-        for text in batch.column(1).to_pylist():
+        for text in batch.column(1).cast(pa.binary()).to_pylist():
             s = shingles(text, memo)
             n.append(len(s))
             fps.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
@@ -211,7 +211,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_c
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         memo, rows = _memo(), {k: [] for k in ("tile", "i", "j", "rep", "set")}
-        for rep, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for rep, text, places in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
             body = shingles(text, memo).tobytes()
             for p in places:
                 for k in ("tile", "i", "j"):

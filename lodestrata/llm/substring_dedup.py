@@ -115,8 +115,8 @@ def among(values: np.ndarray, docs: np.ndarray, lists: pa.Array, lo: int, n: int
     return out
 
 
-def _bytes(column: pa.Array) -> list[bytes]:
-    return [t.encode() if t else b"" for t in column.to_pylist()]
+def utf8(column: pa.Array) -> list[bytes]:
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
 class _Rows:
@@ -147,7 +147,7 @@ def repeats(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFra
         """Hashes of the texts' chunks, or of symbols or windows outside of repeated chunks."""
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts, out = _bytes(batch.column(1)), _Rows()
+            texts, out = utf8(batch.column(1)), _Rows()
             for lo, hi in batched(texts):
                 w = Words(texts[lo:hi])
                 at = w.windows(window)
@@ -241,7 +241,7 @@ def digests(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_
     joined = _with_repeats(docs.select(id_col, text_col), window, id_col, text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        c = Cut(_bytes(batch.column(1)), batch.column(2), batch.column(3), window)
+        c = Cut(utf8(batch.column(1)), batch.column(2), batch.column(3), window)
         gone = [0 if g is None else int(g.sum()) for g in c.gone]
         sha = [hashlib.sha256(c.kept(i)).hexdigest() for i in range(batch.num_rows)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(c.n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], ["id", "n_words", "n_removed", "kept_sha256"])
@@ -261,7 +261,7 @@ def remove(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_c
     place = names.index(text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        c = Cut(_bytes(batch.column(place)), batch.column(len(names)), batch.column(len(names) + 1), window)
+        c = Cut(utf8(batch.column(place)), batch.column(len(names)), batch.column(len(names) + 1), window)
         texts = [t if g is None else c.kept(i).decode() for i, (t, g) in enumerate(zip(batch.column(place).to_pylist(), c.gone, strict=True))]
         out = [batch.column(i) for i in range(len(names))]
         out[place] = pa.array(texts, pa.string())

@@ -16,7 +16,7 @@ strings are judged on the input.
    but the earliest are repeated as a whole.
 3. Different fragments of an anchor meet in one shard. The shard's suffix array is
    built by external induced sorting (:mod:`.induced_sort`), with disk-backed
-   queues; runs of suffixes whose common prefix has ``length`` bytes are
+   queues; neighbours that begin with the same ``length`` bytes are
    occurrences of the same string, of which only the earliest stays. A shard
    larger than ``SHARD_BYTES`` is sorted in pieces of whole anchors. An anchor of
    more than ``HOT`` fragments is split first: strings that hold it at the same
@@ -41,18 +41,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stored, cut, join_counted, map_texts
-from .induced_sort import common_prefixes, suffix_array
+from .induced_sort import as_before, suffix_array
 from .recompression import interval_hashes, mixed, prefix_hashes
-from .substring_dedup import among
+from .substring_dedup import among, utf8
 
 LENGTH = 100
 GRAM = 32
 #: Mean bytes between cuts.
 ONE_IN = 256
-#: Bytes of one suffix array.
-SHARD_BYTES = 3 << 20
-#: Most fragments of one anchor that are sorted together (about ``SHARD_BYTES``).
-HOT = SHARD_BYTES // (2 * LENGTH - GRAM)
+#: Bytes of one suffix array (or one anchor), so that its arrays stay in a core's cache.
+SHARD_BYTES = 1 << 19
+#: Most fragments of one anchor that are sorted together (about 3 MiB).
+HOT = (3 << 20) // (2 * LENGTH - GRAM)
 #: Places of an anchor in its strings that one part of a split fragment spans.
 PART = 18
 #: Keys of split anchors that are broadcast; more are shuffled.
@@ -212,10 +212,6 @@ def seals(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.frombuffer(digest, "<u8")
 
 
-def _bytes(text: str | None) -> bytes:
-    return text.encode() if text else b""
-
-
 def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
     """(id, ranges array<struct<a, z>>): starts of strings that occur earlier, as ranges [a, z)."""
     spark = docs.sparkSession
@@ -225,7 +221,7 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
     whole = lambda x, t: np.concatenate(x).astype(t) if x else np.empty(0, t)
 
     def parts(batch: pa.RecordBatch):
-        texts = [_bytes(t) for t in batch.column(1).to_pylist()]
+        texts = utf8(batch.column(1))
         for lo, hi in batches_of(texts):
             yield lo, hi, Bytes(texts[lo:hi], length)
 
@@ -312,13 +308,15 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
             found = found if later is None else found.unionByName(later)
         else:
             shards = first
+        most = SHARD_BYTES
         dealt = shards.repartition("anchor").sortWithinPartitions("anchor", "id", "a")
 
         def sort_shards(batches):
             names, ids, starts, bodies, size = [], [], [], [], 0
             for b in batches:
+                kind_of = b.column(1).type
                 for name, i, a, body in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
-                    if size > SHARD_BYTES and name != names[-1]:
+                    if size > most and name != names[-1]:
                         yield ranges(sorted_shard(ids, starts, bodies, length), kind_of)
                         names, ids, starts, bodies, size = [], [], [], [], 0
                     names.append(name)
@@ -326,7 +324,6 @@ def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) ->
                     starts.append(a)
                     bodies.append(body)
                     size += len(body)
-                kind_of = b.column(1).type
             if bodies:
                 yield ranges(sorted_shard(ids, starts, bodies, length), kind_of)
 
@@ -350,13 +347,9 @@ def sorted_shard(ids: list, starts: list[int], bodies: list[bytes], length: int)
     begin = np.cumsum([0, *sizes[:-1].tolist()])
     owner = np.repeat(np.arange(len(bodies)), sizes)
     judged = np.arange(len(raw)) - begin[owner] <= sizes[owner] - 1 - length
-    order = suffix_array(raw)
+    order = suffix_array(raw, length)
     order = order[judged[order]]
-    same = common_prefixes(raw, order, length) >= length
-    group = np.cumsum(~same) - 1
-    # earliest place in each group: fragments are compared by (id, start)
-    rank = np.empty(len(bodies), np.int64)
-    rank[sorted(range(len(bodies)), key=lambda k: (ids[k], starts[k]))] = np.arange(len(bodies))
+    group = np.cumsum(~as_before(raw, order, length)) - 1
     # a string's own place within a document is its fragment's start plus its offset
     key = sorted({i for i in ids})
     number = {i: n for n, i in enumerate(key)}
@@ -395,8 +388,7 @@ def digests(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, gone, spans, sha = [], [], [], []
-        for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-            raw = _bytes(text)
+        for raw, ranges in zip(utf8(batch.column(1)), batch.column(2), strict=True):
             n.append(len(raw))
             if not ranges.is_valid:
                 gone.append(0)
@@ -425,7 +417,7 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
         texts = []
         for text, ranges in zip(batch.column(place).to_pylist(), batch.column(len(names)), strict=True):
             if ranges.is_valid:
-                raw = np.frombuffer(_bytes(text), np.uint8)
+                raw = np.frombuffer(text.encode(), np.uint8)
                 text = raw[kept_mask(len(raw), ranges, length)].tobytes().decode(errors="ignore")
             texts.append(text)
         out = [batch.column(i) for i in range(len(names))]

@@ -348,10 +348,13 @@ def test_suffix_array_and_spilling(monkeypatch):
             order = induced_sort.suffix_array(d)
             assert order.tolist() == sorted(range(len(d)), key=lambda i: d[i:])
             if len(d) > 1:
-                common = induced_sort.common_prefixes(np.frombuffer(d, np.uint8), order, 16)
-                for k in range(1, len(d)):
-                    a, b = d[order[k] :][:16], d[order[k - 1] :][:16]
-                    assert common[k] == next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+                for length in (1, 2, 9):
+                    raw, whole = np.frombuffer(d, np.uint8), order[order + length <= len(d)]
+                    want = [k > 0 and d[whole[k] :][:length] == d[whole[k - 1] :][:length] for k in range(len(whole))]
+                    if len(d) >= length:
+                        assert induced_sort.as_before(raw, whole, length).tolist() == want
+                    near = induced_sort.suffix_array(d, length)
+                    assert [d[i:][:length] for i in near] == [d[i:][:length] for i in order]
 
 
 # --- op6, op8 ---
@@ -498,6 +501,7 @@ def test_dedup_with_hot_keys(spark, monkeypatch, hot):
     from lodestrata.llm import common
 
     monkeypatch.setattr(common, "HOT_ROWS", hot)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 2000)  # several shards in a task
     rng = random.Random(11)
     line, block = words(rng, 40), words(rng, 200)
     rows = [(i, f"{words(rng, rng.randint(0, 20))} {line if i % 3 else block} {words(rng, rng.randint(0, 20))}") for i in range(90)]
