@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, minhash, packing, quality, secret_scan, substring_dedup, suffix_dedup, vectors
+from . import bpe, fill_middle, importance, language, minhash, packing, quality, secret_scan, substring_dedup, suffix_dedup, vectors
 from .common import table
 
 #: Public vocabulary used by the encoding and packing queries.
@@ -60,6 +60,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
@@ -71,7 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_ann": op9_ann,
     "op10_minhash": op10_minhash,
+    "op11_fill_middle": op11_fill_middle,
+    "op13_importance": op13_importance,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {"op1_secrets": secret_scan.duckdb_sql()}
+ORACLES: dict[str, str] = {"op1_secrets": secret_scan.duckdb_sql(), "op11_fill_middle": fill_middle.duckdb_sql(), "op13_importance": importance.duckdb_sql()}
