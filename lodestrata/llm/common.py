@@ -128,6 +128,22 @@ def _shuffles_dropped(spark: SparkSession):
         spark.conf.set(_CLEANUP, before)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, each led by underscores until no column has it (Spark does not tell case apart)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(names: list[str]) -> list[str]:
+    """Column names as Spark reads them whatever they hold."""
+    return ["`" + n.replace("`", "``") + "`" for n in names]
+
+
 def sha_hex(col) -> F.Column:
     return F.sha2(col, 256)
 

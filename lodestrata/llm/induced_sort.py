@@ -1,12 +1,13 @@
-"""External induced sorting of a shard's suffixes, in vectorised rounds.
+"""Induced sorting of a shard's suffixes, in vectorised rounds.
 
 The suffix array of a byte string is built as in induced sorting: suffixes are
-of type S or L; the leftmost S ones (LMS) are sorted first, by recursion on
-their names; then one sweep over rising first bytes induces the L suffixes and
-one over falling first bytes the S suffixes. The sweeps take their work from a
-disk-backed bucket priority queue: tuples wait under the byte they start with,
-in the order in which they came, and spill to a scratch file once more than
-``memory`` bytes wait. The queue's owner removes the file when the task ends.
+of type S or L; the leftmost S ones (LMS) are sorted first, their repeated names
+ordered by doubling, as deep as the length asked for; then one sweep over rising
+first bytes induces the L suffixes and one over falling first bytes the S
+suffixes. The sweeps take their work from a bucket priority queue: tuples wait
+under the byte they start with, in the order in which they came. A shard lies in
+memory; only tuples beyond ``memory`` bytes that wait go to a scratch file, which
+the queue's owner removes when the task ends.
 """
 
 from __future__ import annotations

@@ -9,12 +9,12 @@ centroid's own members show (distance-based rejection).
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 without any labelled text there are no centroids and every text is ``und``.
 Ties go to the alphabetically first language. Extra columns are ignored;
-repeated rows are predicted each on its own.
+repeated rows are predicted each on its own, and so are rows with a null id.
+Texts of any length are looked at whole; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -38,7 +38,6 @@ REJECT_QUANTILE = 0.01
 #: ...less this margin.
 REJECT_MARGIN = 0.1
 
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes that are no letters count as spaces.
 _SPACED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -51,6 +50,11 @@ class Model:
     floor: np.ndarray  # least similarity that is not rejected, by centroid
 
 
+def lettered(text: str) -> bool:
+    """Whether a letter of any script occurs (numerals such as one half or Roman eight are none)."""
+    return any(map(str.isalpha, text))
+
+
 def gram_counts(text: str) -> np.ndarray:
     """Hashed counts of the byte trigrams of the lower-cased text."""
     raw = np.frombuffer(b" " + text.lower().encode(errors="replace").translate(_SPACED) + b" ", np.uint8).astype(np.uint16)
@@ -109,7 +113,7 @@ def fit(
     def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, idx, cnt, lang = [], [], [], []
         for i, text, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            if _LETTER.search(text):
+            if lettered(text):
                 c = gram_counts(text)
                 at = np.flatnonzero(c)
                 keys.append(str(i))
@@ -155,7 +159,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         m = shared.value
         names, scores, rejected = [], [], []
         for text in batch.column(1).to_pylist():
-            if not text or not m.languages or not _LETTER.search(text):
+            if not text or not m.languages or not lettered(text):
                 names.append("und")
                 scores.append(0.0)
                 rejected.append(True)

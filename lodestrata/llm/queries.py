@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fill_middle, importance, language, minhash, packing, quality, secret_scan, substring_dedup, suffix_dedup, vectors
+from . import bpe, fill_middle, importance, language, minhash, packing, quality, secret_scan, substring_dedup, suffix_dedup, toxicity, vectors
 from .common import table
 
 #: Public vocabulary used by the encoding and packing queries.
@@ -64,6 +64,13 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, model).withColumn("held_out", held_out).select("doc_id", "held_out", "score", "predicted")
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -80,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ann": op9_ann,
     "op10_minhash": op10_minhash,
     "op11_fill_middle": op11_fill_middle,
+    "op12_toxicity": op12_toxicity,
     "op13_importance": op13_importance,
 }
 

@@ -15,8 +15,9 @@ and do not overlap within a kind; a match whose secret is too short is dropped
 says otherwise, and then for A-Z only.
 
 Defined results: a null text is the empty text (no spans). Repeated rows each
-give a row; extra columns are carried along (names used here start with
-``_ss_``, and ``spans`` is replaced).
+give a row; extra columns are carried along whatever their names, but for
+``spans``, which is replaced. Texts of any length are scanned whole; an empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, quoted
 
 try:
     import re._constants as sre
@@ -241,18 +242,20 @@ def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     """``docs`` with ``spans``: array<struct<start, rank, end, kind, base>>, by start, then rule order."""
     queries = {r.kind: trigram_query(r.regex) for r in rules}
     indexed = {k: q for k, q in queries.items() if frozenset() not in q}
-    columns = [c for c in docs.columns if c != "spans"]
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumn("_ss_k", F.xxhash64(F.col(id_col), F.col(text_col)))
+    columns = [c for c in docs.columns if c.lower() != "spans"]
+    own, raw_text = F.col(f"_ss_doc.{quoted([id_col])[0]}"), F.col(f"_ss_doc.{quoted([text_col])[0]}")
+    text = F.coalesce(raw_text, F.lit(""))
+    # all of the caller's columns in one, so that none clashes with a name used here
+    keyed = docs.select(F.struct(*quoted(docs.columns)).alias("_ss_doc")).withColumn("_ss_k", F.xxhash64(own, raw_text))
     none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
     if indexed:
         grams = sorted({g for q in indexed.values() for s in q for g in s})
-        keys = keyed.select(F.col(id_col).alias("_ss_i"), F.col("_ss_k").alias("_ss_h"), F.col(text_col).alias("_ss_t"))
+        keys = keyed.select(own.alias("_ss_i"), F.col("_ss_k").alias("_ss_h"), raw_text.alias("_ss_t"))
         index = postings(keys, ["_ss_i", "_ss_h"], "_ss_t", grams)
         picked = cut(candidates(index, ["_ss_i", "_ss_h"], indexed))
         if picked.count() <= BROADCAST_ROWS:
             picked = F.broadcast(picked)
-        keyed = keyed.join(picked, F.col(id_col).eqNullSafe(F.col("_ss_i")) & (F.col("_ss_k") == F.col("_ss_h")), "left")
+        keyed = keyed.join(picked, own.eqNullSafe(F.col("_ss_i")) & (F.col("_ss_k") == F.col("_ss_h")), "left")
     parts = []
     for rank, rule in enumerate(rules):
         if rule.kind in indexed:
@@ -262,7 +265,7 @@ def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
         raw = F.when(F.coalesce(todo, F.lit(False)), rule_spans(text, rule)).otherwise(none)
         keyed = keyed.withColumn(f"_ss_{rank}", raw)
         parts.append(labelled(F.col(f"_ss_{rank}"), rank, rule))
-    return keyed.select(*columns, F.array_sort(F.concat(*parts)).alias("spans"))
+    return keyed.select(*[F.col(f"_ss_doc.{c}") for c in quoted(columns)], F.array_sort(F.concat(*parts)).alias("spans"))
 
 
 def labelled(spans: Column, rank: int, rule: Rule) -> Column:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, cut, join_counted, map_texts
+from .common import Stored, cut, join_counted, map_texts, quoted, unused
 from .recompression import FieldHashes, anchors, cuts, interval_hashes, mixed, parse, prefix_hashes, word_hashes
 
 WINDOW = 13
@@ -231,14 +231,16 @@ class Cut:
         return b" ".join([text[a:z] for a, z in zip(start, end, strict=True)])
 
 
-def _with_repeats(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    found = repeats(docs, window, id_col, text_col).withColumnsRenamed({"id": "_sd_id", "chunks": "_sd_chunks", "windows": "_sd_windows"})
-    return docs.join(found, F.col(id_col) == F.col("_sd_id"), "left").drop("_sd_id")
+def _with_repeats(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with the lists of repeated chunks and windows, and the names of these two columns."""
+    key, *lists = unused(docs.columns, "_sd_id", "_sd_chunks", "_sd_windows")
+    found = repeats(docs, window, id_col, text_col).withColumnsRenamed({"id": key, "chunks": lists[0], "windows": lists[1]})
+    return docs.join(found, F.col(quoted([id_col])[0]) == F.col(key), "left").drop(key), lists
 
 
 def digests(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """n_words, n_removed and the digest of the kept words of every document."""
-    joined = _with_repeats(docs.select(id_col, text_col), window, id_col, text_col)
+    joined, lists = _with_repeats(docs.select(id_col, text_col), window, id_col, text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         c = Cut(utf8(batch.column(1)), batch.column(2), batch.column(3), window)
@@ -247,7 +249,7 @@ def digests(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(c.n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], ["id", "n_words", "n_removed", "kept_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(joined, [id_col, text_col, "_sd_chunks", "_sd_windows"], run, f"id {kind}, n_words long, n_removed long, kept_sha256 string", 256).withColumnRenamed("id", id_col)
+    return map_texts(joined, [id_col, text_col, *lists], run, f"id {kind}, n_words long, n_removed long, kept_sha256 string", 256).withColumnRenamed("id", id_col)
 
 
 def remove(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,7 +258,7 @@ def remove(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_c
     A text that loses words becomes its kept words joined by one space; any
     other text stays as it is, white space included.
     """
-    joined = _with_repeats(docs, window, id_col, text_col)
+    joined, lists = _with_repeats(docs, window, id_col, text_col)
     names = docs.columns
     place = names.index(text_col)
 
@@ -267,5 +269,4 @@ def remove(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_c
         out[place] = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays(out, names)
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    return map_texts(joined, [*names, "_sd_chunks", "_sd_windows"], run, schema, 256)
+    return map_texts(joined, quoted([*names, *lists]), run, docs.schema, 256)

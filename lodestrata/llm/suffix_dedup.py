@@ -15,10 +15,10 @@ strings are judged on the input.
    Consecutive strings with one anchor form a fragment; of equal fragments all
    but the earliest are repeated as a whole.
 3. Different fragments of an anchor meet in one shard. The shard's suffix array is
-   built by external induced sorting (:mod:`.induced_sort`), with disk-backed
-   queues; neighbours that begin with the same ``length`` bytes are
-   occurrences of the same string, of which only the earliest stays. A shard
-   larger than ``SHARD_BYTES`` is sorted in pieces of whole anchors. An anchor of
+   built in memory by induced sorting (:mod:`.induced_sort`); neighbours that
+   begin with the same ``length`` bytes are occurrences of the same string, of
+   which only the earliest stays. What exceeds memory is held by Spark's shuffles
+   and stored rows, not by the sort. A shard larger than ``SHARD_BYTES`` is sorted in pieces of whole anchors. An anchor of
    more than ``HOT`` fragments is split first: strings that hold it at the same
    few places share the bytes around it, and meet by these; those of more than
    ``HOT`` parts are split into single strings, which meet by their hashes. So
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, cut, join_counted, map_texts
+from .common import Stored, cut, join_counted, map_texts, quoted, unused
 from .induced_sort import as_before, suffix_array
 from .recompression import interval_hashes, mixed, prefix_hashes
 from .substring_dedup import among, utf8
@@ -119,7 +119,7 @@ class Bytes:
             return e, e, e, e.astype(_U)
         n = len(self.pieces)
         # the least piece of each string; the place in the low bits makes the leftmost of equals least
-        bits = _U(max(24, int(n).bit_length()))  # alike in all batches but those of one giant text
+        bits = _U(32)  # a text's bytes are fewer; alike for texts of any length
         low = (self.pieces >> bits << bits) | np.arange(n).astype(_U)
         width, span = 1, self.length - self.gram + 1
         least = low
@@ -199,9 +199,10 @@ def split(hot: DataFrame, length: int) -> tuple[DataFrame, DataFrame | None]:
         return parts.join(counts, "anchor", "left_semi").select("anchor", "id", "a", "body"), None
     full = F.broadcast(full) if n <= BROADCAST_KEYS else full
     cold = parts.join(full, "anchor", "left_anti").join(counts, "anchor", "left_semi").select("anchor", "id", "a", "body")
-    strings = _parts(parts.join(full, "anchor", "left_semi"), kind, length, 1, True).select("anchor", "id", "a")
-    earliest = strings.groupBy("anchor").agg(F.min(F.struct("id", "a")).alias("o"), F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor", "o")
-    later = strings.join(earliest, "anchor").where("id > o.id or a > o.a")
+    # one phrase in very many surroundings is one string of very many rows
+    strings = cut(_parts(parts.join(full, "anchor", "left_semi"), kind, length, 1, True).select("anchor", "id", "a"))
+    earliest = cut(strings.groupBy("anchor").agg(F.min(F.struct("id", "a")).alias("o"), F.count(F.lit(1)).alias("c")).where("c > 1"))
+    later = join_counted(strings, earliest, ["anchor"]).where("id > o.id or a > o.a")
     return cold, later.select("id", "a", (F.col("a") + 1).alias("z"))
 
 
@@ -377,14 +378,16 @@ def kept_mask(size: int, ranges: pa.Scalar, length: int) -> np.ndarray:
     return np.cumsum(step)[:size] == 0
 
 
-def _with_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
-    found = repeated_ranges(docs, length, id_col, text_col).withColumnsRenamed({"id": "_fd_id", "ranges": "_fd_ranges"})
-    return docs.join(found, F.col(id_col) == F.col("_fd_id"), "left").drop("_fd_id")
+def _with_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """``docs`` with the ranges of repeated strings, and the name of that column."""
+    key, ranges = unused(docs.columns, "_fd_id", "_fd_ranges")
+    found = repeated_ranges(docs, length, id_col, text_col).withColumnsRenamed({"id": key, "ranges": ranges})
+    return docs.join(found, F.col(quoted([id_col])[0]) == F.col(key), "left").drop(key), ranges
 
 
 def digests(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """n_bytes, n_removed, n_spans and the digest of the remaining bytes of every document."""
-    joined = _with_ranges(docs.select(id_col, text_col), length, id_col, text_col)
+    joined, column = _with_ranges(docs.select(id_col, text_col), length, id_col, text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, gone, spans, sha = [], [], [], []
@@ -404,12 +407,12 @@ def digests(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_
         )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(joined, [id_col, text_col, "_fd_ranges"], run, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string", 256).withColumnRenamed("id", id_col)
+    return map_texts(joined, [id_col, text_col, column], run, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string", 256).withColumnRenamed("id", id_col)
 
 
 def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated strings cut out; a cut inside a character drops the character's rest."""
-    joined = _with_ranges(docs, length, id_col, text_col)
+    joined, column = _with_ranges(docs, length, id_col, text_col)
     names = docs.columns
     place = names.index(text_col)
 
@@ -424,5 +427,4 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
         out[place] = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays(out, names)
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    return map_texts(joined, [*names, "_fd_ranges"], run, schema, 256)
+    return map_texts(joined, quoted([*names, column]), run, docs.schema, 256)

@@ -33,7 +33,8 @@ cosines) are zero, or whose dimension differs from the most frequent one's
 candidate of its own query. Ids are expected to be distinct; a repeated id is
 one row for each repetition, none a candidate of another. Extra columns are
 ignored; an empty table has no results. Scaled components of more than 63 bits,
-and products of more, count as the nearest 64-bit integer.
+and products of more, count as the nearest 64-bit integer. Vectors may have any
+number of dimensions.
 """
 
 from __future__ import annotations
@@ -52,6 +53,8 @@ BLOCK_ROWS = 8192
 QUERY_BYTES = 16 << 20
 #: Coordinates looked at by coordinate pruning.
 FOCUS = 16
+#: Coordinates of int8 values that are summed in float32 (127 x 127 x 1,024 < 2^24).
+WIDTH = 1024
 #: Integer components are multiplied as doubles below this bound on a product.
 EXACT = float(1 << 52)
 _LONG = (1 << 63) - 1
@@ -240,6 +243,14 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (b * a).sum(1) / (lengths_of(a[None, :]) * lengths_of(b))
 
 
+def int8_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact products of int8 rows: 1,024 coordinates sum to less than 2^24 in float32, and these sums are added as doubles."""
+    out = np.zeros((len(a), len(b)))
+    for lo in range(0, a.shape[1], WIDTH):
+        out += a[:, lo : lo + WIDTH].astype(np.float32) @ b[:, lo : lo + WIDTH].astype(np.float32).T
+    return out
+
+
 def _cosine_tile(k: int):
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -248,10 +259,8 @@ def _cosine_tile(k: int):
             x8, xs, xl = quantised(x)
             q8, qsc, ql = quantised(qs)
             ids = r["id"].to_numpy()
-            xf = x8.astype(np.float32).T  # products of int8 values, exact in float32 up to 2^24
             for lo in range(0, len(q), 256):
-                tile = q8[lo : lo + 256].astype(np.float32) @ xf
-                for j, approx in enumerate(tile.astype(np.float64), lo):
+                for j, approx in enumerate(int8_products(q8[lo : lo + 256], x8), lo):
                     own = int(q["id"].iat[j])
                     cos = approx * xs * qsc[j]
                     # |q.x - q'.x'| <= |q'||x - x'| + |x||q - q'|, with |q'| <= 1 + |q - q'|
