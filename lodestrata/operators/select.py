@@ -1,19 +1,23 @@
-"""Order-dependent selection of a playlist from a ranked, bounded pool."""
+"""Order-dependent selection of a playlist from a ranked pool of any size."""
 
 from __future__ import annotations
 
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import associated_artist_keys, base_version_title, primary_artist_key
+from .components import checkpointed, join_keyed
 from .filters import extended_version, has_platform_link, isrc_outside_window, unwanted_variant
+from .ordering import numbered
 from .score import bag
 
-#: Usual size of the pool that the sequential step walks.
+#: Usual size of the pool of a playlist.
 POOL = 150
+#: Pools of at most so many rows are walked in order by one task; larger ones are decided in rounds.
+WALK = 4096
 
 
 def preferred_versions(tracks: DataFrame, key: Column, preference: list[Column], pos: str = "rank") -> DataFrame:
@@ -24,19 +28,14 @@ def preferred_versions(tracks: DataFrame, key: Column, preference: list[Column],
     return keyed.join(best, "_vk", "left").withColumn("preferred", F.col("_vk").isNull() | (F.col(pos) == F.col("_best"))).drop("_vk", "_best")
 
 
-def greedy_caps(pool: DataFrame, max_primary: int, max_associated: int, pos: str = "rank") -> DataFrame:
-    """``pool`` with ``note``: null for rows that are kept, else why they are not.
-
-    Expects note (already vetoed), artist_key and associated_keys. Counts rise
-    only with kept rows, and each cap depends on the other's decisions, so
-    the bounded pool is walked in order in one task.
-    """
+def _walked(pool: DataFrame, max_primary: int, max_associated: int, pos: str) -> DataFrame:
+    """:func:`greedy_caps` of a bounded pool, in order, in one task."""
 
     def walk(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(pos, kind="stable").reset_index(drop=True)
         primary, associated, notes = Counter(), Counter(), []
         for note, artist, keys in zip(rows["note"], rows["artist_key"], rows["associated_keys"], strict=True):
-            keys = [] if keys is None else list(keys)
+            keys = [] if keys is None else list(dict.fromkeys(keys))
             if isinstance(note, str):
                 notes.append(note)
                 continue
@@ -44,7 +43,7 @@ def greedy_caps(pool: DataFrame, max_primary: int, max_associated: int, pos: str
                 notes.append(f"skipped_artist_cap_{max_primary}")
                 continue
             full = next((k for k in keys if associated[k] >= max_associated), None)
-            if full:
+            if full is not None:
                 notes.append(f"skipped_associated_artist_cap_{max_associated}:{full}")
                 continue
             primary[artist] += bool(artist)
@@ -55,6 +54,90 @@ def greedy_caps(pool: DataFrame, max_primary: int, max_associated: int, pos: str
     return pool.groupBy().applyInPandas(walk, pool.schema)
 
 
+def _claims(open_rows: DataFrame, max_primary: int, max_associated: int, pos: str) -> DataFrame:
+    """(pos, name, cap, place): what each open row takes a place of: its artist (place 0), then its associated keys in order."""
+    artist = F.when(F.coalesce("artist_key", F.lit("")) != "", F.struct(F.concat(F.lit("a:"), "artist_key").alias("name"), F.lit(max_primary).alias("cap"), F.lit(0).alias("place")))
+    keys = F.array_distinct(F.coalesce("associated_keys", F.expr("cast(array() as array<string>)")))
+    others = F.transform(keys, lambda k, i: F.struct(F.concat(F.lit("k:"), k).alias("name"), F.lit(max_associated).alias("cap"), (i + 1).alias("place")))
+    return open_rows.select(F.col(pos).alias("pos"), F.explode(F.concat(F.array_compact(F.array(artist)), others)).alias("c")).select("pos", "c.*")
+
+
+def _filled_at(claims: DataFrame, most: int, name: str) -> DataFrame:
+    """(name, ``name``): the place in the order at which the cap of each name is reached by these claims.
+
+    Spark keeps the first ``most`` (the greater cap) rows of a name in each task before it shuffles them.
+    """
+    order = Window.partitionBy("name").orderBy("pos")
+    firsts = claims.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most)
+    return firsts.where(F.col("_n") == F.col("cap")).select("name", F.col("pos").alias(name))
+
+
+def _finished(live: DataFrame) -> DataFrame:
+    """The claims of the rows that a walk over ``live`` keeps: few enough for one task."""
+
+    def walk(claims: pd.DataFrame) -> pd.DataFrame:
+        counts, kept = Counter(), []
+        for at, own in claims.sort_values("pos", kind="stable").groupby("pos", sort=True):
+            if all(counts[n] < c for n, c in zip(own["name"], own["cap"], strict=True)):
+                counts.update(own["name"])
+                kept.append(at)
+        return claims[claims["pos"].isin(kept)].assign(kept=True)
+
+    return live.groupBy().applyInPandas(walk, live.schema)
+
+
+def greedy_caps(pool: DataFrame, max_primary: int, max_associated: int, pos: str = "rank", walk: int = WALK) -> DataFrame:
+    """``pool`` with ``note``: null for rows that are kept, else why they are not.
+
+    Expects note (already vetoed), artist_key and associated_keys (each counts once
+    a row), and distinct values of ``pos``. In the order of ``pos`` a row is kept if
+    its artist has fewer than ``max_primary`` kept rows, and each of its associated
+    keys fewer than ``max_associated``; only kept rows count.
+
+    Pools of more than ``walk`` rows are decided in rounds, with the same result as a
+    walk; once no more than ``walk`` rows are kept or undecided, a walk over these
+    ends it, as dropped rows do not count. In a round a row is kept when each of its names still has room even if every
+    undecided row before it is kept, and dropped when the kept rows before it fill
+    one. The first undecided row is always decided, and so is the first of each group
+    of rows that share no name with others. Per name only the first few rows matter,
+    so a name that a third of all rows share is cut down before it is shuffled. Rows
+    that are dropped are told why at the end, from the places at which caps were reached.
+    """
+    if pool.limit(walk + 1).count() <= walk:
+        return _walked(pool, max_primary, max_associated, pos)
+    open_rows = pool.where("note is null")
+    claims = checkpointed(_claims(open_rows, max_primary, max_associated, pos))
+    total, most = claims.count(), max(max_primary, max_associated)
+    none = F.col("cap") < 1
+    barred = claims.where(none).select("pos").distinct()  # a cap of nothing
+    live = checkpointed(claims.join(barred, "pos", "left_anti").withColumn("kept", F.lit(False)))
+    while True:
+        undecided, rows = live.agg(F.count_if(~F.col("kept")), F.count_distinct("pos")).first()
+        if undecided and rows <= walk:
+            live = checkpointed(_finished(live))
+        if not undecided or rows <= walk:
+            break
+        tops = _filled_at(live, most, "top")  # the last place with room for all that may be kept
+        fulls = _filled_at(live.where("kept"), most, "full")
+        known = tops.join(fulls, "name", "left")
+        counts = live.groupBy("name").agg(F.count(F.lit(1)).alias("c"))
+        room = known.join(counts, "name")
+        waiting = live.where("not kept")
+        # a name below its cap has no row in ``room``: there is room for each of its rows
+        judged = join_keyed(waiting, room, "name", total).select("pos", (F.col("pos") <= F.col("top")).alias("fits"), F.coalesce(F.col("pos") > F.col("full"), F.lit(False)).alias("full"))
+        free = waiting.select("pos", F.lit(True).alias("fits"), F.lit(False).alias("full"))
+        verdict = judged.unionByName(free).groupBy("pos").agg(F.bool_and("fits").alias("fits"), F.bool_or("full").alias("full"))
+        decided = verdict.where("fits or full").select("pos", F.col("full").alias("_full"))
+        live = checkpointed(live.join(decided, "pos", "left").where(~F.coalesce("_full", F.lit(False))).withColumn("kept", F.col("kept") | F.col("_full").isNotNull()).drop("_full"))
+    fulls = _filled_at(live, most, "full").unionByName(claims.where(none).select("name").distinct().withColumn("full", F.lit(None).cast(live.schema["pos"].dataType)))
+    counts = claims.groupBy("name").agg(F.count(F.lit(1)).alias("c"))
+    late = join_keyed(claims, fulls.join(counts, "name"), "name", total).where(F.col("full").isNull() | (F.col("pos") > F.col("full")))
+    first = late.groupBy("pos").agg(F.min(F.struct("place", "name")).alias("_why")).select(F.col("pos").alias("_p"), "_why")
+    told = pool.join(first, F.col(pos) == F.col("_p"), "left").drop("_p")
+    why = F.when(F.col("_why.place") == 0, f"skipped_artist_cap_{max_primary}").otherwise(F.concat(F.lit(f"skipped_associated_artist_cap_{max_associated}:"), F.substr("_why.name", F.lit(3))))
+    return told.withColumn("note", F.when(F.col("note").isNull() & F.col("_why").isNotNull(), why).otherwise(F.col("note"))).select(*pool.columns)
+
+
 def curate(
     tracks: DataFrame,
     as_of: str,
@@ -68,8 +151,7 @@ def curate(
 ) -> DataFrame:
     """Tracks of the pool with ``note`` (null: kept) and ``playlist_rank`` (from 1, of the kept).
 
-    pool: only so many tracks are looked at (all, if none); the caps are walked in
-    one task, so callers hand over a bounded list. Vetoes in order: other version preferred, variant, old code, no link, artist
+    pool: only so many tracks are looked at (all, if none). Vetoes in order: other version preferred, variant, old code, no link, artist
     cap, associated-artist cap. The preferred version is chosen before the
     other vetoes, so its siblings stay dropped even if it is vetoed.
     """
@@ -94,8 +176,6 @@ def curate(
         .when(on(require_link) & ~link, "skipped_no_verified_platform_link")
     )
     slim = marked.select("rank", note.alias("note"), "artist_key", "associated_keys")
-    decided = greedy_caps(slim, max_per_artist, max_per_associated).select("rank", "note")
-    kept = decided.where("note is null").select(F.col("rank").alias("_r"))
-    numbers = kept.agg(F.array_sort(F.collect_list("_r")).alias("_all"))  # at most ``pool`` numbers
-    ranked = decided.join(F.broadcast(numbers), F.lit(True), "left").withColumn("playlist_rank", F.when(F.col("note").isNull(), F.array_position("_all", F.col("rank")))).drop("_all")
-    return bounded.join(ranked, "rank").orderBy("rank")
+    decided = checkpointed(greedy_caps(slim, max_per_artist, max_per_associated).select("rank", "note"))
+    places = numbered(decided.where("note is null").select("rank"), ["rank"], "playlist_rank")
+    return bounded.join(decided.join(places, "rank", "left"), "rank")

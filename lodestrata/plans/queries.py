@@ -563,4 +563,4 @@ def upload_playlist(spark, sf):
     return r.select("artist", F.col("track_or_project_title").alias("title"), "article_date", F.col("open_graph")["playlist_id"].alias("playlist_id"), F.col("open_graph")["playlist_track_count"].alias("tracks"))
 
 
-from . import source_queries, table_queries  # noqa: E402, F401  they register further queries
+from . import scale_queries, source_queries, table_queries  # noqa: E402, F401  they register further queries

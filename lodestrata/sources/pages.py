@@ -184,24 +184,32 @@ def crawled(cards: DataFrame, stop_without_new: bool = False) -> DataFrame:
     return cards.where(~F.col("old")).join(F.broadcast(last), F.col("page") <= F.col("last")).drop("last")
 
 
-@arrow_udf("string")
-def load_more_url(page: pd.Series, url: pd.Series, batch: pd.Series) -> pd.Series:
-    """Where a page's next batch comes from: a load-more control's target, else a listing's endpoint."""
+def control_of(text: str | None) -> tuple[str | None, dict[str, str]] | None:
+    """(target, query) of what a page's next batch comes from: a load-more control's target, else a listing's data."""
+    root = parse(text or "")
+    for n in root.walk():
+        if n.tag in ("a", "button") and "load more" in _plain(n.text()).lower():
+            for k in ("href", "data-href", "data-url", "data-endpoint", "data-next", "data-next-url"):
+                if n.attrs.get(k):
+                    return n.attrs[k], {}
+    for n in root.walk():
+        if {"ajax-load-more-wrap", "alm-listing"} & set(n.classes()):
+            return None, {k[5:].replace("-", "_"): v for k, v in n.attrs.items() if k.startswith("data-")}
+    return None
 
-    def one(text: str, base: str, number: int) -> str | None:
-        root = parse(text or "")
-        for n in root.walk():
-            if n.tag in ("a", "button") and "load more" in _plain(n.text()).lower():
-                for k in ("href", "data-href", "data-url", "data-endpoint", "data-next", "data-next-url"):
-                    if n.attrs.get(k):
-                        return urljoin(base, n.attrs[k])
-        for n in root.walk():
-            if {"ajax-load-more-wrap", "alm-listing"} & set(n.classes()):
-                query = {k[5:].replace("-", "_"): v for k, v in n.attrs.items() if k.startswith("data-")}
-                return urljoin(base, "/wp-json/ajaxloadmore/posts?" + urlencode({"page": str(number), "category": "music-releases"} | query))
+
+def next_address(control: tuple[str | None, dict[str, str]] | None, base: str, batch: int) -> str | None:
+    """The address of a batch: the control's target, or the listing's endpoint, as seen from ``base``."""
+    if control is None:
         return None
+    target, query = control
+    return urljoin(base, target if target is not None else "/wp-json/ajaxloadmore/posts?" + urlencode({"page": str(batch), "category": "music-releases"} | query))
+
 
-    return pd.Series([one(t, b, n) for t, b, n in zip(page, url, batch, strict=True)])
+@arrow_udf("string")
+def load_more_url(page: pd.Series, url: pd.Series, batch: pd.Series) -> pd.Series:
+    """Where a page's next batch comes from (see :func:`control_of`)."""
+    return pd.Series([next_address(control_of(t), b, n) for t, b, n in zip(page, url, batch, strict=True)])
 
 
 @arrow_udf("string")
