@@ -9,6 +9,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators.dedupe import best_first
 from .plans.pipeline import PipelineConfig, rank_inputs, today
 from .sources.sinks import write_json
 
@@ -40,9 +41,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or SparkSession.builder.appName("lodestrata").getOrCreate()
     config = PipelineConfig(as_of=args.as_of or today(), lookback_days=args.lookback_days)
     ranked, unique = rank_inputs(spark, args.input_dir, args.input, config)
-    write_json(published(ranked), args.output)
+    write_json(published(best_first(ranked)), args.output)
     if args.unique_output and not args.no_unique_output:
-        write_json(published(unique), args.unique_output)
+        write_json(published(best_first(unique)), args.unique_output)
 
 
 if __name__ == "__main__":

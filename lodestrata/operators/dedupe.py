@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import rank_or_last
 from ..functions.text import clean_id, first_filled, key_part, normalize_artist_name, normalize_text, normalize_title
-from .components import connected_components
+from .components import FINISH, checkpointed, connected_components, join_keyed
 from .score import bag, cross_source_factors
 
 # Prefixes of aliases, best first.
@@ -37,9 +37,9 @@ def prefix_rank(alias: Column) -> Column:
 
 def alias_edges(records: DataFrame, id_col: str, alias_col: str) -> DataFrame:
     """Star edges (a, b): each record and the first one under the same alias; linear in the aliases."""
-    pairs = records.select(F.col(id_col).alias("a"), F.explode(alias_col).alias("alias"))
-    hubs = pairs.groupBy("alias").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("alias", "b")
-    return pairs.join(hubs, "alias").where("a <> b").select("a", "b").distinct()
+    pairs = checkpointed(records.select(F.col(id_col).alias("a"), F.explode(alias_col).alias("alias")))
+    hubs = pairs.groupBy("alias").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    return join_keyed(pairs, hubs, "alias", pairs.count()).where("a <> b").select("a", "b").distinct()
 
 
 def group_records(records: DataFrame, id_col: str = "load_ordinal", alias_col: str = "aliases") -> DataFrame:
@@ -47,7 +47,7 @@ def group_records(records: DataFrame, id_col: str = "load_ordinal", alias_col: s
 
     The key is the group's alias with the best prefix, smallest of its kind.
     """
-    found = connected_components(alias_edges(records, id_col, alias_col)).withColumnRenamed("node", "_node")
+    found = connected_components(alias_edges(records, id_col, alias_col), finish=FINISH).withColumnRenamed("node", "_node")
     placed = records.join(found, F.col(id_col) == F.col("_node"), "left").withColumn("group_ordinal", F.coalesce("component", F.col(id_col))).drop("_node", "component")
     keys = (
         placed.select("group_ordinal", F.explode(alias_col).alias("alias"))
@@ -69,18 +69,26 @@ def duplicate_context(records: DataFrame, group: str = "group_ordinal", source:
 
 
 def rank_records(records: DataFrame, as_of: str) -> DataFrame:
-    """All records with ``rank_score`` and their group, best first (ties by group, then load order).
+    """All records with ``rank_score`` and their group; :func:`best_first` puts them in order.
 
-    Expects the release columns, ``load_ordinal`` and ``source_file``; an input
-    ``ranking_score`` is a signal of its own and stays as it is.
+    Expects the release columns, ``load_ordinal`` (distinct) and ``source_file``; an
+    input ``ranking_score`` is a signal of its own and stays as it is. Groups and
+    their context are found on stored slim rows; whole records are read once more
+    and joined once.
     """
     if "ranking_score" not in records.columns:
         records = records.withColumn("ranking_score", F.lit(None).cast("double"))
-    known = records.withColumn("aliases", aliases()).where(F.size("aliases") > 0)
-    grouped = group_records(known)
-    scored = grouped.join(duplicate_context(grouped), "group_ordinal").withColumn("cross_source_source_count", F.size("cross_source_sources"))
+    slim = checkpointed(records.select("load_ordinal", aliases().alias("aliases"), "source_name", "source_file").where(F.size("aliases") > 0))
+    grouped = checkpointed(group_records(slim))
+    placed = grouped.join(duplicate_context(grouped), "group_ordinal").drop("source_name", "source_file")
+    scored = records.join(placed, "load_ordinal").withColumn("cross_source_source_count", F.size("cross_source_sources"))
     factors = cross_source_factors(as_of, F.col("cross_source_duplicate_count"), F.col("cross_source_sources"))
-    return scored.withColumn("rank_factors", factors).withColumn("rank_score", F.col("rank_factors.score")).orderBy(F.desc("rank_score"), "group_ordinal", "load_ordinal")
+    return scored.withColumn("rank_factors", factors).withColumn("rank_score", F.col("rank_factors.score"))
+
+
+def best_first(ranked: DataFrame) -> DataFrame:
+    """Ranked records in their order (ties by group, then load order): for sinks, as the operators do not sort."""
+    return ranked.orderBy(F.desc("rank_score"), "group_ordinal", "load_ordinal")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -94,9 +102,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
 
 
 def unique_records(ranked: DataFrame) -> DataFrame:
-    """The best record of each group (the first of equals), best first."""
-    firsts = first_per_key(ranked, ["duplicate_group_key"], [-F.col("rank_score"), F.col("group_ordinal"), F.col("load_ordinal")])
-    return firsts.orderBy(F.desc("rank_score"), "group_ordinal", "load_ordinal")
+    """The best record of each group (the first of equals)."""
+    return first_per_key(ranked, ["duplicate_group_key"], [-F.col("rank_score"), F.col("group_ordinal"), F.col("load_ordinal")])
 
 
 def dedupe_releases(records: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from ..operators.dedupe import cache_key, dedupe_releases, distinct_top_k, merge
 from ..operators.extract import parse_articles
 from ..operators.filters import chosen, lookback, lower_bound
 from ..operators.match import cache_lookup, distrusted, resolve
+from ..operators.ordering import numbered
 from ..operators.select import curate
 from ..sources.pages import enrich
 from ..sources.records import input_files, release_arrays
@@ -102,11 +103,17 @@ def run_sources(spark: SparkSession, sources: list[Source], config: PipelineConf
 
 
 def union_sources(parts: list[tuple[str, DataFrame]]) -> DataFrame:
-    """All sources' rows by name, with ``source_file`` and a load order by source, then row."""
+    """All sources' rows by name, with ``source_file`` and a load order by source, then row.
+
+    A source without an order of its own (``load_ordinal``) is ordered by what its rows
+    hold, so that the order never depends on partitions.
+    """
     placed = []
     for n, (name, df) in enumerate(parts):
-        order = F.monotonically_increasing_id() if "load_ordinal" not in df.columns else F.col("load_ordinal")
-        placed.append(df.withColumns({"load_ordinal": F.lit(n) * F.lit(1 << 52) + order, "source_file": F.lit(name) if "source_file" not in df.columns else F.col("source_file")}))
+        if "load_ordinal" not in df.columns:
+            held = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+            df = numbered(df.withColumn("_held", F.sha2(held, 256)), ["_held"], "load_ordinal").drop("_held")
+        placed.append(df.withColumns({"load_ordinal": F.lit(n) * F.lit(1 << 52) + F.col("load_ordinal"), "source_file": F.lit(name) if "source_file" not in df.columns else F.col("source_file")}))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import extract
-from ..sources import charts, pages, playlists, profiles, records, sinks
+from ..sources import arrays, charts, pages, playlists, profiles, records, sinks
 from .pipeline import PipelineConfig, Source, run_sources
 from .queries import AS_OF, query, table
 
@@ -250,13 +250,25 @@ def target_lines(spark, sf):
     return records.targets_of(records.lines_of(rows)).select("ordinal", "url", F.col("limit").alias("lim"), "genre")
 
 
-@query("SELECT (row_number() OVER (ORDER BY n_nationkey) - 1)::INTEGER AS pos, n_name AS name, n_regionkey::BIGINT AS region FROM nation")
+@query("SELECT row_number() OVER (ORDER BY o_orderkey) AS n, o_custkey AS customer, o_orderpriority AS priority, row_number() OVER (ORDER BY o_orderkey) = 1 AS opens, row_number() OVER (ORDER BY o_orderkey DESC) = 1 AS closes FROM orders")
 def pretty_array(spark, sf):
-    """A table as one JSON array, and read back."""
-    n = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    whole = sinks.json_array(n, "n_nationkey", ("n_nationkey",))
-    items = whole.select(F.posexplode(F.from_json("value", "array<struct<n_name:string,n_regionkey:bigint>>")).alias("pos", "r"))
-    return items.select("pos", F.col("r.n_name").alias("name"), F.col("r.n_regionkey").alias("region"))
+    """Orders as one JSON array, line by line, and read back."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    lines = arrays.array_lines(o, ["o_orderkey"], ("o_orderkey",))
+    r = F.from_json(F.regexp_replace("value", r"^\[\n|,$|\n\]$", ""), "o_custkey bigint, o_orderpriority string")
+    return lines.select("n", r["o_custkey"].alias("customer"), r["o_orderpriority"].alias("priority"), F.startswith("value", F.lit("[\n")).alias("opens"), F.endswith("value", F.lit("\n]")).alias("closes"))
+
+
+@query("""SELECT p_partkey + 1 AS rank, p_name AS track_or_project_title, p_brand AS source, CASE WHEN p_size % 2 = 0 THEN 'https://open.spotify.com/track/t' || p_partkey END AS spotify_url, CASE WHEN p_size % 3 = 0 THEN 'late' ELSE '' END AS notes, p_type AS kind FROM part""")
+def resolved_tracks(spark, sf):
+    """Resolved tracks in their nested shape."""
+    s = X("cast(null as string)")
+    p = table(spark, sf, "part").select(
+        (F.col("p_partkey") + 1).alias("rank"), F.col("p_retailprice").alias("ranking_score"), F.lit("a").alias("artist"), F.col("p_name").alias("title"), F.array("p_brand").alias("source_names"), s.alias("spotify_uri"),
+        X("CASE WHEN p_size % 2 = 0 THEN concat('t', p_partkey) END").alias("spotify_id"), s.alias("soundcloud_url"), s.alias("soundcloud_track_id"), X("CASE WHEN p_size % 3 = 0 THEN array('late') ELSE array() END").alias("notes"), "p_type",
+    )
+    r = sinks.resolved_rows(p, F.struct("p_type"))
+    return r.select("rank", "track_or_project_title", F.element_at("source_names", 1).alias("source"), "spotify_url", F.array_join("notes", ",").alias("notes"), F.col("source_record.p_type").alias("kind"))
 
 
 @query("SELECT 'nations' AS name, true AS success, count(*)::BIGINT AS n FROM nation UNION ALL SELECT 'broken', false, 0 UNION ALL SELECT 'regions', true, count(*) FROM region")

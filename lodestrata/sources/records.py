@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.numbers import parse_int
 from ..functions.text import clean, clean_optional
 from ..functions.urls import catalogue_artist_id
+from ..operators.components import checkpointed
 from ..schema import RANKED_RELEASE
+from .arrays import array_elements
 
 
 def input_files(spark: SparkSession, folders: list[str], files: list[str], defaults: list[str]) -> list[str]:
@@ -59,29 +62,40 @@ def _array_items(spark: SparkSession, files: DataFrame, mode: str) -> DataFrame:
     return out
 
 
-def bad_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files that are not JSON."""
-    texts = spark.read.text(paths, wholetext=True)
-    return texts.where(F.try_parse_json("value").isNull()).select(F.col("_metadata.file_path").alias("source_file"))
-
-
 def release_arrays(spark: SparkSession, paths: list[str], mode: str = "DROP") -> DataFrame:
     """Releases of JSON array files, with ``source_file`` and ``load_ordinal``.
 
+    Files are read by byte ranges (:mod:`.arrays`), so one file may be of any size.
     Files that are no array and elements that are no object are skipped, and so
     are rows marked as no release. Malformed files are skipped (``DROP``) or
-    raise (``FAILFAST``). Ordinals follow the order of the paths, then of the array.
+    raise (``FAILFAST``, which reads files that are no array whole, to see whether they
+    are JSON). Ordinals follow the order of the paths, then of the array.
     """
     if not paths:
         return spark.createDataFrame([], RANKED_RELEASE).withColumns({"source_file": F.lit(None).cast("string"), "load_ordinal": F.lit(None).cast("long")})
-    texts = spark.read.text(list(dict.fromkeys(paths)), wholetext=True).select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("source_file"))
-    placed = texts.withColumn("_path", _plain_path(F.col("source_file"))).join(F.broadcast(_numbered(spark, paths)), "_path")
-    return releases_of(spark, placed, mode)
+    elements, files = array_elements(spark, list(dict.fromkeys(paths)))
+    parsed = elements.withColumn("v", F.try_parse_json("body"))
+    broken = parsed.where("v is null").select("path").distinct().withColumn("_broken", F.lit(True))
+    sound = checkpointed(files.join(broken, "path", "left").select("path", "array", (F.col("sound") & F.col("_broken").isNull()).alias("sound")))  # a row for each file
+    if mode == "FAILFAST":
+        bad = sound.where("array and not sound").select("path")
+        if others := [unquote(r["path"]) for r in sound.where("not array").collect()]:
+            whole = spark.read.text(others, wholetext=True)
+            bad = bad.unionByName(whole.where(F.try_parse_json("value").isNull()).select(F.col("_metadata.file_path").alias("path")))
+        if found := [r["path"] for r in bad.limit(3).collect()]:
+            raise ValueError(f"malformed JSON: {', '.join(found)}")
+    held = parsed.join(F.broadcast(sound.where("array and sound").select("path")), "path").where("schema_of_variant(v) like 'OBJECT%'")
+    placed = held.withColumn("_path", _plain_path(F.col("path"))).join(F.broadcast(_numbered(spark, paths)), "_path")
+    return _released(placed.select(F.col("path").alias("source_file"), "file_no", "pos", "v"))
 
 
 def releases_of(spark: SparkSession, files: DataFrame, mode: str = "DROP") -> DataFrame:
     """Releases of the JSON arrays in (body, source_file, file_no), as :func:`release_arrays`."""
-    items = _array_items(spark, files, mode)
+    return _released(_array_items(spark, files, mode))
+
+
+def _released(items: DataFrame) -> DataFrame:
+    """Release rows of array elements (source_file, file_no, pos, v)."""
     got = [F.expr(f"try_variant_get(v, '$.{f.name}', '{f.dataType.simpleString()}')").alias(f.name) for f in RANKED_RELEASE.fields if f.name != "ranking_factors"]
     factors = F.expr("cast(to_json(try_variant_get(v, '$.ranking_factors', 'variant')) as string)").alias("ranking_factors")
     ordinal = (F.col("file_no").cast("long") * F.lit(1 << 40) + F.col("pos")).alias("load_ordinal")

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from .arrays import write_array
+
 # Columns of the release CSV.
 CSV_COLUMNS = (
     "artist", "track_or_project_title", "release_type", "confidence_score", "extraction_method", "source_article_title", "source_article_url", "source_name", "article_date", "embedded_music_links",
     "release_article",
 )
 BAR = " | "
+# Fields of a resolved track.
+RESOLVED_COLUMNS = (
+    "rank", "ranking_score", "artist", "track_or_project_title", "source_names", "spotify_url", "spotify_uri", "spotify_id", "soundcloud_url", "soundcloud_track_id", "notes", "source_record",
+)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -20,16 +26,22 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def json_array(df: DataFrame, order: str, drop: tuple[str, ...] = ()) -> DataFrame:
-    """One row: the rows as one pretty JSON array in order. For small results that have to be one file."""
-    columns = [c for c in df.columns if c not in drop]
-    body = F.to_json(F.struct(*columns), {"pretty": "true", "ignoreNullFields": "false"})
-    items = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), body.alias("j")))), lambda x: x["j"])
-    return df.agg(F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit("\n]")).alias("value"))
+def write_json_array(df: DataFrame, path: str, order: list[str], drop: tuple[str, ...] = ()) -> None:
+    """One pretty JSON array, in files that follow one another by name (:mod:`.arrays`)."""
+    write_array(df, path, order, drop)
+
+
+def resolved_rows(tracks: DataFrame, source_record: Column) -> DataFrame:
+    """Resolved tracks in the shape in which they are written: links, notes, and the record they come from."""
+    named = tracks.withColumnRenamed("title", "track_or_project_title").withColumn("source_record", source_record)
+    address = F.when(F.coalesce("spotify_id", F.lit("")) != "", F.concat(F.lit("https://open.spotify.com/track/"), "spotify_id"))
+    if "spotify_url" not in tracks.columns:
+        named = named.withColumn("spotify_url", address)
+    return named.select(*RESOLVED_COLUMNS)
 
 
-def write_json_array(df: DataFrame, path: str, order: str, drop: tuple[str, ...] = ()) -> None:
-    json_array(df, order, drop).write.mode("overwrite").text(path)  # the writer ends the line
+def write_resolved(tracks: DataFrame, source_record: Column, path: str) -> None:
+    write_array(resolved_rows(tracks, source_record), path, ["rank"])
 
 
 def csv_rows(df: DataFrame) -> DataFrame:
