@@ -271,6 +271,21 @@ def resolve_uploads(records: DataFrame, found: DataFrame, looked_up: DataFrame |
     return out.unionByName(best_upload_match(missed, others, as_of, days).select(*picked))
 
 
+def breaker(asked: DataFrame, refusals: DataFrame, pos: str = "rank", key: str = "interface", id_col: str = "query_id") -> DataFrame:
+    """``asked`` with ``breaker``: rate_limited for the first call of each interface that was refused, deferred for all after it, else null.
+
+    asked: the calls that are made (``id_col``, ``pos``, ``key``); a recorded refusal of
+    a call that is not made does not count. The first refusal is a minimum by
+    interface, reduced in the tasks; no order of all calls is needed.
+    """
+    refused = refusals.select(F.col(id_col).alias("_id"), F.col(key).alias("_key")).distinct()
+    hit = asked.join(refused, (F.col(id_col) == F.col("_id")) & (F.col(key) == F.col("_key")), "left_semi")
+    first = hit.groupBy(F.col(key).alias("_key")).agg(F.min(pos).alias("_first"))  # a row for each interface
+    known = asked.join(first, F.col(key) == F.col("_key"), "left")
+    state = F.when(F.col(pos) == F.col("_first"), "rate_limited").when(F.col(pos) > F.col("_first"), "deferred")
+    return known.withColumn("breaker", state).drop("_key", "_first")
+
+
 def resolve(
     records: DataFrame,
     catalogue: DataFrame,
@@ -282,6 +297,7 @@ def resolve(
     upload_addresses: DataFrame | None = None,
     users: DataFrame | None = None,
     user_tracks: DataFrame | None = None,
+    refusals: DataFrame | None = None,
 ) -> DataFrame:
     """Links of ranked records: cached ones, else direct ones, else the best matches.
 
@@ -289,16 +305,25 @@ def resolve(
     embedded_music_links, spotify_id, spotify_uri, soundcloud_track_id,
     soundcloud_url (what the cache gave), perhaps notes, and more. limited_from:
     the rank at which the catalogue began to refuse; from there on catalogue
-    links are deferred, with a note. The other tables are recorded lookups.
+    links are deferred, with a note. refusals (query_id): the calls that the catalogue
+    refused, from which that rank is found (see :func:`breaker`). The other tables are
+    recorded lookups.
     """
-    limited = F.lit(False) if limited_from is None else F.col("rank") >= limited_from
+    if refusals is not None:
+        calls = records.where(F.coalesce("spotify_uri", "spotify_id", F.lit("")) == "").select("query_id", "rank", F.lit("catalogue").alias("interface"))
+        states = breaker(calls, refusals.select("query_id", F.lit("catalogue").alias("interface"))).where("breaker is not null").select("query_id", "breaker")
+        records = records.join(states, "query_id", "left")
+        limited, first = F.col("breaker").isNotNull(), F.col("breaker") == "rate_limited"
+    else:
+        limited = F.lit(False) if limited_from is None else F.col("rank") >= limited_from
+        first = F.col("rank") == (limited_from or -1)
     open_c = records.where(F.coalesce("spotify_id", F.lit("")) == "").where(~limited)
     open_u = records.where(F.coalesce("soundcloud_track_id", F.lit("")) == "")
     by_catalogue = resolve_catalogue(open_c, catalogue, catalogue_tracks, as_of, days)
     by_upload = resolve_uploads(open_u, uploads, upload_addresses, users, user_tracks, as_of, days)
     out = records.join(by_catalogue, "query_id", "left").join(by_upload, "query_id", "left")
     refused = limited & (F.coalesce("spotify_id", F.lit("")) == "")
-    note = F.when(refused, F.when(F.col("rank") == (limited_from or -1), "spotify_resolution_rate_limited").otherwise("spotify_resolution_deferred"))
+    note = F.when(refused, F.when(first, "spotify_resolution_rate_limited").otherwise("spotify_resolution_deferred"))
     before = F.col("notes") if "notes" in records.columns else F.expr(_EMPTY)
     cached = lambda c: F.nullif(c, F.lit(""))
     return out.withColumns(
@@ -309,7 +334,7 @@ def resolve(
             "soundcloud_url": F.coalesce(cached("soundcloud_url"), "_uu"),
             "notes": F.concat(before, F.array_compact(F.array(note))),
         }
-    ).drop("_c", "_u", "_uu")
+    ).drop("_c", "_u", "_uu", "breaker")
 
 
 def backlog(resolved: DataFrame, logged_at: str) -> DataFrame:

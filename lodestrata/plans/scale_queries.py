@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import match, search, select
-from ..sources import crawl
+from ..operators.components import checkpointed
+from ..sources import cache, crawl, delivery
+from .pipeline import PipelineConfig, Source, run_isolated
 from .queries import _NORM, AS_OF, query, table
 
 X = F.expr
@@ -152,3 +156,82 @@ def crawl_numbered(spark, sf):
     recorded = p.select(F.when(F.col("n") == 1, base).otherwise(F.concat(base, F.lit("page/"), "n", F.lit("/"))).alias("url"), page.alias("html"))
     seeds = p.select(F.concat("p_brand", "p_type").alias("crawl"), base.alias("url")).distinct()
     return crawl.crawl(recorded, seeds, "C", "house", "2026-03-05", 9)[0].select("crawl", "n", "url", "title")
+
+
+# --- refusals, cache, delivery, isolation ---------------------------------------------------------------
+
+_FIRST = "(SELECT event_type AS t, min(event_id) AS first FROM events WHERE value >= 3 AND value < 5 AND user_id % 3 = 0 GROUP BY 1)"
+
+
+@query(f"SELECT event_id, CASE WHEN event_id = first THEN 'rate_limited' WHEN event_id > first THEN 'deferred' END AS state FROM events LEFT JOIN {_FIRST} ON t = event_type WHERE value >= 3")
+def breaker_calls(spark, sf):
+    """Events as calls of the interface that is their type: refused where cheap, not made where cheaper."""
+    e = table(spark, sf, "events").select(F.col("event_id").alias("query_id"), F.col("event_type").alias("interface"), "value", "user_id")
+    refusals = e.where("value < 5 and user_id % 3 = 0")
+    return match.breaker(e.where("value >= 3"), refusals, "query_id").select(F.col("query_id").alias("event_id"), F.col("breaker").alias("state"))
+
+
+@query("""WITH p AS (SELECT p_partkey + 1 AS rank, p_partkey % 10 = 0 AS cached, p_partkey % 97 = 41 OR p_partkey % 97 = 30 AS refused FROM part), f AS (SELECT min(rank) AS first FROM p WHERE refused AND NOT cached)
+  SELECT rank, CASE WHEN cached THEN 'c' || rank WHEN rank < first OR first IS NULL THEN 's' || rank END AS spotify_id, CASE WHEN cached OR rank < first OR first IS NULL THEN '' WHEN rank = first THEN 'spotify_resolution_rate_limited' ELSE 'spotify_resolution_deferred' END AS notes FROM p, f""")
+def refused_links(spark, sf):
+    """Links of every part where the catalogue refuses calls at several ranks."""
+    none = F.lit(None).cast("string")
+    p = table(spark, sf, "part").withColumn("rank", F.col("p_partkey") + 1)
+    rows = p.select(
+        F.col("rank").alias("query_id"), "rank", F.lit("An artist").alias("artist"), F.lit("A song").alias("title"), F.create_map(F.lit("x"), F.lit("y")).alias("open_graph"), F.lit("").alias("source_article_url"), X("cast(array() as array<string>)").alias("embedded_music_links"),
+        X("CASE WHEN p_partkey % 10 = 0 THEN concat('c', rank) END").alias("spotify_id"), none.alias("spotify_uri"), none.alias("soundcloud_track_id"), none.alias("soundcloud_url"),
+    )
+    found = p.select(
+        F.col("rank").alias("query_id"), F.lit(0).alias("pos"), F.concat(F.lit("s"), "rank").alias("id"), F.lit("A song").alias("name"), F.array(F.lit("An artist")).alias("artist_names"), F.lit(9).alias("popularity"), F.lit("2026-01-30").alias("release_date"),
+        F.lit("day").alias("release_date_precision"),
+    )
+    s, i = none, F.lit(None).cast("int")
+    uploads = p.limit(0).select(
+        F.col("rank").alias("query_id"), F.lit(0).alias("pos"), s.alias("id"), s.alias("permalink_url"), s.alias("title"), s.alias("publisher_artist"), s.alias("writer_composer"), s.alias("username"), s.alias("permalink"), i.alias("playback_count"),
+        i.alias("release_year"), i.alias("release_month"), i.alias("release_day"), s.alias("release_date"), s.alias("display_date"), s.alias("created_at"),
+    )
+    refusals = p.where("p_partkey % 97 in (30, 41)").select(F.col("rank").alias("query_id"))
+    out = match.resolve(rows, found, uploads, AS_OF, 7, refusals=refusals)
+    return out.select("rank", "spotify_id", F.array_join("notes", ",").alias("notes"))
+
+
+def _scratch(spark, name: str) -> str:
+    """A folder of this run's own under the shared checkpoint folder."""
+    checkpointed(spark.range(1))  # sets the folder where none is set
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT c_custkey AS cache_key, CASE WHEN n > 0 THEN 'orders' ELSE c_mktsegment END AS v, coalesce(n, 0)::BIGINT AS n FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_totalprice > 200000 GROUP BY 1) ON o_custkey = c_custkey")
+def cache_commits(spark, sf):
+    """Customers committed to a cache, then those with dear orders over them."""
+    path = _scratch(spark, "cache")
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("cache_key"), F.col("c_mktsegment").alias("v"), F.lit(0).cast("long").alias("n"))
+    cache.commit(c, path)
+    o = table(spark, sf, "orders").where("o_totalprice > 200000").groupBy(F.col("o_custkey").alias("cache_key")).agg(F.lit("orders").alias("v"), F.count(F.lit(1)).alias("n"))
+    cache.commit(o.join(c.select("cache_key"), "cache_key", "left_semi"), path)
+    return cache.read(spark, path, "cache_key bigint, v string, n bigint").select("cache_key", "v", "n")
+
+
+@query("""WITH f AS (SELECT o_orderpriority AS playlist, o_custkey::VARCHAR AS id, min(o_orderkey) AS pos FROM orders GROUP BY ALL), b AS (SELECT *, (row_number() OVER (PARTITION BY playlist ORDER BY pos, id) - 1) // 100 AS batch FROM f)
+  SELECT playlist, batch, count(*)::INTEGER AS ids, arg_min(id, pos) AS first, playlist NOT LIKE '1%' OR batch % 2 = 0 AS sent FROM b GROUP BY playlist, batch""")
+def delivered_batches(spark, sf):
+    """Customers by order priority as playlists, sent in batches of a hundred to a receiver that refuses some."""
+
+    def send(playlist: str, key: str, ids: list[str]) -> None:
+        if playlist.startswith("1") and int(ids[0]) >= 0 and odd.value[key]:
+            raise ValueError("refused")
+
+    payload = delivery.batches(table(spark, sf, "orders").withColumn("id", F.col("o_custkey").cast("string")), "o_orderpriority", "id", "o_orderkey", numeric=True)
+    payload = checkpointed(payload)
+    odd = spark.sparkContext.broadcast({r["key"]: r["batch"] % 2 == 1 for r in payload.where("playlist like '1%'").select("key", "batch").collect()})  # the receiver's own rule
+    out = delivery.deliver(payload, _scratch(spark, "ledger"), send, 1)
+    return out.select("playlist", "batch", F.size("ids").alias("ids"), F.element_at("ids", 1).alias("first"), F.col("ok").alias("sent"))
+
+
+@query("SELECT 'nations' AS name, true AS success, count(*) AS rows FROM nation UNION ALL SELECT 'fails', false, 0 UNION ALL SELECT 'orders', true, count(*) FROM orders")
+def isolated_runs(spark, sf):
+    """Sources that are run apart: one fails in a task."""
+    whole = lambda t: lambda s, c: table(s, sf, t)
+    fails = Source("fails", lambda s, c: table(s, sf, "orders").select(F.when(F.col("o_orderkey") >= 0, F.raise_error(F.lit("in a task"))).cast("string").alias("x")))
+    sources = [Source("nations", whole("nation")), fails, Source("orders", whole("orders"))]
+    return run_isolated(spark, sources, PipelineConfig(as_of=AS_OF), _scratch(spark, "sources"))[1].select("name", "success", "rows")

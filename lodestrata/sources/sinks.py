@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordering import numbered
 from .arrays import write_array
 
 # Columns of the release CSV.
@@ -97,16 +96,7 @@ def push_report(tracks: DataFrame, uri: str = "spotify_uri", upload: str = "soun
 
 
 def playlist_payload(tracks: DataFrame, id_col: str, pos: str, batch: int = 100, numeric: bool = False) -> DataFrame:
-    """(batch, pos, id): distinct ids in order of their first place, in batches.
-
-    The list is a playlist: it has been cut to a bounded length before.
-    """
+    """(batch, pos, id): distinct ids in order of their first place, in batches (:mod:`.delivery` sends them)."""
     rows = tracks.where(F.col(id_col).rlike(r"^\d+$") if numeric else F.coalesce(F.col(id_col), F.lit("")) != "")
     firsts = rows.groupBy(F.col(id_col).alias("id")).agg(F.min(pos).alias("pos"))
-    n = F.row_number().over(Window.orderBy("pos")) - 1
-    return firsts.select(F.floor(n / batch).alias("batch"), "pos", "id")
-
-
-def deliver(payload: DataFrame, send: Callable[[Iterator[Row]], None]) -> None:
-    """Hand the payload's rows to ``send``, partition by partition; writing outside is the caller's business."""
-    payload.foreachPartition(send)
+    return numbered(firsts, ["pos", "id"], "_n").select(F.floor((F.col("_n") - 1) / batch).alias("batch"), "pos", "id")
