@@ -42,11 +42,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def rows(spark: SparkSession, schema: str, *values: tuple) -> DataFrame:
-    """A literal table."""
-    return spark.createDataFrame(list(values), schema)
-
-
 def q(s: str | None) -> str:
     return "NULL" if s is None else "'" + s.replace("'", "''") + "'"
 
@@ -362,34 +357,6 @@ def keyword_signals(spark, sf):
     return docs.select("doc_id", found(classify.RELEASE_KEYWORDS_A).alias("include_signals"), found(classify.EXCLUDE_KEYWORDS_A).alias("exclude_signals"))
 
 
-#: Our own headlines with what the profile-A rules make of them.
-HEADLINES = (
-    ("Nova Reyes Drops New Single 'Glass Harbor'", True, 0.6, "Nova Reyes", "Glass Harbor"),
-    ("Kite Parade Unveils 'Slow Tide' EP: Listen", True, 0.85, "Kite Parade", "Slow Tide"),
-    ("Aldo Fenn - Paper Moons [Night Label]", False, 0.0, "Aldo Fenn", "Paper Moons"),
-    ("Marlow Festival Reveals Full Lineup", True, 0.4, None, None),
-    ("Watch Nova Reyes Play A Rooftop Set", False, 0.0, None, None),
-    ("Ten Fresh Picks For Your Weekend Playlist", False, 0.0, None, None),
-    ("Kite Parade Announces Next Single", False, 0.0, None, None),
-    ("Ida Brandt Remixes \"Copper Wire\"", False, 0.2, "Ida Brandt", "Copper Wire"),
-    ("Ida Brandt Shares Debut Album 'Fields Of Static'", True, 0.6, "Ida Brandt", "Fields Of Static"),
-    ("Interview: Ida Brandt On Her Studio", False, 0.0, None, None),
-)
-_HEADLINE_SQL = ", ".join(f"({q(t)}, {r}, {s}, {q(a)}, {q(x)})" for t, r, s, a, x in HEADLINES)
-
-
-@query(f"SELECT title, release_article::BOOLEAN AS release_article, confidence::DOUBLE AS confidence FROM (VALUES {_HEADLINE_SQL}) v(title, release_article, confidence, artist, track)")
-def classify_headlines(spark, sf):
-    c = classify.classify(F.col("title"))
-    return rows(spark, "title string", *[(h[0],) for h in HEADLINES]).select("title", c["release_article"].alias("release_article"), F.round(c["confidence_score"], 3).alias("confidence"))
-
-
-@query(f"SELECT title, artist, track FROM (VALUES {_HEADLINE_SQL}) v(title, release_article, confidence, artist, track)")
-def extract_titles(spark, sf):
-    t = extract.from_title(F.col("title"))
-    return rows(spark, "title string", *[(h[0],) for h in HEADLINES]).select("title", t["artist"].alias("artist"), t["title"].alias("track"))
-
-
 def _sql_any(column: str, patterns: tuple[str, ...]) -> str:
     """Whether one of the patterns occurs; a word edge is a neighbour that is no word character."""
     edges = [re.sub(r"\\b$", r"(?:[^\\p{L}\\p{N}_]|$)", re.sub(r"^\\b", r"(?:^|[^\\p{L}\\p{N}_])", p)).replace("'", "''") for p in patterns]
@@ -465,36 +432,6 @@ def url_parts(spark, sf):
     return table(spark, sf, "pages").select("page_id", urls.host(u).alias("host"), urls.path(u).alias("path"), urls.canonical(u).alias("canonical"), urls.query_value(u, "ref").alias("ref"), urls.category(u, "none").alias("category"))
 
 
-#: Registration codes and the years they stand for.
-CODES = (("GBEFR2309157", 2023), ("USRC12600001", 2026), ("QZABC8012345", 1980), ("short", None), ("XXABCZZ12345", None), (None, None))
-
-
-@query(f"SELECT code, year::INTEGER AS year, outside::BOOLEAN AS outside FROM (VALUES {', '.join(f'({q(c)}, {y or chr(78) + chr(85) + chr(76) + chr(76)}, {y is not None and y != 2026})' for c, y in CODES)}) v(code, year, outside)")
-def isrc_year(spark, sf):
-    c = F.col("code")
-    return rows(spark, "code string", *[(x[0],) for x in CODES]).select("code", filters.isrc_year(c).alias("year"), filters.isrc_outside_window(c, AS_OF, 7).alias("outside"))
-
-
-#: Dates as sources write them; null where the rules give none.
-WRITTEN = (
-    ("2026-04-30", "2026-04-30"),
-    ("2026/04/10 12:00:00 +0000", "2026-04-10"),
-    ("2026-04-10T23:30:00-05:00", "2026-04-10"),
-    ("2026-04-10T00:00:00Z", "2026-04-10"),
-    ("20260410", "2026-04-10"),
-    ("2026", None),
-    ("2026-04", None),
-    ("2026-02-30", None),
-    ("soon", None),
-    ("", None),
-)
-
-
-@query(f"SELECT written, parsed::DATE AS parsed FROM (VALUES {', '.join(f'({q(a)}, {q(b)})' for a, b in WRITTEN)}) v(written, parsed)")
-def date_parse_multi(spark, sf):
-    return rows(spark, "written string", *[(w[0],) for w in WRITTEN]).select("written", dates.parse_date(F.col("written")).alias("parsed"))
-
-
 @query("SELECT o_orderkey, o_orderdate::DATE AS plain, o_orderdate::DATE AS slashed, o_orderdate::DATE AS human FROM orders")
 def order_dates(spark, sf):
     """Order dates written in three ways and read back."""
@@ -511,54 +448,55 @@ def bounded_scores(spark, sf):
 
 # --- recorded payloads ---------------------------------------------------------------------------
 
-_SIDEBAR = "<body><h2>Top House Newcomer Tracks</h2><span>1</span><a href='/track/1/a'>Nova Reyes - Glass Harbor</a><a href='/label/9'>Night Label</a><span>2</span><a href='/track/2/b'>Aldo Fenn - Paper Moons</a><span>3</span><p>no track here</p><p>This chart counts plays</p><span>4</span><a href='/track/3/c'>Ida Brandt - Copper Wire</a></body>"
+_SIDEBAR = """concat('<body><h2>Top House Newcomer Tracks</h2><span>1</span><a href="/track/1/a">', p_brand, ' - ', p_name, ' ', p_partkey, '</a><a href="/label/9">', p_type, '</a><span>2</span><a href="/track/2/b">Second - Song ', p_partkey, '</a>',
+  CASE WHEN p_size % 2 = 0 THEN '<span>3</span><p>no track here</p>' ELSE '' END, '<p>This chart counts plays</p><span>4</span><a href="/track/3/c">Behind - The End</a></body>')"""
 
 
-@query("SELECT * FROM (VALUES (1, 'Nova Reyes', 'Glass Harbor', 'Night Label'), (2, 'Aldo Fenn', 'Paper Moons', NULL)) v(rank, artist, title, label)")
+@query("SELECT 1 AS rank, p_brand AS artist, p_name || ' ' || p_partkey AS title, p_type AS label FROM part UNION ALL SELECT 2, 'Second', 'Song ' || p_partkey, NULL FROM part")
 def chart_sidebar(spark, sf):
-    page = rows(spark, "url string, html string, genre string, fallback_chart int", ("u", _SIDEBAR, "House", None))
+    """Sidebar charts, one page for each part."""
+    page = table(spark, sf, "part").select(F.lit("u").alias("url"), F.expr(_SIDEBAR).alias("html"), F.lit("House").alias("genre"), F.lit(None).cast("int").alias("fallback_chart"))
     return charts.charted(page).select("rank", "artist", "title", "label")
 
 
-_ROWS = "<body><div class='bItm oItm'><span class='bRank'>7</span><a href='/track/7/x'>Ida Brandt - Copper Wire</a><span class='trackLabel'><a href='/label/3'>Field</a></span><div class='playC'><span>12</span></div></div><div class='bItm'>ad</div></body>"
+_ROWS = """concat('<body><div class="bItm oItm"><span class="bRank">', p_size, '</span><a href="/track/7/x">', p_brand, ' - ', p_name, ' ', p_partkey, '</a><span class="trackLabel"><a href="/label/3">', p_type, '</a></span><div class="playC"><span>', p_partkey % 50,
+  '</span></div></div><div class="bItm">ad</div></body>')"""
 
 
-@query("SELECT 7 AS rank, 'Ida Brandt' AS artist, 'Copper Wire' AS title, 'Field' AS label, 'daily_newcomer_rank:12' AS chart_metric")
+@query("SELECT p_size AS rank, p_brand AS artist, p_name || ' ' || p_partkey AS title, p_type AS label, 'daily_newcomer_rank:' || p_partkey % 50 AS chart_metric FROM part")
 def chart_fallback(spark, sf):
-    """A refused chart page is replaced by the fallback chart's rows."""
-    recorded = rows(spark, "url string, html string, genre string, fallback_chart int", ("u", "Please wait, you will be forwarded", "House", None), ("v", _ROWS, None, 0))
-    return charts.charted(recorded).select("rank", "artist", "title", "label", "chart_metric")
-
-
-_FEED = "<rss><channel><item><title>Nova Reyes Drops 'Glass Harbor'</title><link>https://www.edm.com/music-releases/nova-reyes?utm=1</link><pubDate>Fri, 24 Apr 2026 10:00:00 +0000</pubDate><category>Music Releases</category><description>&lt;p&gt;Out now&lt;/p&gt;</description></item><item><title>About this site</title><link>https://edm.com/about</link></item></channel></rss>"
-
-
-@query("SELECT 'Nova Reyes Drops ''Glass Harbor''' AS title, 'https://edm.com/music-releases/nova-reyes' AS url, '2026-04-24' AS publish_date, 'Out now' AS snippet, 'Music Releases' AS category")
-def rss_cards(spark, sf):
-    feeds = rows(spark, "xml string", (_FEED,), ("<rss><channel><item><title>broken",))
-    return pages.cards_from_feed(feeds, "A", "music-releases", "2026-04-20").select("title", "url", "publish_date", "snippet", "category")
+    """Refused chart pages, one for each part, are replaced by the fallback chart's rows."""
+    p = table(spark, sf, "part")
+    refused = p.select(F.lit("u").alias("url"), F.concat(F.lit("Please wait, you will be forwarded "), "p_name").alias("html"), F.lit("House").alias("genre"), F.lit(None).cast("int").alias("fallback_chart"))
+    other = p.select(F.lit("v").alias("url"), F.expr(_ROWS).alias("html"), F.lit(None).cast("string").alias("genre"), F.lit(0).alias("fallback_chart"))
+    return charts.charted(refused.unionByName(other)).select("rank", "artist", "title", "label", "chart_metric")
 
 
-_ITEM = '{"added_at":"2026-01-02","track":{"id":"t1","name":"Glass Harbor","type":"track","popularity":40,"artists":[{"id":"a1","name":"Nova Reyes"},{"id":"a2","name":"Aldo Fenn"}],"external_ids":{"isrc":"QZABC2600001"},"external_urls":{"spotify":"https://open.spotify.com/track/t1"},"album":{"id":"b1","name":"Harbor","album_type":"single","total_tracks":2,"release_date":"2026-01-30"}}}'
-_LOCAL = '{"track":{"id":"t2","name":"Demo","type":"track","is_local":true,"artists":[{"name":"Me"}]}}'
+_ITEM = """concat('[{"added_at":"2026-01-02","track":{"id":"t', p_partkey, '","name":"', p_name, '","type":"track","popularity":', p_size, ',"artists":[{"id":"a1","name":"', p_brand, '"},{"id":"a2","name":"Aldo Fenn"}],"external_ids":{"isrc":"QZABC2600001"},',
+  '"external_urls":{"spotify":"https://open.spotify.com/track/t', p_partkey, '"},"album":{"id":"b1","name":"Harbor","album_type":"single","total_tracks":2,"release_date":"2026-01-30"}}},{"track":{"id":"l","name":"Demo","type":"track","is_local":true,"artists":[{"name":"Me"}]}}]')"""
 
 
-@query("SELECT 'Nova Reyes' AS artist, 'Glass Harbor' AS track_or_project_title, 'single' AS release_type, 1.0::DOUBLE AS confidence_score, '2026-01-30' AS article_date, 'Nova Reyes, Aldo Fenn' AS all_artists, '40' AS popularity")
+@query("SELECT p_brand AS artist, p_name AS track_or_project_title, 'single' AS release_type, 1.0::DOUBLE AS confidence_score, '2026-01-30' AS article_date, p_brand || ', Aldo Fenn' AS all_artists, p_size::VARCHAR AS popularity FROM part WHERE p_partkey % 7 <> 0")
 def catalogue_playlist(spark, sf):
-    recorded = rows(spark, "ordinal int, p string, i string", (0, '{"id":"p1","name":"Picks"}', f"[{_ITEM},{_LOCAL}]"), (1, '{"id":"p2"}', '{"error":404}'))
-    held = recorded.select("ordinal", F.parse_json("p").alias("playlist"), F.parse_json("i").alias("items"))
-    r = playlists.catalogue_releases(playlists.catalogue_items(held))
+    """A catalogue playlist for each part; some answers are errors, and local tracks go."""
+    p = table(spark, sf, "part")
+    items = F.expr(f"CASE WHEN p_partkey % 7 = 0 THEN '{{\"error\":404}}' ELSE {_ITEM} END")
+    recorded = p.select(F.col("p_partkey").cast("int").alias("ordinal"), F.parse_json(F.expr("concat('{\"id\":\"p', p_partkey, '\",\"name\":\"Picks\"}')")).alias("playlist"), F.parse_json(items).alias("items"))
+    r = playlists.catalogue_releases(playlists.catalogue_items(recorded))
     return r.select("artist", "track_or_project_title", "release_type", F.round("confidence_score", 3).alias("confidence_score"), "article_date", F.col("open_graph")["all_artists"].alias("all_artists"), F.col("open_graph")["spotify_popularity"].alias("popularity"))
 
 
-_HYDRATION = '<script>window.__sc_hydration = [{"hydratable":"user","data":{"id":3}},{"hydratable":"playlist","data":{"id":9,"kind":"playlist","title":"Set","user":{"username":"dj"},"tracks":[{"id":1,"title":"Nova Reyes - Glass Harbor","permalink_url":"https://soundcloud.com/n/g","created_at":"2026/01/29 10:00:00 +0000"},{"id":2}]}}];</script>'
+_HYDRATION = """concat('<script>window.__sc_hydration = [{"hydratable":"user","data":{"id":3}},{"hydratable":"playlist","data":{"id":', p_partkey, ',"kind":"playlist","title":"Set","user":{"username":"dj"},"tracks":[{"id":', 2 * p_partkey + 1, ',"title":"', p_brand, ' - ', p_name,
+  '","permalink_url":"https://soundcloud.com/n/g', p_partkey, '","created_at":"2026/01/29 10:00:00 +0000"},{"id":', 2 * p_partkey + 2, '}]}}];</script>')"""
+_DETAIL = """concat('{"id":', 2 * p_partkey + 2, ',"title":"Copper ', p_partkey, '","permalink_url":"https://soundcloud.com/f/c', p_partkey, '","user":{"username":"', p_type, '"},"release_date":"2026-01-28"}')"""
 
 
-@query("SELECT * FROM (VALUES ('Nova Reyes', 'Glass Harbor', '2026-01-29', '9', '2'), ('Field', 'Copper Wire', '2026-01-28', '9', '2')) v(artist, title, article_date, playlist_id, tracks)")
+@query("""SELECT p_brand AS artist, p_name AS title, '2026-01-29' AS article_date, p_partkey::VARCHAR AS playlist_id, '2' AS tracks FROM part UNION ALL SELECT p_type, 'Copper ' || p_partkey, '2026-01-28', p_partkey::VARCHAR, '2' FROM part""")
 def upload_playlist(spark, sf):
-    """A playlist page with a stub that is completed from recorded details."""
-    page = rows(spark, "ordinal int, url string, html string", (0, "https://soundcloud.com/dj/sets/set", _HYDRATION))
-    full = rows(spark, "id long, t string", (2, '{"id":2,"title":"Copper Wire","permalink_url":"https://soundcloud.com/f/c","user":{"username":"Field"},"release_date":"2026-01-28"}')).select("id", F.parse_json("t").alias("track"))
+    """A playlist page for each part, with a stub that is completed from recorded details."""
+    p = table(spark, sf, "part")
+    page = p.select(F.col("p_partkey").cast("int").alias("ordinal"), F.concat(F.lit("https://soundcloud.com/dj/sets/set"), "p_partkey").alias("url"), F.expr(_HYDRATION).alias("html"))
+    full = p.select((2 * F.col("p_partkey") + 2).alias("id"), F.parse_json(F.expr(_DETAIL)).alias("track"))
     r = playlists.upload_releases(playlists.upload_tracks(playlists.pages_to_playlists(page), full))
     return r.select("artist", F.col("track_or_project_title").alias("title"), "article_date", F.col("open_graph")["playlist_id"].alias("playlist_id"), F.col("open_graph")["playlist_track_count"].alias("tracks"))
 
