@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..operators import match, search, select
 from ..operators.components import checkpointed
-from ..sources import cache, crawl, delivery
-from .pipeline import PipelineConfig, Source, run_isolated
-from .queries import _NORM, AS_OF, query, table
+from ..sources import cache, crawl, delivery, profiles
+from .pipeline import PipelineConfig, Source, extract_releases, rank, run_isolated
+from .queries import _NORM, _RECORDS, AS_OF, document_records, query, table
+from .source_queries import _LINE
 
 X = F.expr
 
@@ -235,3 +236,62 @@ def isolated_runs(spark, sf):
     fails = Source("fails", lambda s, c: table(s, sf, "orders").select(F.when(F.col("o_orderkey") >= 0, F.raise_error(F.lit("in a task"))).cast("string").alias("x")))
     sources = [Source("nations", whole("nation")), fails, Source("orders", whole("orders"))]
     return run_isolated(spark, sources, PipelineConfig(as_of=AS_OF), _scratch(spark, "sources"))[1].select("name", "success", "rows")
+
+
+# --- whole flows ------------------------------------------------------------------------------------------
+
+
+@query("""WITH a AS (SELECT p_partkey // 2 AS album, min(p_partkey) AS ordinal FROM part GROUP BY 1)
+  SELECT p_partkey AS ordinal, p_brand AS artist, 'Song ' || album AS title, make_date(2026, 1, (10 + album % 20)::INTEGER)::VARCHAR AS article_date, 'single' AS release_type FROM a JOIN part ON p_partkey = ordinal WHERE album % 20 >= 7""")
+def catalogue_scan(spark, sf):
+    """Recent catalogue tracks of profiles: an album that two profiles have counts for the first."""
+    p = table(spark, sf, "part")
+    people = p.select(
+        F.col("p_partkey").cast("long").alias("ordinal"), F.col("p_brand").alias("artist_name"), F.concat(F.lit("https://open.spotify.com/artist/a"), "p_partkey").alias("spotify_url"), F.lit("").alias("soundcloud_url"), F.lit("").alias("soundcloud_user_id"),
+        F.col("p_type").alias("genre"), F.col("p_size").cast("string").alias("rank"), F.lit("1000").alias("monthly_listeners"),
+    )
+    n = X("cast(floor(p_partkey / 2) as long)")
+    album = F.concat(F.lit('{"id":"al'), n, F.lit('","release_date":"2026-01-'), 10 + n % 20, F.lit('","release_date_precision":"day","album_type":"single","total_tracks":1}'))
+    albums = p.select(F.col("p_partkey").cast("long").alias("ordinal"), F.lit(0).alias("pos"), F.parse_json(album).alias("album"))
+    song = F.concat(F.lit('{"id":"t'), "n", F.lit('","name":"Song '), "n", F.lit('"}'))
+    songs = p.select(n.alias("n")).distinct().select(F.concat(F.lit("al"), "n").alias("album_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("pos"), F.parse_json(song).alias("track"))
+    out = profiles.catalogue_recent(people, albums, songs, "2026-01-31")
+    return out.select(F.col("order_key.ordinal").alias("ordinal"), "artist", F.col("track_or_project_title").alias("title"), "article_date", "release_type")
+
+
+@query(f"WITH RECURSIVE {_RECORDS}, best AS (SELECT doc_id, row_number() OVER (PARTITION BY g ORDER BY sc DESC, doc_id) AS n FROM ranked) SELECT doc_id, n = 1 AS is_unique FROM best WHERE doc_id % 40 <= 7")
+def ranked_window(spark, sf):
+    """All and unique sightings of the last week: the window is applied only after uniqueness was decided."""
+    every, unique = rank(document_records(spark, sf), PipelineConfig(as_of=AS_OF, lookback_days=7))
+    first = unique.select(F.col("load_ordinal").alias("doc_id"), F.lit(True).alias("is_unique"))
+    return every.select(F.col("load_ordinal").alias("doc_id")).join(first, "doc_id", "left").withColumn("is_unique", F.coalesce("is_unique", F.lit(False)))
+
+
+@query("""SELECT DISTINCT p_brand AS artist, p_name AS title, CASE p_partkey % 5 WHEN 0 THEN 'single' ELSE 'album' END AS kind FROM part WHERE p_partkey % 5 IN (0, 1)""")
+def extracted_releases(spark, sf):
+    """Cards of every part through the whole extraction: merged, classified, enriched, parsed, deduplicated."""
+    p = table(spark, sf, "part")
+    at = F.concat(F.lit("https://example.org/p/"), "p_partkey")
+    card = p.select(X(_LINE).alias("title"), at.alias("url"), F.lit("S").alias("source_name"), F.lit("c").alias("category"), F.lit("2026-01-30").alias("publish_date"), F.lit("").alias("snippet"), (2 * F.col("p_partkey")).alias("ordinal"))
+    empty = card.select(F.lit("").alias("title"), "url", "source_name", "category", F.lit(None).cast("string").alias("publish_date"), F.lit("later").alias("snippet"), (F.col("ordinal") + 1).alias("ordinal"))
+    pages = p.select(at.alias("url"), X("concat('<article><p>', p_type, '</p><a href=\"https://open.spotify.com/track/t', p_partkey, '\">x</a></article>')").alias("html"))
+    out = extract_releases(card.unionByName(empty), pages)
+    return out.select("artist", F.col("track_or_project_title").alias("title"), F.col("release_type").alias("kind"))
+
+
+@query("""WITH p AS (SELECT p_partkey, 'Artist ' || p_partkey % 300 AS name, p_partkey % 300 AS k, p_type FROM part), f AS (SELECT name, k, min(p_partkey) AS first, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS genres FROM p GROUP BY ALL)
+  SELECT name AS artist_name, genres, CASE WHEN k % 2 = 0 THEN 'https://open.spotify.com/artist/1234567890abcdef' || (1000 + k) ELSE 'https://open.spotify.com/artist/found' || k END AS spotify_url, CASE WHEN k % 3 = 0 THEN k::VARCHAR ELSE '' END AS user_id FROM f""")
+def merged_artists(spark, sf):
+    """Genre pages, one for each part, to one artist list, completed by a catalogue's and a user search."""
+    p = table(spark, sf, "part").withColumn("k", F.col("p_partkey") % 300)
+    name = F.concat(F.lit("Artist "), "k")
+    linked = X("concat('<a href=\"https://x.org/artists/n/1234567890abcdef', 1000 + k, '\">Artist ', k, '</a>')")
+    bare = X("""concat('<div wire:snapshot="', replace(concat('{"data": {"allArtists": [[[{"name": "Artist ', k, '"}, {}]]]}}'), '"', '&quot;'), '"></div>')""")
+    listing = p.select(F.col("p_partkey").alias("target"), F.col("p_type").alias("genre"), F.lit(5).alias("limit"), F.when(F.col("k") % 2 == 0, linked).otherwise(bare).alias("html"))
+    hits = p.select(name.alias("artist_name"), F.col("p_partkey").alias("pos"), F.concat(F.lit("https://open.spotify.com/artist/found"), "k").alias("url"))
+    users = p.where("k % 3 = 0").select(
+        name.alias("query_id"), F.col("p_partkey").alias("pos"), F.col("k").alias("id"), name.alias("username"), F.concat(F.lit("artist-"), "k").alias("permalink"), F.concat(F.lit("https://soundcloud.com/artist-"), "k").alias("permalink_url"),
+        F.lit(200_000).alias("followers_count"), F.lit(True).alias("verified"),
+    )
+    out = profiles.artist_list(listing, hits, users)
+    return out.select("artist_name", F.array_join(F.array_sort("genres"), "|").alias("genres"), "spotify_url", F.coalesce("soundcloud_user_id", F.lit("")).alias("user_id"))
