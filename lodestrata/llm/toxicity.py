@@ -272,6 +272,21 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     return cut(one.join(F.broadcast(chosen), "id"))
 
 
+def _repeated(got: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Units of each text and how much they count, without units of one text alone, which are most and decide nothing."""
+    rows = [np.frombuffer(u, np.int64) for u in got.column("units").to_pylist()]
+    names, n = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int64), return_counts=True)
+    often = names[n > 1]
+    units, values = [], []
+    for u, counts, size in zip(rows, got.column("counts").to_pylist(), got.column("n").to_pylist(), strict=True):
+        at = np.searchsorted(often, u)
+        kept = np.flatnonzero(at < len(often))
+        kept = kept[often[at[kept]] == u[kept]]
+        units.append(u[kept])
+        values.append(_strength(np.frombuffer(counts, np.uint32)[kept], size))
+    return units, values
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Lexicons, label model and classifier from the labelled texts; only their hashed units and votes reach the driver."""
     sample = _sample(docs, labels, id_col, text_col, label_col, sample_rows)
@@ -291,9 +306,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         )
 
     got = map_texts(sample, ["id", "text", "toxic"], described, "key string, units binary, counts binary, n long, toxic int").toArrow().sort_by("key")
-    units = [np.frombuffer(u, np.int64) for u in got.column("units").to_pylist()]
-    values = [_strength(np.frombuffer(c, np.uint32), n) for c, n in zip(got.column("counts").to_pylist(), got.column("n").to_pylist(), strict=True)]
     toxic = (got.column("toxic").to_numpy() > 0).astype(float)
+    units, values = _repeated(got)
+    del got
     if not toxic.any():
         return Model(-35.0, {})
     lexicons = mine(units, toxic)
