@@ -174,13 +174,14 @@ def crawled(cards: DataFrame, stop_without_new: bool = False) -> DataFrame:
 
     Pages are numbered from 1; a page that is not there counts as one without cards.
     """
-    fresh = cards.groupBy("url").agg(F.min("page").alias("first"))
-    per = cards.join(fresh, "url").groupBy("page").agg(F.max("old").alias("reached"), F.count_if(~F.col("old")).alias("n"), F.count_if(F.col("first") == F.col("page")).alias("new"))
-    numbered = per.select("page", "reached", (F.col("n") == 0).alias("empty"), (F.col("new") == 0).alias("stale"))
-    stop = F.when(F.col("reached"), F.col("page")).when(F.col("empty") | (F.lit(stop_without_new) & F.col("stale")), F.col("page") - 1)
-    pages = numbered.agg(F.min(stop).alias("stop"), F.max("page").alias("most"), F.array_sort(F.collect_list("page")).alias("all"))  # one entry per page of a crawl
-    gap = F.array_min(F.filter(F.transform("all", lambda p: p + 1), lambda p: ~F.array_contains("all", p))) - 1
-    last = pages.select(F.least(F.coalesce("stop", "most"), gap).alias("last"))
+    named = cards.where("url is not null and page is not null")
+    news = named.groupBy("url").agg(F.min("page").alias("page")).groupBy("page").agg(F.lit(True).alias("_new"))  # pages where a URL occurs first
+    per = named.groupBy("page").agg(F.max("old").alias("reached"), F.count_if(~F.col("old")).alias("n"))
+    following = per.select((F.col("page") - 1).alias("page"), F.lit(True).alias("_next"))
+    numbered = per.join(news, "page", "left").join(following, "page", "left")
+    stop = F.when(F.col("reached"), F.col("page")).when((F.col("n") == 0) | (F.lit(stop_without_new) & F.col("_new").isNull()), F.col("page") - 1)
+    gap = F.when(F.col("_next").isNull(), F.col("page"))  # a page without a next one
+    last = numbered.agg(F.least(F.coalesce(F.min(stop), F.max("page")), F.min(gap)).alias("last"))
     return cards.where(~F.col("old")).join(F.broadcast(last), F.col("page") <= F.col("last")).drop("last")
 
 
