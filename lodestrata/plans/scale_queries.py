@@ -218,14 +218,12 @@ def cache_commits(spark, sf):
 def delivered_batches(spark, sf):
     """Customers by order priority as playlists, sent in batches of a hundred to a receiver that refuses some."""
 
-    def send(playlist: str, key: str, ids: list[str]) -> None:
-        if playlist.startswith("1") and int(ids[0]) >= 0 and odd.value[key]:
+    def send(playlist: str, key: str, ids: list[str], batch: int) -> None:
+        if playlist.startswith("1") and int(ids[0]) >= 0 and batch % 2 == 1:  # the receiver's own rule
             raise ValueError("refused")
 
     payload = delivery.batches(table(spark, sf, "orders").withColumn("id", F.col("o_custkey").cast("string")), "o_orderpriority", "id", "o_orderkey", numeric=True)
-    payload = checkpointed(payload)
-    odd = spark.sparkContext.broadcast({r["key"]: r["batch"] % 2 == 1 for r in payload.where("playlist like '1%'").select("key", "batch").collect()})  # the receiver's own rule
-    out = delivery.deliver(payload, _scratch(spark, "ledger"), send, 1)
+    out = delivery.deliver(payload, _scratch(spark, "ledger"), send, 1, with_batch=True)
     return out.select("playlist", "batch", F.size("ids").alias("ids"), F.element_at("ids", 1).alias("first"), F.col("ok").alias("sent"))
 
 

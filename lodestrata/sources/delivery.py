@@ -15,7 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.components import checkpointed
+from ..operators.components import checkpointed, join_keyed
+from ..operators.ordering import numbered
 
 #: Ids in a batch.
 BATCH = 100
@@ -26,13 +27,15 @@ def batches(tracks: DataFrame, playlist: str, id_col: str, pos: str, size: int =
     """(playlist, batch, key, ids): the distinct ids of each playlist, at their first place, in batches.
 
     numeric: ids that are no numbers are left out; empty ones always are. Ids are
-    numbered by playlist; the rows of one playlist meet, as one list has to be ordered.
+    numbered in one order of all playlists' ids, so that no more than a batch ever meets.
     """
     rows = tracks.where(F.col(id_col).rlike(r"^\d+$") if numeric else F.coalesce(F.col(id_col), F.lit("")) != "")
     firsts = rows.groupBy(F.col(playlist).alias("playlist"), F.col(id_col).alias("id")).agg(F.min(pos).alias("pos"))
-    listed = firsts.groupBy("playlist").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("l"))
-    ids = F.transform("l", lambda x: x["id"])
-    cut = listed.select("playlist", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.size("l") - 1) / size)), lambda b: F.slice(ids, (b * size + 1).cast("int"), size))).alias("batch", "ids"))
+    ids = numbered(firsts, ["playlist", "pos", "id"], "_n").withColumn("_key", F.coalesce(F.concat(F.lit("p"), F.col("playlist").cast("string")), F.lit("")))  # null is a playlist, too
+    starts = ids.groupBy("_key").agg(F.min("_n").alias("_first"), F.count(F.lit(1)).alias("c"))
+    placed = join_keyed(ids, starts, "_key", ids.count()).withColumn("batch", F.floor((F.col("_n") - F.col("_first")) / size))
+    cut = placed.groupBy("playlist", "batch").agg(F.array_sort(F.collect_list(F.struct("_n", "id"))).alias("l"))  # at most ``size``
+    cut = cut.select("playlist", "batch", F.transform("l", lambda x: x["id"]).alias("ids"))
     key = F.sha2(F.concat_ws("\n", F.col("playlist").cast("string"), F.col("batch").cast("string"), F.array_join("ids", "\n")), 256)
     return cut.select(F.col("playlist").cast("string").alias("playlist"), F.col("batch").cast("long").alias("batch"), key.alias("key"), "ids")
 
@@ -45,11 +48,11 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(path)
 
 
-def deliver(payload: DataFrame, path: str, send: Callable[[str, str, list[str]], None], run: int) -> DataFrame:
+def deliver(payload: DataFrame, path: str, send: Callable[..., None], run: int, with_batch: bool = False) -> DataFrame:
     """Send the batches that the ledger at ``path`` does not acknowledge; returns this run's outcomes.
 
-    send(playlist, key, ids) raises if the batch was not taken. An error is an outcome,
-    not a failure of the run.
+    send(playlist, key, ids) raises if the batch was not taken; with_batch: it is also
+    given the batch's number. An error is an outcome, not a failure of the run.
     """
     spark = payload.sparkSession
     done = ledger(spark, path).where("ok").select("key").distinct()
@@ -60,7 +63,7 @@ def deliver(payload: DataFrame, path: str, send: Callable[[str, str, list[str]],
             rows = []
             for playlist, batch, key, ids in part.itertuples(index=False):
                 try:
-                    send(playlist, key, list(ids))
+                    send(playlist, key, list(ids), *((int(batch),) if with_batch else ()))
                     rows.append((playlist, batch, key, list(ids), True, None, run))
                 except Exception as e:  # noqa: BLE001  the sender's own
                     rows.append((playlist, batch, key, list(ids), False, str(e)[:500], run))

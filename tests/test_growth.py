@@ -28,3 +28,13 @@ def test_crawled_finds_the_gap_without_a_list_of_all_pages(spark):
     assert time.time() - began < 20  # a list of all pages, looked through for each, took minutes
     repeated = cards.where("page < 9").withColumn("url", F.when(F.col("page") == 5, "u4").otherwise(F.col("url")))
     assert sorted(r.page for r in pages.crawled(repeated, True).collect()) == [1, 2, 3, 4]
+
+
+def test_batches_of_one_long_playlist(spark):
+    n = 60_000
+    tracks = spark.range(n).select(F.when(F.col("id") % 1000 > 0, "p").alias("playlist"), (n - F.col("id")).cast("string").alias("id"), F.col("id").alias("pos"))
+    began = time.time()
+    got = {(r.playlist, r.batch): r.ids for r in delivery.batches(tracks, "playlist", "id", "pos", numeric=True).collect()}
+    assert time.time() - began < 12  # cutting each batch out of the whole list grew with its square
+    every = [i for i in range(n) if i % 1000]
+    assert len(got) == 601 and got["p", 599] == [str(n - i) for i in every[59_900:]] and got[None, 0] == [str(n - i) for i in range(0, n, 1000)]
