@@ -71,6 +71,11 @@ html_links = _udf("array<string>", _hrefs)
 json_ld = _udf("array<string>", lambda root: [n.text() for n in root.walk() if n.tag == "script" and n.attrs.get("type") == "application/ld+json"])
 
 
+def terminated_references(html: Column) -> Column:
+    """``html`` for a reader to whom only references that end in a semicolon are references: the ``&`` of any other is written out."""
+    return F.regexp_replace(html, r"&(?!#?[A-Za-z0-9]+;)", "&amp;")
+
+
 @arrow_udf("array<string>")
 def absolute(base: pd.Series, links: pd.Series) -> pd.Series:
     """Links made absolute against their page."""

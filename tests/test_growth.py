@@ -38,3 +38,9 @@ def test_batches_of_one_long_playlist(spark):
     assert time.time() - began < 12  # cutting each batch out of the whole list grew with its square
     every = [i for i in range(n) if i % 1000]
     assert len(got) == 601 and got["p", 599] == [str(n - i) for i in every[59_900:]] and got[None, 0] == [str(n - i) for i in range(0, n, 1000)]
+
+
+def test_html_title_with_an_unfinished_reference(spark, tmp_path):
+    p = spark.createDataFrame([(1, "x", "<h1>a &amp;&amp</h1>"), (2, "x", "<h1>b &lt;c&gt; &amp;amp; d</h1><p>e</p>"), (3, "x", "<h1> f & g&quot; </h1>")], "page_id long, url string, html string")
+    got, want = against_sql(spark, tmp_path, "html_title", pages=p)
+    assert got == want and got[0] == (1, "a &&amp")
