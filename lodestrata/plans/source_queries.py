@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import extract
+from ..operators.components import spread
 from ..sources import arrays, charts, pages, playlists, profiles, records, sinks
 from .pipeline import PipelineConfig, Source, run_sources
 from .queries import AS_OF, query, table
@@ -25,19 +26,19 @@ _HTML = """concat('<!DOCTYPE html><html><head><title>t</title><meta property="og
 
 
 def part_pages(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", F.concat(F.lit("https://example.org/p/"), "p_partkey").alias("url"), X(_HTML).alias("html"))
+    return spread(table(spark, sf, "part"), "p_partkey").select("p_partkey", "p_name", "p_brand", "p_type", F.concat(F.lit("https://example.org/p/"), "p_partkey").alias("url"), X(_HTML).alias("html"))
 
 
 @query("""SELECT p_partkey, p_name || ' & co' AS og, 'T' || p_partkey AS twitter, 2 AS n, 'n' || p_partkey || ':' || p_size AS ld, 'Part ' || p_name AS heading,
   'https://open.spotify.com/track/t' || p_partkey || ' https://soundcloud.com/u/s' || p_partkey AS links, 'Part ' || p_name || ' ' || p_brand || ' has a new single "' || p_name || '" and an album called "' || p_type || ' <3" listen about again' AS body FROM part""")
 def page_contents(spark, sf):
     """Metadata, JSON-LD, heading, music links and text of pages."""
-    h = F.col("html")
-    meta = pages.html_meta(h)
-    ld = F.transform(pages.json_ld_objects(h), lambda o: F.concat(F.try_variant_get(o, "$.name", "string"), F.lit(":"), F.try_variant_get(o, "$.size", "string")))
-    return part_pages(spark, sf).select(
-        "p_partkey", meta["og:title"].alias("og"), meta["twitter:title"].alias("twitter"), F.size(meta).alias("n"), F.array_join(ld, ",").alias("ld"), pages.html_title(h).alias("heading"),
-        F.array_join(pages.music_links(h, F.col("url")), " ").alias("links"), pages.html_text(h).alias("body"),
+    meta = F.col("p.meta")
+    ld = F.transform(pages.parsed_objects(F.col("p.ld")), lambda o: F.concat(F.try_variant_get(o, "$.name", "string"), F.lit(":"), F.try_variant_get(o, "$.size", "string")))
+    read = part_pages(spark, sf).select("p_partkey", "url", pages.page_contents("html").alias("p"))
+    return read.select(
+        "p_partkey", meta["og:title"].alias("og"), meta["twitter:title"].alias("twitter"), F.size(meta).alias("n"), F.array_join(ld, ",").alias("ld"), F.col("p.heading").alias("heading"),
+        F.array_join(pages.music_hrefs(F.col("p.hrefs"), F.col("url")), " ").alias("links"), F.col("p.text").alias("body"),
     )
 
 

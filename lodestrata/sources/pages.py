@@ -20,6 +20,7 @@ from ..functions.dates import DATE_IN_TEXT, date_in_text, human_date
 from ..functions.text import clean_text, html_unescape
 from ..functions.udf import arrow_udf
 from ..functions.urls import canonical, is_music_link, looks_like_article
+from ..operators.components import spread
 from .dom import HIDDEN, body, parse
 
 _SPACE = re.compile(r"\s+")
@@ -59,6 +60,10 @@ def _hrefs(root) -> list[str]:
     return [n.attrs["href"] for n in media if n.attrs.get("href")] + [n.attrs["src"] for n in media if n.tag != "a" and n.attrs.get("src")]
 
 
+def _ld(root) -> list[str]:
+    return [n.text() for n in root.walk() if n.tag == "script" and n.attrs.get("type") == "application/ld+json"]
+
+
 #: Metadata of a page: og: and twitter: tags.
 html_meta = _udf("map<string,string>", _metas)
 #: Text of the article, else the main part, else the body.
@@ -68,7 +73,7 @@ html_title = _udf("string", lambda root: _plain(n.text()) if (n := root.first("h
 #: Link targets of the article: all href, then all src.
 html_links = _udf("array<string>", _hrefs)
 #: Bodies of JSON-LD scripts.
-json_ld = _udf("array<string>", lambda root: [n.text() for n in root.walk() if n.tag == "script" and n.attrs.get("type") == "application/ld+json"])
+json_ld = _udf("array<string>", _ld)
 
 
 def terminated_references(html: Column) -> Column:
@@ -76,6 +81,21 @@ def terminated_references(html: Column) -> Column:
     return F.regexp_replace(html, r"&(?!#?[A-Za-z0-9]+;)", "&amp;")
 
 
+def _page(root) -> dict:
+    """All of the above, of a page that is parsed once."""
+    head, hrefs = root.first("h1"), _hrefs(root)
+    return {"meta": _metas(root), "heading": _plain(head.text()) if head else "", "hrefs": hrefs, "text": _plain((_container(root) or body(root)).text(_NOT_TEXT)), "ld": _ld(root)}
+
+
+_PAGE = "struct<meta:map<string,string>,heading:string,hrefs:array<string>,text:string,ld:array<string>>"
+
+
+@arrow_udf(_PAGE)
+def page_contents(pages: pd.Series) -> pd.DataFrame:
+    """Metadata, heading, link targets, text and JSON-LD of pages, as by the functions above."""
+    return pd.DataFrame([_page(parse(p or "")) for p in pages], columns=["meta", "heading", "hrefs", "text", "ld"])
+
+
 @arrow_udf("array<string>")
 def absolute(base: pd.Series, links: pd.Series) -> pd.Series:
     """Links made absolute against their page."""
@@ -83,12 +103,20 @@ def absolute(base: pd.Series, links: pd.Series) -> pd.Series:
 
 
 def music_links(html: Column, url: Column, profile: str = "A") -> Column:
-    return F.array_distinct(F.filter(absolute(url, html_links(html)), lambda x: is_music_link(x, profile)))
+    return music_hrefs(html_links(html), url, profile)
+
+
+def music_hrefs(hrefs: Column, url: Column, profile: str = "A") -> Column:
+    return F.array_distinct(F.filter(absolute(url, hrefs), lambda x: is_music_link(x, profile)))
 
 
 def json_ld_objects(html: Column) -> Column:
     """array<variant>: objects of the page's JSON-LD; malformed blocks are skipped."""
-    parsed = F.filter(F.transform(json_ld(html), lambda s: F.try_parse_json(s)), lambda v: v.isNotNull())
+    return parsed_objects(json_ld(html))
+
+
+def parsed_objects(blocks: Column) -> Column:
+    parsed = F.filter(F.transform(blocks, lambda s: F.try_parse_json(s)), lambda v: v.isNotNull())
     return F.flatten(F.transform(parsed, lambda v: F.when(F.schema_of_variant(v).like("ARRAY%"), F.try_variant_get(v, "$", "array<variant>")).otherwise(F.array(v))))
 
 
@@ -100,11 +128,12 @@ def enrich(articles: DataFrame, pages: DataFrame, profile: str = "A", parity: bo
     """
     from ..operators.extract import body_matches
 
-    held = pages.select(F.col("url").alias("_u"), "html").join(articles.select(F.col("url").alias("_u")).distinct(), "_u", "left_semi").groupBy("_u").agg(F.min("html").alias("html"))  # one page of each address
-    links = music_links(F.col("html"), F.col("_u"), profile)
+    held = spread(pages.select(F.col("url").alias("_u"), "html"), "_u").join(articles.select(F.col("url").alias("_u")).distinct(), "_u", "left_semi").groupBy("_u").agg(F.min("html").alias("html"))  # one page of each address
+    links = music_hrefs(F.col("p.hrefs"), F.col("_u"), profile)
     if parity:
         links = F.filter(links, lambda x: ~F.contains(x, F.lit("/embed/")))
-    read = held.select("_u", html_meta("html").alias("open_graph"), html_text("html").alias("body_text"), links.alias("embedded_music_links"))
+    read = held.select("_u", page_contents("html").alias("p"))
+    read = read.select("_u", F.col("p.meta").alias("open_graph"), F.col("p.text").alias("body_text"), links.alias("embedded_music_links"))
     read = read.withColumn("body_release_matches", body_matches(F.col("body_text"), profile))
     return articles.join(read, articles["url"] == read["_u"], "left").drop("_u")
 
