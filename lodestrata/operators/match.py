@@ -6,12 +6,13 @@ a record and a candidate of another query is ever made.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_precision_date, in_window, track_date
 from ..functions.text import artist_aliases, catalogue_aliases, clean, normalize_all, normalize_name, normalize_text, normalize_title, split_artist_title, unique_nonempty
 from ..functions.urls import catalogue_track_id, upload_track_id, upload_track_url
+from .components import checkpointed, join_stored
 from .dedupe import first_per_key
 
 # Thresholds and the mark of trusted cache rows.
@@ -51,8 +52,46 @@ def combined(title: Column, artist: Column, popularity: Column) -> Column:
     return title * 0.55 + artist * 0.40 + popularity * 0.05
 
 
-def best_catalogue_match(queries: DataFrame, candidates: DataFrame, as_of: str, days: int) -> DataFrame:
-    """The best catalogue track of each query, where one is good enough.
+def catalogue_names(tracks: DataFrame) -> DataFrame:
+    """Tracks with _ct and _ca, the normalised title and artists, which need no query."""
+    return tracks.withColumns({"_ct": normalize_title(F.col("name")), "_ca": normalize_all(filled(F.col("artist_names")))})
+
+
+def first_rows(rows: DataFrame, keys: list[str], pos: str, n: int) -> DataFrame:
+    """The first ``n`` rows of each key; Spark keeps no more of a key in a task before it shuffles."""
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(pos))).where(F.col("_n") <= n).drop("_n")
+
+
+def _best(scored: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` of each query: by score, then by ``pos``."""
+    if most == 1:
+        return first_per_key(scored, ["query_id"], [-F.col("score"), F.col("pos")])
+    order = Window.partitionBy("query_id").orderBy(-F.col("score"), "pos")
+    return scored.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).drop("_n")
+
+
+def best_other(asked: DataFrame, rows: DataFrame, by: list[str], keyed_by: list[str], named, best_two) -> DataFrame:
+    """(query_id, best, score): the best other row for each row of ``asked`` among the ``rows`` that agree with it in ``by``.
+
+    asked: query_id, the columns ``keyed_by`` and ``by``; queries that are equal in both are
+    judged once. rows: pos, the columns ``by``, and what a candidate is scored by; of rows that are
+    equal but for ``pos``, the first two stand for all, as nothing but its own
+    row is closed to a query. named(rows): rows with their normalised names. best_two(queries, candidates): the two best of each query, with score.
+    """
+    mark = F.md5(F.to_json(F.struct(*keyed_by, *by), {"ignoreNullFields": "false"}))
+    own = asked.withColumn("_class", mark)
+    classes = own.select("_class", *keyed_by, *[c for c in by if c not in keyed_by]).dropDuplicates(["_class"]).withColumnRenamed("_class", "query_id")
+    same = [c for c in rows.columns if c != "pos"]
+    firsts = named(first_rows(rows, same, "pos", 2))
+    found = best_two(classes, classes.select("query_id", *by).join(firsts, by).drop(*by))
+    two = found.groupBy(F.col("query_id").alias("_class")).agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("o"), "pos", "score"))).alias("_two"))
+    joined = join_stored(checkpointed(own.select("query_id", "_class")), two, "_class")
+    best = F.try_element_at(F.filter("_two", lambda x: x["pos"] != F.col("query_id")), F.lit(1))
+    return joined.select("query_id", best.alias("b")).where("b is not null").select("query_id", F.col("b.pos").alias("best"), F.col("b.score").alias("score"))
+
+
+def best_catalogue_match(queries: DataFrame, candidates: DataFrame, as_of: str, days: int, most: int = 1) -> DataFrame:
+    """The best catalogue track (or the ``most`` best) of each query, where one is good enough.
 
     queries: query_id, artist, title. candidates: query_id, pos, name,
     artist_names (array), popularity, release_date, release_date_precision and
@@ -60,13 +99,13 @@ def best_catalogue_match(queries: DataFrame, candidates: DataFrame, as_of: str,
     The first of equal scores wins. Returns the candidate's columns and score.
     """
     asked = queries.select("query_id", normalize_title(F.col("title")).alias("_tt"), normalize_all(catalogue_aliases(F.col("artist"))).alias("_ta"))
-    scored = candidates.withColumns({"_ct": normalize_title(F.col("name")), "_ca": normalize_all(filled(F.col("artist_names")))}).join(asked, "query_id")
+    named = candidates if "_ct" in candidates.columns else catalogue_names(candidates)
+    scored = named.join(asked, "query_id")
     scored = scored.withColumns({"_ts": catalogue_title_score(F.col("_tt"), F.col("_ct")), "_as": artist_score(F.col("_ta"), F.col("_ca"))})
     dated = in_window(day_precision_date(F.col("release_date"), F.col("release_date_precision")), as_of, days, False)
     good = scored.where((F.col("_ts") >= CATALOGUE_LEAST) & (F.col("_as") >= CATALOGUE_LEAST) & dated)
     good = good.withColumn("score", combined(F.col("_ts"), F.col("_as"), F.coalesce(F.col("popularity"), F.lit(0)) / 100.0))
-    best = first_per_key(good, ["query_id"], [-F.col("score"), F.col("pos")])
-    return best.where(F.col("score") >= CATALOGUE_BEST).drop("_tt", "_ta", "_ct", "_ca", "_ts", "_as")
+    return _best(good, most).where(F.col("score") >= CATALOGUE_BEST).drop("_tt", "_ta", "_ct", "_ca", "_ts", "_as")
 
 
 NO_NAMES = "cast(array() as array<string>)"
@@ -89,9 +128,14 @@ def with_artists(uploads: DataFrame) -> DataFrame:
     return own.withColumn("_ca", unique_nonempty(F.concat("_names", "_prefix"))).drop("_names", "_prefix")
 
 
+def upload_names(uploads: DataFrame) -> DataFrame:
+    """Uploads with _ct, the normalised title, and the names of :func:`with_artists`, which need no query."""
+    return with_artists(uploads.withColumn("_ct", normalize_title(F.col("title"))))
+
+
 def upload_checks(candidates: DataFrame, asked: DataFrame, as_of: str, days: int) -> DataFrame:
     """Candidates with _ts, _as, _is (title, artist, identity) that pass all thresholds and the date."""
-    named = with_artists(candidates.withColumn("_ct", normalize_title(F.col("title")))).join(asked, "query_id")
+    named = (candidates if "_ct" in candidates.columns else upload_names(candidates)).join(asked, "query_id")
     everything = normalize_text(F.concat(F.array_join("_ca", " "), F.lit(" "), F.col("_ct")))
     scored = named.withColumn("_all", everything).withColumns(
         {"_ts": upload_title_score(F.col("_tt"), F.col("_ct"), F.col("_all")), "_as": artist_score(F.col("_ta"), F.col("_ca")), "_is": artist_score(F.col("_ta"), F.col("_ia"))}
@@ -104,8 +148,8 @@ def upload_checks(candidates: DataFrame, asked: DataFrame, as_of: str, days: int
 _WORK = ["_tt", "_ta", "_ct", "_ca", "_ia", "_all", "_ts", "_as", "_is"]
 
 
-def best_upload_match(queries: DataFrame, candidates: DataFrame, as_of: str, days: int) -> DataFrame:
-    """The best upload of each query; an unknown date passes.
+def best_upload_match(queries: DataFrame, candidates: DataFrame, as_of: str, days: int, most: int = 1) -> DataFrame:
+    """The best upload (or the ``most`` best) of each query; an unknown date passes.
 
     candidates: query_id, pos, title, publisher_artist, writer_composer,
     username, permalink, playback_count, release_year, release_month,
@@ -115,8 +159,7 @@ def best_upload_match(queries: DataFrame, candidates: DataFrame, as_of: str, day
     good = upload_checks(candidates, asked, as_of, days)
     plays = F.least(F.coalesce(F.col("playback_count"), F.lit(0)) / 1_000_000.0, F.lit(1.0))
     good = good.withColumn("score", combined(F.col("_ts"), F.col("_as"), plays))
-    best = first_per_key(good, ["query_id"], [-F.col("score"), F.col("pos")])
-    return best.where(F.col("score") >= UPLOAD_BEST).drop(*_WORK)
+    return _best(good, most).where(F.col("score") >= UPLOAD_BEST).drop(*_WORK)
 
 
 def search_queries(artist: Column, title: Column, most: int = 4) -> Column:
