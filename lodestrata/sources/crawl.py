@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from ..functions.udf import arrow_udf
 from ..functions.urls import paginated
-from ..operators.components import checkpointed
-from .pages import cards_from_pages, control_of, distinct_cards, next_address, unwrapped
+from ..operators.components import checkpointed, join_stored
+from .pages import anchor_cards, control_of, distinct_cards, next_address, page_anchors, unwrapped
 
 # How each site goes on, and which pages end a crawl besides the cutoff.
 FOLLOWS = {"A": "links", "B": "numbers", "C": "numbers"}
@@ -111,8 +111,11 @@ def crawl(recorded: DataFrame, seeds: DataFrame, site: str, category: str, cutof
     starts = seeds.where("url is not null").select("crawl", F.col("url").alias("base"))
     bases = starts.select("base").distinct()
     visited = checkpointed((followed if (follow or FOLLOWS[site]) == "links" else numbered_pages)(held, bases, max_pages))
-    read = visited.join(held, F.col("address") == F.col("url")).select(F.struct("base", "n").alias("page"), F.col("base").alias("url"), unwrapped(F.col("html")).alias("html"))
-    cards = cards_from_pages(read, site, category, cutoff)
+    # a page is read once, however many crawls reach it; only its links' addresses depend on the crawl
+    reached = held.join(visited.select(F.col("address").alias("url")).distinct(), "url", "left_semi")
+    anchors = checkpointed(page_anchors(reached.select(F.col("url").alias("page"), unwrapped(F.col("html")).alias("html")), site).withColumnRenamed("page", "address"))
+    seen = join_stored(visited, anchors, "address").withColumns({"page": F.struct("base", "n"), "_base": F.col("base")})
+    cards = anchor_cards(seen, site, category, cutoff)
     cards = checkpointed(cards.select(F.col("page.base").alias("base"), F.col("page.n").alias("n"), *[c for c in cards.columns if c != "page"]))
     last = checkpointed(last_pages(visited, cards, site))
     within = cards.join(last, "base").where(F.col("n") <= F.col("last")).drop("last").withColumn("page", F.struct("base", "n"))

@@ -173,24 +173,35 @@ def cards_from_pages(pages: DataFrame, site: str, category: str, cutoff: str | N
 
     Old cards are not returned as cards but tell :func:`crawled` where to stop.
     """
+    rows = page_anchors(pages.select(F.struct("page", F.col("url").alias("base")).alias("page"), "html"), site)
+    return anchor_cards(rows.select("page.page", F.col("page.base").alias("_base"), *rows.columns[1:]), site, category, cutoff)
+
+
+def page_anchors(pages: DataFrame, site: str) -> DataFrame:
+    """What pages (page, html) say of their links, whatever address they are seen from: page, pos, href, title, publish_date, snippet."""
     anchors = (_all_anchors if site == "C" else _heading_anchors)(F.col("html"))
-    rows = pages.select("page", F.col("url").alias("_base"), F.posexplode(anchors).alias("pos", "a"))
-    rows = rows.withColumn("_abs", _joined_url("_base", F.col("a.href")))
-    rows = rows.where(looks_like_article(canonical(F.col("_abs"), "edm.com") if site == "A" else F.col("_abs"), site))
-    url = canonical(F.col("_abs"), "edm.com") if site == "A" else canonical(F.col("_abs")) if site == "B" else F.col("_abs")
+    rows = pages.select("page", F.posexplode(anchors).alias("pos", "a"))
     text = clean_text(F.col("a.text"))
     bare = html_unescape(text) if site != "C" else text
     if site != "A":
         bare = F.regexp_replace(bare, r"(?i)^Latest news\s+", "")
     bare = F.regexp_replace(bare, r"(?i)\s+Read more\s*$", "")
-    rows = rows.withColumns({"url": url, "_text": text, "_bare": bare}).where((F.col("_text") != "") & ~F.lower("_text").isin(*NO_TITLES[site]))
+    rows = rows.withColumns({"_text": text, "_bare": bare}).where((F.col("_text") != "") & ~F.lower("_text").isin(*NO_TITLES[site]))
     own = date_in_text(F.col("_bare"))
     day = own if site == "C" else F.coalesce(own, date_in_text(F.coalesce(F.col("a.around"), F.lit(""))))
     title = clean_text(F.regexp_replace(F.col("_bare"), DATE_IN_TEXT, " "))
     near = clean_text(F.regexp_replace(F.replace(clean_text(F.coalesce(F.col("a.around"), F.lit(""))), F.col("_text"), F.lit(" ")), DATE_IN_TEXT, " "))
     snippet = F.when((near != "") & (F.lower(near) != "read more"), F.substring(near, 1, 300))
-    rows = rows.select("page", "pos", title.alias("title"), "url", F.lit(SOURCE_NAMES[site]).alias("source_name"), F.lit(category).alias("category"), day.cast("string").alias("publish_date"), snippet.alias("snippet"))
-    rows = rows.where(F.length("title") >= SHORTEST_TITLE)
+    rows = rows.select("page", "pos", F.col("a.href").alias("href"), title.alias("title"), day.cast("string").alias("publish_date"), snippet.alias("snippet"))
+    return rows.where(F.length("title") >= SHORTEST_TITLE)
+
+
+def anchor_cards(rows: DataFrame, site: str, category: str, cutoff: str | None = None) -> DataFrame:
+    """The rows of :func:`page_anchors` with ``_base``, the address that each is seen from, as cards."""
+    rows = rows.withColumn("_abs", _joined_url("_base", "href"))
+    rows = rows.where(looks_like_article(canonical(F.col("_abs"), "edm.com") if site == "A" else F.col("_abs"), site))
+    url = canonical(F.col("_abs"), "edm.com") if site == "A" else canonical(F.col("_abs")) if site == "B" else F.col("_abs")
+    rows = rows.select("page", "pos", "title", url.alias("url"), F.lit(SOURCE_NAMES[site]).alias("source_name"), F.lit(category).alias("category"), "publish_date", "snippet")
     old = F.lit(False) if cutoff is None else F.coalesce(F.col("publish_date").cast("date") < F.lit(cutoff).cast("date"), F.lit(False))
     return rows.withColumn("old", old)
 
