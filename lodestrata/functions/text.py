@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,9 +19,10 @@ ALIAS_SPLIT = r"(?iU)\s*(?:,|\bx\b|\bfeat\.?\b|\bft\.?\b|\bfeaturing\b)\s*"
 
 
 def _arrow(fn, kind=T.StringType()):
-    @F.pandas_udf(kind)
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(fn, na_action="ignore")
+    @F.arrow_udf(kind)
+    def run(values: pa.Array) -> pa.Array:
+        texts = (v.as_py() for v in values)  # one at a time: a batch of whole documents is not held as Python strings
+        return pa.array((None if t is None else fn(t) for t in texts), values.type, size=len(values))
 
     return run
 
