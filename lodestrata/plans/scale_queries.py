@@ -11,7 +11,7 @@ from ..operators import match, search, select
 from ..operators.components import checkpointed
 from ..sources import cache, crawl, delivery, profiles
 from .pipeline import PipelineConfig, Source, extract_releases, rank, run_isolated
-from .queries import _NORM, _RECORDS, AS_OF, document_records, query, table
+from .queries import _NORM, _RECORDS, AS_OF, dealt, document_records, query, table
 from .source_queries import _LINE
 
 X = F.expr
@@ -51,8 +51,8 @@ def searched_matches(spark, sf):
         F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_brand").alias("publisher_artist"), s.alias("writer_composer"), s.alias("username"), s.alias("permalink"), (F.col("p_size") * 20_000).alias("playback_count"),
         i.alias("release_year"), i.alias("release_month"), i.alias("release_day"), s.alias("release_date"), s.alias("display_date"), s.alias("created_at"),
     )
-    found = search.searched_tracks(records, tracks, F.concat_ws(" ", "publisher_artist", "title"))
-    return match.best_upload_match(records, found, AS_OF, 7).select("query_id", "id", F.round("score", 6).alias("score"))
+    best = lambda asked, found: match.best_upload_match(asked, found, AS_OF, 7).select("query_id", "id", F.round("score", 6).alias("score"))
+    return search.searched_matches(records, tracks, F.concat_ws(" ", "publisher_artist", "title"), best)
 
 
 # --- capped selection -------------------------------------------------------------------------------
@@ -104,7 +104,7 @@ def curated_parts(spark, sf):
         F.lit("tag_list"), X("CASE WHEN p_partkey % 11 = 5 THEN 'slowed reverb' ELSE 'x' END"),
     )
     text = F.lit("").alias
-    tracks = table(spark, sf, "part").select(
+    tracks = dealt(spark, sf, "part", "p_partkey").select(
         (F.col("p_partkey") + 1).alias("rank"), credit.alias("artist"), X("concat(p_name, CASE WHEN p_partkey % 3 = 0 THEN ' (Extended Mix)' ELSE '' END)").alias("title"), F.col("p_retailprice").alias("ranking_score"),
         X("CASE WHEN p_partkey % 7 <> 0 THEN concat('spotify:track:', p_partkey) END").alias("spotify_uri"), X("cast(null as string)").alias("spotify_id"), X("cast(null as string)").alias("soundcloud_track_id"),
         text("soundcloud_url"), text("source_article_title"), text("source_article_url"), bag.alias("open_graph"),
@@ -123,7 +123,7 @@ _REACHED = """step AS (SELECT p_partkey AS k, CASE WHEN p_size % 5 <> 0 THEN (p_
 
 
 def _listings(spark, sf):
-    p = table(spark, sf, "part")
+    p = dealt(spark, sf, "part", "p_partkey")
     at = F.concat(F.lit("https://edm.com/list/"), F.col("p_partkey"))
     html = F.when(F.col("p_partkey") % 2 == 1, F.concat(F.lit('{"html": "'), X(_LISTING), F.lit('"}'))).otherwise(X(_LISTING))
     return p.select(at.alias("url"), html.alias("html")), p.select(F.col("p_partkey").alias("crawl"), at.alias("url"))
@@ -151,7 +151,7 @@ def crawl_reach(spark, sf):
 def crawl_numbered(spark, sf):
     """Cards of numbered archive pages, one crawl for each make and type, up to the first page without a new card."""
     n = F.row_number().over(Window.partitionBy("p_brand", "p_type").orderBy("p_partkey"))
-    p = table(spark, sf, "part").withColumn("n", n)
+    p = dealt(spark, sf, "part", "p_partkey").withColumn("n", n)
     base = X("concat('https://weraveyou.com/', replace(p_brand, '#', ''), '/', p_type, '/')")
     page = X("concat('<p><a href=\"/2026/04/t-', p_size % 9, '\">March ', CASE WHEN n % 8 = 7 THEN 1 ELSE 9 END, ', 2026 Long title of part ', p_partkey, '</a></p>')")
     recorded = p.select(F.when(F.col("n") == 1, base).otherwise(F.concat(base, F.lit("page/"), "n", F.lit("/"))).alias("url"), page.alias("html"))
@@ -268,7 +268,7 @@ def ranked_window(spark, sf):
 @query("""SELECT DISTINCT p_brand AS artist, p_name AS title, CASE p_partkey % 5 WHEN 0 THEN 'single' ELSE 'album' END AS kind FROM part WHERE p_partkey % 5 IN (0, 1)""")
 def extracted_releases(spark, sf):
     """Cards of every part through the whole extraction: merged, classified, enriched, parsed, deduplicated."""
-    p = table(spark, sf, "part")
+    p = dealt(spark, sf, "part", "p_partkey")
     at = F.concat(F.lit("https://example.org/p/"), "p_partkey")
     card = p.select(X(_LINE).alias("title"), at.alias("url"), F.lit("S").alias("source_name"), F.lit("c").alias("category"), F.lit("2026-01-30").alias("publish_date"), F.lit("").alias("snippet"), (2 * F.col("p_partkey")).alias("ordinal"))
     empty = card.select(F.lit("").alias("title"), "url", "source_name", "category", F.lit(None).cast("string").alias("publish_date"), F.lit("later").alias("snippet"), (F.col("ordinal") + 1).alias("ordinal"))
@@ -281,7 +281,7 @@ def extracted_releases(spark, sf):
   SELECT name AS artist_name, genres, CASE WHEN k % 2 = 0 THEN 'https://open.spotify.com/artist/1234567890abcdef' || (1000 + k) ELSE 'https://open.spotify.com/artist/found' || k END AS spotify_url, CASE WHEN k % 3 = 0 THEN k::VARCHAR ELSE '' END AS user_id FROM f""")
 def merged_artists(spark, sf):
     """Genre pages, one for each part, to one artist list, completed by a catalogue's and a user search."""
-    p = table(spark, sf, "part").withColumn("k", F.col("p_partkey") % 300)
+    p = dealt(spark, sf, "part", "p_partkey").withColumn("k", F.col("p_partkey") % 300)
     name = F.concat(F.lit("Artist "), "k")
     linked = X("concat('<a href=\"https://x.org/artists/n/1234567890abcdef', 1000 + k, '\">Artist ', k, '</a>')")
     bare = X("""concat('<div wire:snapshot="', replace(concat('{"data": {"allArtists": [[[{"name": "Artist ', k, '"}, {}]]]}}'), '"', '&quot;'), '"></div>')""")

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import extract
-from ..operators.components import spread
 from ..sources import arrays, charts, pages, playlists, profiles, records, sinks
 from .pipeline import PipelineConfig, Source, run_sources
-from .queries import AS_OF, query, table
+from .queries import AS_OF, dealt, query, table
 
 X = F.expr
 
@@ -26,7 +25,7 @@ _HTML = """concat('<!DOCTYPE html><html><head><title>t</title><meta property="og
 
 
 def part_pages(spark, sf):
-    return spread(table(spark, sf, "part"), "p_partkey").select("p_partkey", "p_name", "p_brand", "p_type", F.concat(F.lit("https://example.org/p/"), "p_partkey").alias("url"), X(_HTML).alias("html"))
+    return dealt(spark, sf, "part", "p_partkey").select("p_partkey", "p_name", "p_brand", "p_type", F.concat(F.lit("https://example.org/p/"), "p_partkey").alias("url"), X(_HTML).alias("html"))
 
 
 @query("""SELECT p_partkey, p_name || ' & co' AS og, 'T' || p_partkey AS twitter, 2 AS n, 'n' || p_partkey || ':' || p_size AS ld, 'Part ' || p_name AS heading,
@@ -94,7 +93,7 @@ _ARCHIVE = """concat('<html><body><div><h2><a href="/music-releases/a-', p_partk
 @query("SELECT p_partkey AS page, p_brand || ' drops the ' || p_name || ' single' AS title, 'https://edm.com/music-releases/a-' || p_partkey AS url, make_date(2026, 4, 1 + (p_partkey % 28)::INTEGER)::VARCHAR AS publish_date FROM part WHERE p_partkey % 28 >= 9")
 def archive_cards(spark, sf):
     """Article cards of archive pages, without those before a cutoff."""
-    p = table(spark, sf, "part").select(F.col("p_partkey").alias("page"), F.lit("https://edm.com/music-releases").alias("url"), X(_ARCHIVE).alias("html"))
+    p = dealt(spark, sf, "part", "p_partkey").select(F.col("p_partkey").alias("page"), F.lit("https://edm.com/music-releases").alias("url"), X(_ARCHIVE).alias("html"))
     return pages.distinct_cards(pages.cards_from_pages(p, "A", "music", "2026-04-10"), "A").select("page", "title", "url", "publish_date")
 
 
@@ -112,7 +111,7 @@ def load_more(spark, sf):
     """Where a listing's next batch comes from, and the markup inside an answer."""
     page = X("""CASE p_partkey % 3 WHEN 0 THEN concat('<div><button data-url="/more/', p_partkey, '">Load  More</button></div>') WHEN 1 THEN concat('<ul class="a alm-listing" data-post-type="p', p_size, '"></ul>') ELSE '<p>end</p>' END""")
     answer = X("""CASE WHEN p_partkey % 2 = 0 THEN concat('{"html": "<p>', p_name, '</p>"}') ELSE p_name END""")
-    return table(spark, sf, "part").select("p_partkey", pages.load_more_url(page, F.lit("https://example.org/list/"), F.lit(2)).alias("next"), pages.unwrapped(answer).alias("inner_html"))
+    return dealt(spark, sf, "part", "p_partkey").select("p_partkey", pages.load_more_url(page, F.lit("https://example.org/list/"), F.lit(2)).alias("next"), pages.unwrapped(answer).alias("inner_html"))
 
 
 _FEED = """concat('<rss><channel><title>t</title><item><title>', p_brand, ' &amp; ', p_name, '</title><link>https://www.edm.com/music-releases/f-', p_partkey, '?utm=1</link><pubDate>Fri, ', lpad(CAST(1 + p_partkey % 28 AS {text}), 2, '0'), ' May 2026 10:00:00 +0000</pubDate>',
@@ -121,7 +120,7 @@ _FEED = """concat('<rss><channel><title>t</title><item><title>', p_brand, ' &amp
 
 @query("SELECT p_brand || ' & ' || p_name AS title, 'https://edm.com/music-releases/f-' || p_partkey AS url, p_type || ', two' AS category, make_date(2026, 5, 1 + (p_partkey % 28)::INTEGER)::VARCHAR AS publish_date, 'About ' || p_size AS snippet FROM part WHERE p_partkey % 28 >= 4")
 def feed_cards(spark, sf):
-    f = table(spark, sf, "part").select(X(_FEED.replace("{text}", "STRING")).alias("xml"))
+    f = dealt(spark, sf, "part", "p_partkey").select(X(_FEED.replace("{text}", "STRING")).alias("xml"))
     return pages.cards_from_feed(f, "A", "music", "2026-05-05").select("title", "url", "category", "publish_date", "snippet")
 
 
@@ -193,7 +192,7 @@ def followed_upload_rows(spark, sf):
 @query("SELECT c_custkey::VARCHAR AS id, c_name AS artist_name, 'House|t' || c_nationkey AS genres, CASE WHEN c_nationkey % 2 = 0 THEN 'club,house' ELSE 'house' END AS terms, (c_custkey * 2)::BIGINT AS followers FROM customer WHERE c_custkey % 3 <> 0")
 def followed_list(spark, sf):
     """Followed users with the genres of their tracks; users without a genre term go."""
-    c = table(spark, sf, "customer")
+    c = dealt(spark, sf, "customer", "c_custkey")
     user = X("named_struct('id', c_custkey, 'username', c_name, 'description', CASE WHEN c_nationkey % 2 = 0 AND c_custkey % 3 <> 0 THEN 'club life' ELSE 'life' END, 'followers_count', c_custkey * 2)")
     users = c.select(F.col("c_custkey").alias("ordinal"), F.parse_json(F.to_json(user)).alias("user"))
     track = X("named_struct('genre', 'House', 'tag_list', concat('t', c_nationkey))")
@@ -209,7 +208,7 @@ def genre_page_artists(spark, sf):
     snapshot = f"""concat('<div wire:snapshot="{{&quot;data&quot;:{{&quot;allArtists&quot;:[[{{&quot;name&quot;:&quot;', p_name, '&quot;,&quot;spotify_id&quot;:&quot;', {key}, '&quot;,&quot;_original_rank&quot;:', p_size, '}},{{&quot;name&quot;:&quot;', CASE WHEN p_partkey % 4 = 0 THEN p_brand ELSE '' END, '&quot;,&quot;_original_rank&quot;:2}}]]}}}}"></div>')"""
     nested = snapshot.replace("[[{", "[[[{").replace("},{&quot;", "}],[{&quot;").replace("2}]]", "2}]]]")
     linked = f"concat('<a href=\"https://x.org/en/artists/n/', {key}, '\">', p_name, '</a><a href=\"/home\">Home</a>')"
-    p = table(spark, sf, "part").select(F.col("p_partkey").alias("target"), F.lit("house").alias("genre"), F.lit(5).alias("limit"), X(f"CASE WHEN p_partkey % 2 = 0 THEN {nested} ELSE {linked} END").alias("html"))
+    p = dealt(spark, sf, "part", "p_partkey").select(F.col("p_partkey").alias("target"), F.lit("house").alias("genre"), F.lit(5).alias("limit"), X(f"CASE WHEN p_partkey % 2 = 0 THEN {nested} ELSE {linked} END").alias("html"))
     return profiles.genre_artists(p).select("target", "artist_name", "spotify_url", "rank")
 
 

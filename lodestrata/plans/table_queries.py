@@ -12,7 +12,7 @@ from ..functions import dates, numbers, urls
 from ..functions import text as tx
 from ..operators import dedupe, extract, filters, match
 from ..sources import charts, records, sinks
-from .queries import AS_OF, query, table
+from .queries import AS_OF, dealt, query, table
 
 X = F.expr
 
@@ -64,12 +64,12 @@ def credit_parts(spark, sf):
 def search_texts(spark, sf):
     """Aliases of a credit and the searches made of them."""
     c = X(CREDIT)
-    return table(spark, sf, "part").select("p_partkey", F.array_join(tx.artist_aliases(c), "|").alias("aliases"), F.array_join(match.search_queries(c, F.col("p_type")), "|").alias("searches"))
+    return dealt(spark, sf, "part", "p_partkey").select("p_partkey", F.array_join(tx.artist_aliases(c), "|").alias("aliases"), F.array_join(match.search_queries(c, F.col("p_type")), "|").alias("searches"))
 
 
 @query(f"SELECT p_partkey, array_to_string(list_distinct_ordered, '|') AS keys FROM (SELECT p_partkey, list_filter(k, lambda x, i: x <> '' AND list_position(k, x) = i) AS list_distinct_ordered FROM (SELECT p_partkey, list_transform(list_concat({_NAMES}, string_split_regex(p_type, '{_SPLIT}')), lambda x: {_normal('x')}) AS k FROM part))")
 def associated_keys(spark, sf):
-    p = table(spark, sf, "part")
+    p = dealt(spark, sf, "part", "p_partkey")
     keys = tx.associated_artist_keys(X(CREDIT), F.col("p_type"), F.lit(""))
     return p.select("p_partkey", F.array_join(keys, "|").alias("keys"))
 
@@ -318,7 +318,7 @@ def cache_trust(spark, sf):
   CASE WHEN p_partkey % 10 <> 0 AND p_partkey % 50 >= 41 THEN CASE WHEN p_partkey % 50 = 41 THEN 'spotify_resolution_rate_limited' ELSE 'spotify_resolution_deferred' END ELSE '' END AS notes FROM part""")
 def resolved_links(spark, sf):
     """Links of records: cached, direct, searched, by profile, or put off."""
-    p = table(spark, sf, "part")
+    p = dealt(spark, sf, "part", "p_partkey")
     none = F.lit(None).cast("string")
     rank = X("cast(p_partkey % 50 as int)")
     rows = p.select(
@@ -344,7 +344,7 @@ def resolved_links(spark, sf):
 @query("SELECT p_partkey AS query_id, p_partkey * 10 AS track FROM part WHERE p_partkey % 3 <> 1")
 def profile_tracks(spark, sf):
     """Tracks of the users that an artist is likely to be."""
-    p = table(spark, sf, "part")
+    p = dealt(spark, sf, "part", "p_partkey")
     user = F.when(X("p_partkey % 3 = 1"), F.lit("Someone")).otherwise(F.upper("p_brand"))
     users = p.select(F.col("p_partkey").alias("query_id"), F.col("p_partkey").alias("user_id"), user.alias("username"), F.lit("u").alias("permalink"), F.lit(None).cast("string").alias("full_name"))
     tracks = p.select(F.col("p_partkey").alias("user_id"), X("p_partkey * 10").alias("track"))

@@ -14,6 +14,7 @@ from ..functions.numbers import parse_int
 from ..functions.text import clean, clean_html, first_filled, split_genre_terms
 from ..functions.udf import arrow_udf
 from ..functions.urls import BARE_ID, CATALOGUE_ROOT, catalogue_artist_id, listing_artist_id
+from ..operators.components import checkpointed
 from ..operators.dedupe import dedupe_artists, first_per_key
 from ..operators.extract import filled, rubric, type_from_album_track, type_from_title
 from ..operators.filters import genre_terms, looks_like_release
@@ -217,6 +218,7 @@ def artist_list(pages: DataFrame, catalogue_hits: DataFrame | None = None, users
     rows = genre_artists(pages).withColumns({"soundcloud_url": F.lit(""), "soundcloud_user_id": F.lit(""), "ordinal": F.struct("target", "pos")})
     merged = dedupe_artists(rows)
     merged = merged.limit(limit) if limit else merged
+    merged = merged if users is None else checkpointed(merged)  # it is looked up and completed: the pages are read once
     if catalogue_hits is not None:
         hit = first_hit(catalogue_hits, "artist_name", "url", "pos")
         merged = merged.join(hit, "artist_name", "left").withColumn("spotify_url", F.coalesce(F.nullif("spotify_url", F.lit("")), "url", F.lit(""))).drop("url")
