@@ -5,6 +5,7 @@ import time
 import duckdb
 from pyspark.sql import functions as F
 
+from lodestrata.operators import search
 from lodestrata.plans.queries import ORACLES, QUERIES, source_queries
 from lodestrata.sources import delivery, pages
 
@@ -64,3 +65,11 @@ def test_best_other_part_of_a_large_group_of_equals(spark, tmp_path):
         got = {r.query_id: r.best for r in QUERIES[name](spark, str(tmp_path)).collect()}
         assert time.time() - began < 25  # every pair was made and its names were normalised
         assert len(got) == n and got[0] == 1 and all(got[i] == 0 for i in range(1, n))
+
+
+def test_rows_of_equal_words_are_one_entry(spark):
+    c = spark.range(60).select("id", F.lit("hot bolt").alias("t"))
+    index = search.token_index(c, "id", F.col("t"), 3)
+    assert index.docs.count() == 1 and index.postings.count() == 2
+    got = search.search(c.limit(1).select(F.lit("q").alias("query_id"), F.lit("bolt").alias("t")), index, F.col("t"))
+    assert sorted((r.place, r.doc) for r in got.collect()) == [(1, 0), (2, 1), (3, 2)]
