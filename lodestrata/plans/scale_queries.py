@@ -80,13 +80,13 @@ def _sql_kept(primary: int, associated: int) -> str:
 def greedy_caps_all(spark, sf):
     """Both caps over every line item, dearest first: three of a supplier's nation, two of a make and size or a type and line."""
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_size", "p_type")
+    nations = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.concat(F.lit("n"), "s_nationkey").alias("artist_key"))
     order = ["_price", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    lines = table(spark, sf, "lineitem").withColumn("_price", -F.col("l_extendedprice"))
-    ranked = select.numbered(lines, order, "rank").join(p, "l_partkey")
-    ranked = ranked.join(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.concat(F.lit("n"), "s_nationkey").alias("nation")), "l_suppkey")
-    keys = F.array(X("concat(p_brand, '-', p_size)"), X("concat(p_type, '-', l_linenumber)"))
     vetoed = F.when((F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.08), "returned")
-    pool = ranked.select("rank", vetoed.alias("note"), F.col("nation").alias("artist_key"), keys.alias("associated_keys"))
+    lines = table(spark, sf, "lineitem").select((-F.col("l_extendedprice")).alias("_price"), *order[1:], vetoed.alias("note"))
+    keys = F.array(X("concat(p_brand, '-', p_size)"), X("concat(p_type, '-', l_linenumber)"))
+    lines = lines.join(p, "l_partkey").join(nations, "l_suppkey").select(*order, "note", "artist_key", keys.alias("associated_keys"))
+    pool = select.numbered(lines, order, "rank").select("rank", "note", "artist_key", "associated_keys")
     return select.greedy_caps(pool, 3, 2).select("rank", "artist_key", "note")
 
 

@@ -1,11 +1,14 @@
 """Steps that once grew faster than their input, or differed from their SQL on rarer input."""
 
+import random
 import time
+from collections import Counter
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from lodestrata.operators import search
+from lodestrata.operators import components, search, select
 from lodestrata.plans.queries import ORACLES, QUERIES, source_queries
 from lodestrata.sources import delivery, pages
 
@@ -73,3 +76,37 @@ def test_rows_of_equal_words_are_one_entry(spark):
     assert index.docs.count() == 1 and index.postings.count() == 2
     got = search.search(c.limit(1).select(F.lit("q").alias("query_id"), F.lit("bolt").alias("t")), index, F.col("t"))
     assert sorted((r.place, r.doc) for r in got.collect()) == [(1, 0), (2, 1), (3, 2)]
+
+
+def capped(rows, primary, associated):
+    """What a walk in order notes."""
+    used, out = Counter(), {}
+    for pos, note, artist, keys in sorted(rows, key=lambda r: r[0]):
+        names = ([("a", artist)] if artist else []) + [("k", k) for k in dict.fromkeys(keys or []) if k is not None]
+        full = [n for n in names if used[n] >= (primary if n[0] == "a" else associated)]
+        if note is None and full:
+            note = f"skipped_artist_cap_{primary}" if full[0][0] == "a" else f"skipped_associated_artist_cap_{associated}:{full[0][1]}"
+        elif note is None:
+            used.update(names)
+        out[pos] = note
+    return out
+
+
+@pytest.mark.parametrize(("seed", "primary", "associated", "names", "hubs"), [(1, 2, 3, 60, 99), (2, 3, 2, 400, 5), (3, 1, 0, 30, 99), (4, 0, 1, 30, 99), (5, 2, 2, 12, 99)])
+def test_caps_by_heads_and_rounds_equal_the_walk(spark, monkeypatch, seed, primary, associated, names, hubs):
+    monkeypatch.setattr(select, "HUBS", hubs)
+    rng = random.Random(seed)
+    name = lambda: f"n{int(names * rng.random() ** 2)}"
+    rows = [(i * 2, "vetoed" if rng.random() < 0.1 else None, rng.choice([None, "", name(), name(), name()]), rng.choice([None, [], [None, name()], [name() for _ in range(rng.randrange(4))]])) for i in range(1200)]
+    df = spark.createDataFrame(rows, "rank long, note string, artist_key string, associated_keys array<string>").repartition(4)
+    for walk in (3, 5000):
+        assert {r["rank"]: r["note"] for r in select.greedy_caps(df, primary, associated, walk=walk).collect()} == capped(rows, primary, associated)
+
+
+def test_caps_over_few_names_need_no_rounds(spark, monkeypatch):
+    rows = [(i, None, f"a{i % 7}", [f"k{i // 7 % 11}", f"m{i // 5 % 13}"]) for i in range(6000)]
+    df = spark.createDataFrame(rows, "rank long, note string, artist_key string, associated_keys array<string>")
+    stored = []
+    monkeypatch.setattr(select, "checkpointed", lambda d: stored.append(1) or components.checkpointed(d))
+    assert {r["rank"]: r["note"] for r in select.greedy_caps(df, 3, 2, walk=20).collect()} == capped(rows, 3, 2)
+    assert len(stored) <= 8  # every round stores its rows; there were as many rounds as rows that wait for each other
