@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 HUB_ROWS, HUBS = 20_000, 1 << 17
 #: So many edges that are left are settled by one task.
 FINISH = 1 << 17
+#: Rows that are dealt out come to about so many rows, or so many bytes, a task, however many they are.
+DEALT_ROWS, DEALT_BYTES = 1 << 16, 1 << 25
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -26,10 +28,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """``df`` dealt over all cores by ``by``: a small file is read by few tasks, though its rows may cost much."""
+def spread(df: DataFrame, *by: str, rows: int = 0, size: int = 0) -> DataFrame:
+    """``df`` dealt over all cores by ``by``: a small file is read by few tasks, though its rows may cost much.
+
+    With its number of ``rows`` or ``size`` in bytes, a large table is dealt to more tasks, so that what a task holds does not grow with it.
+    """
     spark = df.sparkSession
-    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))), *by)
+    least = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return df.repartition(max(least, -(-rows // DEALT_ROWS), -(-size // DEALT_BYTES)), *by)
 
 
 def _state(edges: DataFrame) -> tuple:

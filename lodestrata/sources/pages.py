@@ -128,14 +128,19 @@ def enrich(articles: DataFrame, pages: DataFrame, profile: str = "A", parity: bo
     """
     from ..operators.extract import body_matches
 
-    held = spread(pages.select(F.col("url").alias("_u"), "html"), "_u").join(articles.select(F.col("url").alias("_u")).distinct(), "_u", "left_semi").groupBy("_u").agg(F.min("html").alias("html"))  # one page of each address
+    recorded = pages.select(F.col("url").alias("_u"), "html", F.lit(True).alias("_held"), F.lit(False).alias("_asked"))
+    asked = articles.select(F.col("url").alias("_u")).distinct().select("_u", F.lit(None).cast("string").alias("html"), F.lit(False).alias("_held"), F.lit(True).alias("_asked"))
+    rows, size = recorded.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("html")), F.lit(0))).first()
+    met = spread(recorded.unionByName(asked).where("_u is not null"), "_u", rows=rows, size=size)  # no join of whole pages, which would sort them in fewer tasks
+    held = met.groupBy("_u").agg(F.min("html").alias("html"), F.bool_or("_held").alias("_held"), F.bool_or("_asked").alias("_asked")).where("_held and _asked")  # one page of each address
     links = music_hrefs(F.col("p.hrefs"), F.col("_u"), profile)
     if parity:
         links = F.filter(links, lambda x: ~F.contains(x, F.lit("/embed/")))
     read = held.select("_u", page_contents("html").alias("p"))
     read = read.select("_u", F.col("p.meta").alias("open_graph"), F.col("p.text").alias("body_text"), links.alias("embedded_music_links"))
     read = read.withColumn("body_release_matches", body_matches(F.col("body_text"), profile))
-    return articles.join(read, articles["url"] == read["_u"], "left").drop("_u")
+    # merged: by the size of the file that pages come from, Spark would take them for few and send all that they say to every task
+    return articles.join(read.hint("merge"), articles["url"] == read["_u"], "left").drop("_u")
 
 
 # --- article cards -----------------------------------------------------------------------

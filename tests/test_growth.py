@@ -110,3 +110,18 @@ def test_caps_over_few_names_need_no_rounds(spark, monkeypatch):
     monkeypatch.setattr(select, "checkpointed", lambda d: stored.append(1) or components.checkpointed(d))
     assert {r["rank"]: r["note"] for r in select.greedy_caps(df, 3, 2, walk=20).collect()} == capped(rows, 3, 2)
     assert len(stored) <= 8  # every round stores its rows; there were as many rounds as rows that wait for each other
+
+
+def test_pages_are_dealt_by_their_size(spark, monkeypatch):
+    monkeypatch.setattr(components, "DEALT_BYTES", 2_000, raising=False)
+    dealt = []
+    monkeypatch.setattr(pages, "spread", lambda *a, **k: dealt.append(components.spread(*a, **k)) or dealt[-1])
+    rows = [(f"u{i}", f"<article><h1>x</h1><p>{'word ' * 40}{i}</p></article>") for i in range(100)]
+    held = spark.createDataFrame([*rows, ("u7", "<article> a</article>"), ("none", None), (None, "<p>lost</p>"), ("unasked", "<p>z</p>")], "url string, html string")
+    asked = spark.createDataFrame([(i, f"u{i}") for i in range(100)] + [(100, "u7"), (101, "none"), (102, None), (103, "missing")], "id long, url string")
+    out = pages.enrich(asked, held)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()  # what pages say went to every task
+    got = {r.id: r.body_text for r in out.collect()}
+    assert dealt[0].rdd.getNumPartitions() >= 10  # as many tasks for any number of pages held more and more of them
+    assert len(got) == 104 and got[3].endswith(" word 3") and got[7] == got[100] == "a"
+    assert (got[101], got[102], got[103]) == ("", None, None)
